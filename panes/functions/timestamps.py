@@ -98,8 +98,15 @@ def parse_iso(c: str | Column, mode: str = "strict") -> Column:
 
 
 def format_iso(c: str | Column) -> Column:
-    """Datetime to text, Python ``str(datetime)`` style."""
-    return col_of(c).cast("string")
+    """TIMESTAMP_NTZ to text as Python ``str(datetime)`` writes it (P12):
+    ``YYYY-MM-DD HH:MM:SS`` plus ``.ffffff`` (six digits) when the fraction is
+    not zero.  Built on the zone-free NTZ cast, whose fraction drops trailing
+    zeros; they are padded back here.
+    """
+    s = col_of(c).cast("string")
+    dot = F.instr(s, ".")
+    return F.when(dot == 0, s).otherwise(
+        F.concat(F.substring(s, F.lit(1), dot), F.rpad(F.substring_index(s, ".", -1), 6, "0")))
 
 
 # Fixed values of the sample publisher: event times are the start instant plus

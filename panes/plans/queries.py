@@ -1,5 +1,5 @@
 """Registered queries: one per operator of the inventory, each over the given
-tables, each paired with an independent DuckDB oracle in ``ORACLE_SQL``.
+tables (or data Spark derives from them).  Oracles live in ``oracles.py``.
 
 A query is ``(spark, sf_dir) -> DataFrame``.  Computed columns carry the same
 names in the Spark plan and in the oracle.
@@ -10,9 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import codec
+from ..functions.timestamps import format_iso, parse_iso, stamp
 from ..operators import windows
+from ..sources.lines import word_array_lines
 from ..sources.tables import table
+from .pipelines import batch_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +26,10 @@ FIXED_SIZE = "10 seconds"
 SLIDING_SIZE = "20 seconds"
 SLIDING_PERIOD = "10 seconds"
 
+# Start instant of the stamping job (a parameter of the publisher; fixed here
+# so the query is repeatable).
+STAMP_BASE = "2024-01-01 00:00:00"
+
 
 def fixed_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events per fixed 10 s event-time window."""
@@ -33,26 +42,94 @@ def sliding_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  SLIDING_SIZE, SLIDING_PERIOD)
 
 
-QUERIES: dict[str, Query] = {
-    "fixed_window_count": fixed_window_count,
-    "sliding_window_count": sliding_window_count,
-}
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines derived from ``documents``: the word array of each whole text."""
+    return word_array_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
 
-_FIXED_ORACLE = """
-SELECT time_bucket(INTERVAL 10 SECOND, ts) AS window_start,
-       time_bucket(INTERVAL 10 SECOND, ts) + INTERVAL 10 SECOND AS window_end,
-       count(*) AS n
-FROM events GROUP BY 1, 2
-"""
 
-_SLIDING_ORACLE = """
-SELECT time_bucket(INTERVAL 10 SECOND, ts) - k * INTERVAL 10 SECOND AS window_start,
-       time_bucket(INTERVAL 10 SECOND, ts) - k * INTERVAL 10 SECOND + INTERVAL 20 SECOND AS window_end,
-       count(*) AS n
-FROM events CROSS JOIN range(2) r(k) GROUP BY 1, 2
-"""
+def json_array_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of each JSON line holding an array (its elements)."""
+    return document_lines(spark, sf_dir).select(
+        "doc_id", codec.json_length("value").alias("n_items"))
+
+
+def json_object_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of each JSON object payload (its distinct keys)."""
+    return table(spark, sf_dir, "events").select(
+        "event_id", codec.json_length("props").alias("n_keys"))
+
+
+def json_string_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of a JSON string (code points), over whole texts."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", codec.json_length(codec.json_string_text("text")).alias("text_len"))
+
+
+def global_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a JSON-lines input counted over the implicit global window."""
+    return batch_count(document_lines(spark, sf_dir), explicit_window=False)
+
+
+def global_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same count with an explicit global window."""
+    return batch_count(document_lines(spark, sf_dir), explicit_window=True)
+
+
+def event_record(ev: DataFrame):
+    """An ``events`` row as the JSON object a publisher sends; the event time
+    travels as the ``timestamp`` text field."""
+    return F.struct(F.col("event_id"), format_iso("ts").alias("timestamp"), F.col("user_id"),
+                    F.col("event_type"), F.col("value"), F.parse_json("props").alias("props"))
 
-ORACLE_SQL: dict[str, str] = {
-    "fixed_window_count": _FIXED_ORACLE,
-    "sliding_window_count": _SLIDING_ORACLE,
+
+def record_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record serialised to JSON text."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", codec.to_json_record(event_record(ev)).alias("payload"))
+
+
+def utf8_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UTF-8 bytes of whole multilingual texts (byte counts)."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.octet_length(codec.encode_utf8("text")).cast("long").alias("n_bytes"))
+
+
+def utf8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode then strictly decode gives the text back."""
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", codec.decode_utf8(codec.encode_utf8("text")).alias("text"))
+
+
+def iso_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 then P8: datetime to ISO text, and the text parsed back."""
+    ev = table(spark, sf_dir, "events").select("event_id", format_iso("ts").alias("ts_text"))
+    return ev.select("event_id", "ts_text", parse_iso("ts_text").alias("ts"))
+
+
+def stamp_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overwrite each record's ``timestamp`` with start + 0..19 s."""
+    return table(spark, sf_dir, "events").select(
+        "event_id", stamp(STAMP_BASE, "event_id").alias("timestamp"))
+
+
+def quote_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quote normaliser over whole conversation texts."""
+    return table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", codec.normalize_quotes("text").alias("text_norm"))
+
+
+QUERIES: dict[str, Query] = {
+    "fixed_window_count": fixed_window_count,
+    "sliding_window_count": sliding_window_count,
+    "json_array_length": json_array_length,
+    "json_object_length": json_object_length,
+    "json_string_length": json_string_length,
+    "global_count": global_count,
+    "global_window_count": global_window_count,
+    "record_to_json": record_to_json,
+    "utf8_encode": utf8_encode,
+    "utf8_round_trip": utf8_round_trip,
+    "iso_parse": iso_parse,
+    "stamp_jitter": stamp_jitter,
+    "quote_normalize": quote_normalize,
 }
