@@ -58,3 +58,21 @@ SELECT event_id,
 FROM events""",
     "quote_normalize": QUOTES,
 }
+
+# Append mode on a bounded replay: a window is emitted once the final
+# watermark (max event time, delay 0) has passed its end.
+_FINAL = "WHERE window_end <= (SELECT max(ts) FROM events)"
+
+_RECORD_TEXT = f"""to_json({{'event_id': event_id, 'timestamp': {_PY_TS}, 'user_id': user_id,
+                'event_type': event_type, 'value': value, 'props': json(props)}})::VARCHAR"""
+
+ORACLE_SQL.update({
+    "stream_fixed_window": f"SELECT * FROM ({FIXED}) {_FINAL}",
+    "stream_sliding_window": f"SELECT * FROM ({SLIDING}) {_FINAL}",
+    "stream_count_after_watermark": f"SELECT n::VARCHAR AS value FROM ({FIXED}) {_FINAL}",
+    "stream_count_default_trigger": f"SELECT n::VARCHAR AS value FROM ({FIXED}) {_FINAL}",
+    "stream_passthrough": f"SELECT {_RECORD_TEXT} AS payload FROM events",
+    "stream_message_tap": "SELECT ts AS publish_time FROM events",
+    "stream_message_tap_data": f"SELECT ts AS publish_time, {_RECORD_TEXT} AS data FROM events",
+    "stream_arrival_fixed_window": f"SELECT * FROM ({FIXED}) {_FINAL}",
+})
