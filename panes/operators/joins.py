@@ -1,0 +1,24 @@
+"""Join of a large frame with a derived small one, broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..session import ensure_checkpoint_dir
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | list[str],
+               broadcast_max_rows: int, how: str = "inner") -> DataFrame:
+    """Join ``big`` with ``small`` (an aggregate derived from the data).
+
+    ``small`` is first cut from its lineage with a reliable checkpoint (the
+    shared checkpoint folder), its rows are counted, and it is broadcast only
+    when the count is within ``broadcast_max_rows``; otherwise a shuffle join
+    is left to Catalyst, with AQE's skew-join splitting hot keys.
+    """
+    ensure_checkpoint_dir(small.sparkSession)
+    small = small.checkpoint(eager=True)
+    if small.count() <= broadcast_max_rows:
+        small = F.broadcast(small)
+    return big.join(small, on, how)

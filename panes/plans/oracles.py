@@ -76,3 +76,24 @@ ORACLE_SQL.update({
     "stream_message_tap_data": f"SELECT ts AS publish_time, {_RECORD_TEXT} AS data FROM events",
     "stream_arrival_fixed_window": f"SELECT * FROM ({FIXED}) {_FINAL}",
 })
+
+
+def first_pane_windows_sql(size_s: int, delay_s: int) -> str:
+    """Per arrival window, rows that arrived before its first arrival + delay."""
+    return f"""
+WITH k AS (SELECT time_bucket(INTERVAL {size_s} SECOND, ts) AS window_start, ts FROM events),
+     f AS (SELECT window_start, min(ts) AS first_ts FROM k GROUP BY 1)
+SELECT k.window_start, k.window_start + INTERVAL {size_s} SECOND AS window_end, count(*) AS n
+FROM k JOIN f USING (window_start)
+WHERE k.ts < f.first_ts + INTERVAL {delay_s} SECOND
+GROUP BY 1, 2
+"""
+
+
+ORACLE_SQL.update({
+    "global_pane_once": """
+SELECT count(*) AS n FROM events
+WHERE ts < (SELECT min(ts) FROM events) + INTERVAL 10 SECOND
+HAVING count(*) > 0""",
+    "window_pane_once": first_pane_windows_sql(10, 30),
+})

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import codec
 from ..functions.timestamps import format_iso, parse_iso, stamp
 from ..operators import windows
+from ..operators.panes import first_pane_global, first_pane_windows
 from ..sources.lines import word_array_lines
 from ..sources.tables import table
 from .pipelines import batch_count
@@ -118,6 +119,22 @@ def quote_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "turn", codec.normalize_quotes("text").alias("text_norm"))
 
 
+# Processing-time delays of the reference (fixed values).
+GLOBAL_PANE_DELAY = "10 seconds"
+WINDOW_PANE_DELAY = "30 seconds"
+
+
+def global_pane_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 batch twin: the global window's first pane, 10 s after the first arrival."""
+    return first_pane_global(table(spark, sf_dir, "events"), "ts", GLOBAL_PANE_DELAY)
+
+
+def window_pane_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 batch twin: each 10 s arrival window's first pane, fired 30 s after
+    its first arrival."""
+    return first_pane_windows(table(spark, sf_dir, "events"), "ts", FIXED_SIZE, WINDOW_PANE_DELAY)
+
+
 QUERIES: dict[str, Query] = {
     "fixed_window_count": fixed_window_count,
     "sliding_window_count": sliding_window_count,
@@ -132,4 +149,6 @@ QUERIES: dict[str, Query] = {
     "iso_parse": iso_parse,
     "stamp_jitter": stamp_jitter,
     "quote_normalize": quote_normalize,
+    "global_pane_once": global_pane_once,
+    "window_pane_once": window_pane_once,
 }

@@ -14,6 +14,7 @@ from ..functions.codec import decode_utf8, encode_utf8
 from ..sources.messages import messages_from_records, table_stream, tap_messages
 from ..streaming.event_time import with_arrival_time, with_event_time
 from ..streaming.sinks import Sink, fan_out, materialize
+from ..streaming.triggers import count_after_processing_time
 from ..streaming.windows import count_on_watermark, counts_as_messages
 from .queries import FIXED_SIZE, SLIDING_PERIOD, SLIDING_SIZE, event_record
 
@@ -72,6 +73,24 @@ def watermark_count_job(messages: DataFrame, out_sink: Sink, trigger: str = "aft
     return fan_out({"send_to_bus": (counts_as_messages(counts), out_sink)})
 
 
+def global_delay_job(messages: DataFrame, count_sink: Sink, out_sink: Sink,
+                     delay: str = "10 seconds", repeat: bool = False):
+    """Global window fired by a processing-time delay (T4), plus the republished
+    records (fan-out).  Needs a processing-time trigger on ``count_sink``."""
+    return fan_out({
+        "CountGlobally": (count_after_processing_time(messages, delay, None, repeat), count_sink),
+        "send_to_bus": (passthrough(messages), out_sink),
+    })
+
+
+def processing_time_count_job(messages: DataFrame, out_sink: Sink, size: str = FIXED_SIZE,
+                              delay: str = "30 seconds", repeat: bool = False):
+    """Fixed windows of arrival time, each fired once ``delay`` after its first
+    arrival (T5), counts published as messages (D2)."""
+    counts = count_after_processing_time(messages, delay, size, repeat)
+    return fan_out({"send_to_bus": (counts_as_messages(counts), out_sink)})
+
+
 # ------------------------------------------------------ registered queries --
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
