@@ -60,6 +60,12 @@ def micros_to_ntz(us: str | Column) -> Column:
             + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs))
 
 
+def interval_us(us: int) -> Column:
+    """A day-time interval of ``us`` microseconds (adds zone-free to NTZ)."""
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                              F.lit(f"{us // US_PER_SECOND}.{us % US_PER_SECOND:06d}").cast("decimal(18,6)"))
+
+
 def to_micros(c: str | Column, dtype: DataType) -> Column:
     """Epoch microseconds of a TIMESTAMP or TIMESTAMP_NTZ column."""
     if isinstance(dtype, TimestampNTZType):

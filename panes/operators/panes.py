@@ -10,16 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timestamps import US_PER_SECOND, duration_us
+from ..functions.timestamps import duration_us, interval_us
 from .joins import join_small
 from .windows import COUNT, count_fixed, count_global, fixed_window
 
 
-def _interval(us: int):
-    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
-                              F.lit(us / US_PER_SECOND).cast("decimal(18,6)"))
-
-
 def first_pane_global(df: DataFrame, arrival_col: str, delay: str = "10 seconds") -> DataFrame:
     """T4 twin: count of rows in the global window's first pane.
 
@@ -28,7 +23,7 @@ def first_pane_global(df: DataFrame, arrival_col: str, delay: str = "10 seconds"
     """
     t = F.col(arrival_col)
     first = df.select(F.min(t)).scalar()
-    return count_global(df.where(t < first + _interval(duration_us(delay))))
+    return count_global(df.where(t < first + interval_us(duration_us(delay))))
 
 
 def first_pane_windows(df: DataFrame, arrival_col: str, size: str = "10 seconds",
@@ -49,7 +44,7 @@ def first_pane_windows(df: DataFrame, arrival_col: str, size: str = "10 seconds"
     keyed = df.where(t.isNotNull()).select(w.start.alias("window_start"), t.alias("_t"))
     firsts = keyed.groupBy("window_start").agg(F.min("_t").alias("_first"))
     joined = join_small(keyed, firsts, "window_start", broadcast_max_rows)
-    inside = joined.where(F.col("_t") < F.col("_first") + _interval(delay_us))
+    inside = joined.where(F.col("_t") < F.col("_first") + interval_us(delay_us))
     return (inside.groupBy("window_start").agg(F.count(F.lit(1)).alias(COUNT))
-                  .select("window_start", (F.col("window_start") + _interval(size_us)).alias("window_end"),
+                  .select("window_start", (F.col("window_start") + interval_us(size_us)).alias("window_end"),
                           COUNT))

@@ -17,7 +17,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timestamps import col_of, duration_us
+from ..functions.timestamps import col_of, duration_us, interval_us
 
 COUNT = "n"
 
@@ -90,12 +90,27 @@ def count_sliding(df: DataFrame, time_col: str = "ts", size: str | int = "20 sec
     slices = (df.groupBy(_window_us(time_col, g, g, off_us).alias("slice"))
                 .agg(F.count(F.lit(1)).alias("_slice_n"))
                 .select(F.col("slice.start").alias("_slice_start"), "_slice_n"))
+    if period_us > size_us:
+        return _gapped(slices, "_slice_start", F.col("_slice_n"), size_us, period_us, off_us,
+                       count_col)
     # A slice lies wholly inside every window that holds its start.
     agg = (slices.groupBy(_window_us("_slice_start", size_us, period_us, off_us).alias("window"))
                  .agg(F.sum("_slice_n").cast("long").alias(count_col)))
     return _flatten(agg, count_col)
 
 
+def _gapped(df: DataFrame, t: str, weight: Column, size_us: int, period_us: int, off_us: int,
+            count_col: str) -> DataFrame:
+    """Windows shorter than their period (gaps between windows): at most one
+    window per row, the period bucket's, if the row falls in its first ``size``."""
+    b = _window_us(t, period_us, period_us, off_us).start
+    inside = df.select(b.alias("window_start"), F.col(t).alias("_t"), weight.alias("_w")) \
+               .where(F.col("_t") < F.col("window_start") + interval_us(size_us))
+    agg = inside.groupBy("window_start").agg(F.sum("_w").cast("long").alias(count_col))
+    return agg.select("window_start", (F.col("window_start") + interval_us(size_us)).alias("window_end"),
+                      count_col)
+
+
 def count_sliding_expand(df: DataFrame, time_col: str = "ts", size: str | int = "20 seconds",
                          period: str | int = "10 seconds", offset: str | int = 0,
                          on_null: str = "raise", count_col: str = COUNT) -> DataFrame:
@@ -105,6 +120,9 @@ def count_sliding_expand(df: DataFrame, time_col: str = "ts", size: str | int =
     want the one-shuffle plan when slices would not shrink the data.
     """
     df = require_time(df.select(time_col), time_col, on_null)
+    size_us, period_us = duration_us(size), duration_us(period)
+    if period_us > size_us:
+        return _gapped(df, time_col, F.lit(1), size_us, period_us, duration_us(offset), count_col)
     agg = df.groupBy(sliding_window(time_col, size, period, offset).alias("window")) \
             .agg(F.count(F.lit(1)).alias(count_col))
     return _flatten(agg, count_col)

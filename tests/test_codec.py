@@ -1,0 +1,110 @@
+"""Codecs: fixtures F1, F2, F6, F8 and the quote normaliser."""
+
+import datetime as dt
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from panes.functions import codec
+from panes.functions.timestamps import format_iso, jitter_seconds, parse_iso, stamp
+
+
+def one_col(spark, values, t="string"):
+    return spark.createDataFrame([(v,) for v in values], f"v {t}")
+
+
+def test_f1_json_lengths(spark):
+    vals = ['[1,2,3]', '{"a":1,"b":2}', '"abc"', '[]', '{}', '{"a":1,"a":2}']
+    got = [r.n for r in one_col(spark, vals).select(codec.json_length("v").alias("n")).collect()]
+    assert got == [3, 2, 3, 0, 0, 1]
+
+
+def test_f1_matches_python_len(spark):
+    vals = ['  [1, [2, 3], {"x": null}]', '"h\\u00e9\\ud83d\\ude00"', '{"k": 87}', '"café"',
+            '\n{"a": {"b": 1}, "c": [1]}']
+    got = [r.n for r in one_col(spark, vals).select(codec.json_length("v").alias("n")).collect()]
+    assert got == [len(json.loads(v)) for v in vals]
+
+
+@pytest.mark.parametrize("bad", ["5", "true", "null", "bad", ""])
+def test_f2_strict_raises(spark, bad):
+    with pytest.raises(Exception, match="no length"):
+        one_col(spark, [bad]).select(codec.json_length("v")).collect()
+
+
+def test_f2_permissive_routes_to_rejects(spark):
+    df = one_col(spark, ["5", "true", "null", "bad", "", "[1]"]) \
+        .withColumn("n", codec.json_length("v", "permissive"))
+    good, rejects = codec.split_rejects(df, "n")
+    assert [r.v for r in good.collect()] == ["[1]"]
+    assert rejects.count() == 5
+
+
+def test_f6_iso_parse(spark):
+    df = one_col(spark, ["2020-01-01 10:00:00", "2020-01-01 10:00:00.123456", "2010-09-18",
+                         "2020-01-01T10:00:00"])
+    got = [r.t for r in df.select(parse_iso("v").alias("t")).collect()]
+    assert got == [dt.datetime.fromisoformat(x) for x in
+                   ["2020-01-01 10:00:00", "2020-01-01 10:00:00.123456", "2010-09-18", "2020-01-01T10:00:00"]]
+    with pytest.raises(Exception, match="not an ISO timestamp"):
+        one_col(spark, ["nope"]).select(parse_iso("v")).collect()
+    assert one_col(spark, ["nope"]).select(parse_iso("v", "permissive").alias("t")).first().t is None
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2200, 1, 1)))
+def test_format_iso_is_python_str(spark, d):
+    got = one_col(spark, [d], "timestamp_ntz").select(format_iso("v").alias("s")).first().s
+    assert got == str(d)
+
+
+def test_format_iso_in_other_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        d = dt.datetime(2024, 3, 10, 2, 30)  # in that zone's DST gap
+        got = one_col(spark, [d], "timestamp_ntz").select(format_iso("v").alias("s")).first().s
+        assert got == str(d)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_f8_decode(spark):
+    df = one_col(spark, [bytearray(b"\xff")], "binary")
+    with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
+        df.select(codec.decode_utf8("v")).collect()
+    assert df.select(codec.decode_utf8("v", "permissive").alias("d")).first().d is None
+
+
+def test_encode_decode_round_trip(spark):
+    texts = ["héllo", "日本", "emoji \U0001F600", ""]
+    df = one_col(spark, texts).select(codec.decode_utf8(codec.encode_utf8("v")).alias("t"),
+                                      F.octet_length(codec.encode_utf8("v")).alias("b"))
+    assert [(r.t, r.b) for r in df.collect()] == [(t, len(t.encode())) for t in texts]
+
+
+def test_encode_count_is_decimal_digits(spark):
+    df = spark.range(1).select(codec.encode_count(F.lit(3)).alias("v"))
+    assert bytes(df.first().v) == b"3"
+
+
+def test_quote_normalizer(spark):
+    vals = ["  'a<b>' ", "(<{'k': 1}>)", "plain"]
+    got = [r.s for r in one_col(spark, vals).select(codec.normalize_quotes("v").alias("s")).collect()]
+    assert got == [v.strip("'<>() ").replace("'", '"') for v in vals]
+
+
+def test_to_json_record_keeps_nulls(spark):
+    df = spark.createDataFrame([(1, None)], "a int, b string")
+    assert json.loads(df.select(codec.to_json_record(F.struct("a", "b")).alias("j")).first().j) == \
+        {"a": 1, "b": None}
+
+
+def test_stamp_jitter_range(spark):
+    df = spark.range(200).select(jitter_seconds("id").alias("j"),
+                                 stamp("2024-01-01 00:00:00", "id").alias("t"))
+    for r in df.collect():
+        assert 0 <= r.j < 20
+        assert r.t == dt.datetime(2024, 1, 1) + dt.timedelta(seconds=r.j)

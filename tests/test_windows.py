@@ -1,0 +1,98 @@
+"""Window assignment and counts: fixtures F3, F3b, F3c, F5 and metamorphic checks."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_ORACLE
+from panes.operators import windows
+
+
+def ts(s):
+    return dt.datetime.fromisoformat(s)
+
+
+def frame(spark, times, ntz=True):
+    t = "timestamp_ntz" if ntz else "timestamp"
+    return spark.createDataFrame([(x,) for x in times], f"ts {t}")
+
+
+def rows(df):
+    return sorted((r.window_start, r.window_end, r.n) for r in df.collect())
+
+
+def test_f3_sliding_one_event_in_two_windows(spark):
+    df = frame(spark, [ts("2020-01-01 00:00:05.5")])
+    got = rows(windows.count_sliding(df, "ts", "20 seconds", "10 seconds"))
+    assert got == [(ts("2019-12-31 23:59:50"), ts("2020-01-01 00:00:10"), 1),
+                   (ts("2020-01-01 00:00:00"), ts("2020-01-01 00:00:20"), 1)]
+
+
+def test_f3b_fixed_start_inclusive_end_exclusive(spark):
+    df = frame(spark, [ts("2020-01-01 00:00:10")])
+    assert rows(windows.count_fixed(df, "ts", "10 seconds")) == \
+        [(ts("2020-01-01 00:00:10"), ts("2020-01-01 00:00:20"), 1)]
+
+
+def test_f3c_fixed_before_epoch(spark):
+    df = frame(spark, [ts("1969-12-31 23:59:55")])
+    assert rows(windows.count_fixed(df, "ts", "10 seconds")) == \
+        [(ts("1969-12-31 23:59:50"), ts("1970-01-01 00:00:00"), 1)]
+
+
+def test_f5_empty_input_gives_no_row(spark):
+    empty = frame(spark, [])
+    assert windows.count_global(empty).collect() == []
+    assert windows.count_fixed(empty, "ts").collect() == []
+
+
+def test_global_count_and_explicit_global_window_agree(spark):
+    df = frame(spark, [ts("2020-01-01 00:00:00")] * 7)
+    a = windows.count_global(df).collect()
+    b = windows.count_global(windows.global_window(df)).collect()
+    assert a == b and a[0].n == 7
+
+
+def test_null_time_raises_or_drops(spark):
+    df = spark.createDataFrame([(ts("2020-01-01 00:00:01"),), (None,)], "ts timestamp_ntz")
+    with pytest.raises(Exception, match="without event time"):
+        windows.count_fixed(df, "ts").collect()
+    assert [r.n for r in windows.count_fixed(df, "ts", on_null="drop").collect()] == [1]
+
+
+def test_sliding_is_sum_of_two_fixed(spark):
+    ev = spark.read.parquet(f"{SF_ORACLE}/events.parquet")
+    fixed = {r.window_start: r.n for r in windows.count_fixed(ev, "ts", "10 seconds").collect()}
+    step = dt.timedelta(seconds=10)
+    for r in windows.count_sliding(ev, "ts", "20 seconds", "10 seconds").collect():
+        assert r.n == fixed.get(r.window_start, 0) + fixed.get(r.window_start + step, 0)
+
+
+@pytest.mark.parametrize("size,period,offset", [(20, 10, 0), (30, 20, 0), (25, 10, 3), (7, 3, 1), (10, 10, 0), (10, 15, 0)])
+def test_slices_equal_raw_assignment(spark, size, period, offset):
+    rnd = random.Random(size * 100 + period)
+    base = ts("2024-01-01 00:00:00")
+    times = [base + dt.timedelta(microseconds=rnd.randrange(0, 400_000_000)) for _ in range(2000)]
+    times += [base - dt.timedelta(seconds=s) for s in (0, 1, 59)]  # boundaries
+    df = frame(spark, times)
+    a = rows(windows.count_sliding(df, "ts", size, period, offset))
+    b = rows(windows.count_sliding_expand(df, "ts", size, period, offset))
+    assert a == b
+
+
+def test_windows_on_tz_aware_timestamps(spark):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    df = frame(spark, [ts("2020-01-01 00:00:05")], ntz=False)
+    got = windows.count_fixed(df, "ts", "10 seconds").collect()
+    assert got[0].n == 1
+
+
+def test_hot_window_counts_whole(spark):
+    # a third of all rows in one window: partial aggregation, nothing dropped
+    base = ts("2024-01-01 00:00:00")
+    times = [base] * 3000 + [base + dt.timedelta(seconds=i) for i in range(6000)]
+    df = frame(spark, times).repartition(8)
+    total = windows.count_fixed(df, "ts", "10 seconds").agg(F.sum("n")).first()[0]
+    assert total == 9000
