@@ -71,10 +71,15 @@ def json_length(c: str | Column, mode: str = "strict") -> Column:
     """
     _check_mode(mode)
     c = col_of(c)
-    head = F.substring(F.ltrim(c, F.lit(JSON_WHITESPACE)), 1, 1)
-    n = (F.when(head == "[", F.json_array_length(c))
-          .when(head == "{", F.array_size(F.array_distinct(F.json_object_keys(c))))
-          .when(head == '"', F.length(F.try_variant_get(F.try_parse_json(c), "$", "string")))
+    # Byte-prefix tests are O(1); trimming (a copy) only when the text really
+    # starts with whitespace.  Whole texts can be megabytes long.
+    lead_ws = F.lit(False)
+    for w in JSON_WHITESPACE:
+        lead_ws = lead_ws | c.startswith(w)
+    t = F.when(lead_ws, F.ltrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
+    n = (F.when(t.startswith("["), F.json_array_length(c))
+          .when(t.startswith("{"), F.array_size(F.array_distinct(F.json_object_keys(c))))
+          .when(t.startswith('"'), F.length(F.try_variant_get(F.try_parse_json(c), "$", "string")))
           .cast("long"))
     if mode == "permissive":
         return n

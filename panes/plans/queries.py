@@ -17,7 +17,7 @@ from ..functions.timestamps import format_iso, parse_iso, stamp
 from ..operators import windows
 from ..operators.panes import first_pane_global, first_pane_windows
 from ..sources.lines import word_array_lines
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .pipelines import batch_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,7 +45,7 @@ def sliding_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines derived from ``documents``: the word array of each whole text."""
-    return word_array_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return word_array_lines(spread(table(spark, sf_dir, "documents")), "doc_id", "text")
 
 
 def json_array_length(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,13 +56,13 @@ def json_array_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_object_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of each JSON object payload (its distinct keys)."""
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         "event_id", codec.json_length("props").alias("n_keys"))
 
 
 def json_string_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of a JSON string (code points), over whole texts."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", codec.json_length(codec.json_string_text("text")).alias("text_len"))
 
 
@@ -85,7 +85,7 @@ def event_record(ev: DataFrame):
 
 def record_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A record serialised to JSON text."""
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events"))
     return ev.select("event_id", codec.to_json_record(event_record(ev)).alias("payload"))
 
 
