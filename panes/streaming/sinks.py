@@ -7,6 +7,7 @@ committed offsets and state.
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,16 +86,23 @@ def fan_out(branches: dict[str, tuple[DataFrame, Sink]]) -> dict[str, StreamingQ
 
 
 def run_available(queries: StreamingQuery | dict[str, StreamingQuery],
-                  timeout: float | None = None) -> None:
-    """Block until the queries finish (``wait_until_finish``, D4); re-raise failures."""
+                  timeout: float | None = None, stop_at_timeout: bool = False) -> None:
+    """Block until the queries finish (``wait_until_finish``, D4); re-raise failures.
+
+    A query still running after ``timeout`` seconds is stopped; that is an
+    error unless ``stop_at_timeout`` (a continuous job run for a while).
+    """
     qs = [queries] if isinstance(queries, StreamingQuery) else list(queries.values())
     for q in qs:
         q.awaitTermination(timeout)
-        if q.isActive:
+        unfinished = q.isActive
+        if unfinished:
             q.stop()
         err = q.exception()
         if err is not None:
             raise RuntimeError(f"streaming query {q.name} failed: {err}")
+        if unfinished and not stop_at_timeout:
+            raise TimeoutError(f"streaming query {q.name} did not finish in {timeout} s")
 
 
 def materialize(df: DataFrame, name: str, output_mode: str = "append",
@@ -103,6 +111,7 @@ def materialize(df: DataFrame, name: str, output_mode: str = "append",
     checkpoint folder; return the committed result as a batch DataFrame."""
     spark: SparkSession = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
-    q = write_stream(df, Sink("parquet", {"path": out}, output_mode), name)
+    run_name = os.path.basename(out)  # unique among active queries
+    q = write_stream(df, Sink("parquet", {"path": out}, output_mode), run_name)
     run_available(q, timeout)
     return spark.read.schema(df.schema).parquet(out)

@@ -92,3 +92,13 @@ def test_sliding_stream(spark, scratch):
     counts = event_time_counts(messages(spark, f"{scratch}/in"), "20 seconds", "10 seconds")
     got = {(r.window_start - BASE).total_seconds(): r.n for r in materialize(counts, "sl").collect()}
     assert got == {-10.0: 1, 0.0: 1}
+
+
+def test_f4c_per_trigger_discarding_counts(spark, scratch):
+    from panes.streaming.sinks import run_available
+    from panes.streaming.triggers import count_per_trigger
+    write_batches(f"{scratch}/in", F4[:4])
+    q = count_per_trigger(messages(spark, f"{scratch}/in"), f"{scratch}/out", available_now=True)
+    run_available(q, 300)
+    got = {r.batch_id: r.n for r in spark.read.parquet(f"{scratch}/out").collect()}
+    assert [got[i] for i in sorted(got)] == [2, 2, 2, 1]
