@@ -73,14 +73,25 @@ def count_fixed(df: DataFrame, time_col: str = "ts", size: str | int = "10 secon
 
 def count_sliding(df: DataFrame, time_col: str = "ts", size: str | int = "20 seconds",
                   period: str | int = "10 seconds", offset: str | int = 0,
-                  on_null: str = "raise", count_col: str = COUNT) -> DataFrame:
+                  on_null: str = "raise", count_col: str = COUNT,
+                  method: str = "slices") -> DataFrame:
     """Rows per sliding window -> ``window_start, window_end, n`` (W4 + G1 + G2).
 
     Each row counts in every window that holds it (``size / period`` windows
     when the period divides the size).  Slices of width ``gcd(size, period)``
     tile every window exactly, so slice counts summed per window give the
     same numbers as assigning raw rows to windows.
+
+    ``method="slices"`` (default) hashes each raw row once and expands only
+    the aggregated slices, at the price of a second, small exchange: the
+    right plan when many rows share a slice (dense event time, large data).
+    ``method="expand"`` assigns raw rows to windows in one exchange: cheaper
+    when slices hold about one row each (sparse event time, small data).
     """
+    if method == "expand":
+        return count_sliding_expand(df, time_col, size, period, offset, on_null, count_col)
+    if method != "slices":
+        raise ValueError("method must be 'slices' or 'expand'")
     size_us, period_us = duration_us(size), duration_us(period)
     if size_us <= 0 or period_us <= 0:
         raise ValueError("size and period must be positive")

@@ -97,3 +97,11 @@ WHERE ts < (SELECT min(ts) FROM events) + INTERVAL 10 SECOND
 HAVING count(*) > 0""",
     "window_pane_once": first_pane_windows_sql(10, 30),
 })
+
+ORACLE_SQL["publish_stamped"] = """
+SELECT to_json({'event_id': event_id, 'event_type': event_type, 'value': value,
+                'timestamp': strftime(TIMESTAMP '2024-01-01 00:00:00'
+                                      + to_seconds((event_id * 7919) % 20), '%Y-%m-%d %H:%M:%S')
+               })::VARCHAR AS payload
+FROM events
+"""

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codec import json_length
+from ..functions.codec import encode_utf8, json_length, to_json_record
+from ..functions.timestamps import format_iso, stamp
 from ..operators.windows import count_global, global_window
 from ..sources.lines import read_lines
 
@@ -45,3 +46,16 @@ def run_batch_file(spark: SparkSession, input: str, output: str | None = None,
     if output:
         n.write.mode("overwrite").json(output)
     return n
+
+
+def stamped_messages(records: DataFrame, base: str, key: str, spread: int = 20,
+                     field: str = "timestamp") -> DataFrame:
+    """The sample publisher's job, minus its pacing (P10 P11 P12 P4 P6): set or
+    overwrite each record's ``timestamp`` with ``base`` + 0..spread-1 s (a
+    repeatable draw from ``key``), serialise the record, encode it.
+
+    Output ``value BINARY``, ready for ``streaming.sinks.publish`` (K2).
+    """
+    t = format_iso(stamp(base, key, spread))
+    rec = F.struct(*[F.col(c) for c in records.columns if c != field], t.alias(field))
+    return records.select(encode_utf8(to_json_record(rec)).alias("value"))

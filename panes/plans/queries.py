@@ -18,7 +18,7 @@ from ..operators import windows
 from ..operators.panes import first_pane_global, first_pane_windows
 from ..sources.lines import word_array_lines
 from ..sources.tables import spread, table
-from .pipelines import batch_count
+from .pipelines import batch_count, stamped_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +113,14 @@ def stamp_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", stamp(STAMP_BASE, "event_id").alias("timestamp"))
 
 
+def publish_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records stamped with start + jitter, serialised and
+    encoded as the publisher sends them (read back as text)."""
+    ev = spread(table(spark, sf_dir, "events")).select("event_id", "event_type", "value")
+    msgs = stamped_messages(ev, STAMP_BASE, "event_id")
+    return msgs.select(codec.decode_utf8("value").alias("payload"))
+
+
 def quote_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quote normaliser over whole conversation texts."""
     return table(spark, sf_dir, "conversations").select(
@@ -149,6 +157,7 @@ QUERIES: dict[str, Query] = {
     "iso_parse": iso_parse,
     "stamp_jitter": stamp_jitter,
     "quote_normalize": quote_normalize,
+    "publish_stamped": publish_stamped,
     "global_pane_once": global_pane_once,
     "window_pane_once": window_pane_once,
 }
