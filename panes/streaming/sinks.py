@@ -36,12 +36,23 @@ def with_types(df: DataFrame) -> DataFrame:
     return df.select("*", *[F.typeof(c).alias(f"{c}_type") for c in df.columns])
 
 
-def console_tap(df: DataFrame, name: str | None = None, n: int = 20) -> StreamingQuery | None:
-    """Print rows (K3): a console stream for streams, ``show`` for batch."""
+def console_tap(df: DataFrame, name: str | None = None, n: int = 20,
+                checkpoint: str | None = None) -> StreamingQuery | None:
+    """Print rows (K3): ``show`` for batch; per micro-batch ``show`` for streams.
+
+    Only ``n`` rows per batch reach the driver (a limit, not a collect), so the
+    tap is safe on any volume; it prints a sample, not every element.
+    """
     if not df.isStreaming:
         df.show(n, truncate=False)
         return None
-    w = df.writeStream.format("console").option("truncate", False).option("numRows", n)
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        print(f"-- batch {batch_id} --")
+        batch.show(n, truncate=False)
+
+    chk = checkpoint or scratch_path(df.sparkSession, "console-tap-checkpoint")
+    w = df.writeStream.foreachBatch(show).option("checkpointLocation", chk)
     if name:
         w = w.queryName(name)
     return w.start()

@@ -59,3 +59,16 @@ def test_typed_tap(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     row = with_types(df).first()
     assert (row.x_type, row.y_type) == ("int", "string")
+
+
+def test_console_tap_stream_prints_sample(spark, scratch, capsys):
+    import os
+    from panes.streaming.sinks import console_tap
+    os.makedirs(f"{scratch}/in")
+    with open(f"{scratch}/in/a.txt", "w") as f:
+        f.write("\n".join(str(i) for i in range(50)) + "\n")
+    q = console_tap(read_lines(spark, f"{scratch}/in", stream=True), n=3)
+    q.processAllAvailable()
+    q.stop()
+    out = capsys.readouterr().out
+    assert "-- batch 0 --" in out and "only showing top 3 rows" in out
