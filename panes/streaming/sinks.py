@@ -126,3 +126,9 @@ def materialize(df: DataFrame, name: str, output_mode: str = "append",
     q = write_stream(df, Sink("parquet", {"path": out}, output_mode), run_name)
     run_available(q, timeout)
     return spark.read.schema(df.schema).parquet(out)
+
+
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows dropped as late by the watermark over the query's recent batches (L1)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0)
+               for p in query.recentProgress for op in p.get("stateOperators", []))
