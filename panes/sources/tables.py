@@ -25,7 +25,3 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         return df
     return df.repartition(target)
 
-
-def stream_splits(spark: SparkSession, path: str) -> int:
-    """Splits Spark makes of ``path`` (a batch plan, not run)."""
-    return spark.read.parquet(path).rdd.getNumPartitions()

@@ -18,11 +18,6 @@ from ..functions.codec import encode_utf8, to_json_record
 from ..session import scratch_path
 
 
-def records_as_messages(records: DataFrame, text_col: str = "text") -> DataFrame:
-    """Passthrough payload (D1 branch B, P4 + P6): the record's JSON text as bytes."""
-    return records.select(encode_utf8(text_col).alias("value"))
-
-
 def reserialize(records: DataFrame, parsed_col: str) -> DataFrame:
     """Re-serialise a parsed record (``json.dumps`` of ``json.loads``) as bytes.
 

@@ -108,3 +108,15 @@ def test_stamp_jitter_range(spark):
     for r in df.collect():
         assert 0 <= r.j < 20
         assert r.t == dt.datetime(2024, 1, 1) + dt.timedelta(seconds=r.j)
+
+
+def test_parse_variant_typed_and_reserialize(spark):
+    from panes.streaming.sinks import reserialize
+    df = one_col(spark, ['{"b": 2, "a": [1, "x"]}'])
+    v = df.select(codec.parse("v").alias("p"))
+    assert json.loads(bytes(reserialize(v, "p").first().value).decode()) == {"b": 2, "a": [1, "x"]}
+    typed = df.select(codec.parse("v", schema="b int").alias("p")).first().p
+    assert typed.b == 2
+    assert one_col(spark, ["{bad"]).select(codec.parse("v", "permissive").alias("p")).first().p is None
+    with pytest.raises(Exception):
+        one_col(spark, ["{bad"]).select(codec.parse("v", schema="b int")).collect()
