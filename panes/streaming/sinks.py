@@ -69,7 +69,9 @@ def write_stream(df: DataFrame, sink: Sink, name: str) -> StreamingQuery:
     chk = sink.checkpoint or scratch_path(spark, f"{name}-checkpoint")
     w = (df.writeStream.format(sink.format).options(**sink.options)
            .outputMode(sink.output_mode).option("checkpointLocation", chk)
-           .queryName(name).trigger(**sink.trigger))
+           .queryName(name))
+    if sink.trigger:  # empty: Spark's default, a new micro-batch as soon as possible
+        w = w.trigger(**sink.trigger)
     return w.start()
 
 
