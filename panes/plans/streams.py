@@ -70,7 +70,7 @@ def watermark_count_job(messages: DataFrame, out_sink: Sink, trigger: str = "aft
                         size: str = FIXED_SIZE, delay: str = "0 seconds"):
     """Fixed-window counts published as messages (D2 with T2 / T3)."""
     counts = event_time_counts(messages, size, None, delay, trigger)
-    return fan_out({"send_to_bus": (counts_as_messages(counts), out_sink)})
+    return fan_out({"send_to_bus": (counts_as_messages(counts).select("value"), out_sink)})
 
 
 def global_delay_job(messages: DataFrame, count_sink: Sink, out_sink: Sink,
@@ -88,7 +88,7 @@ def processing_time_count_job(messages: DataFrame, out_sink: Sink, size: str = F
     """Fixed windows of arrival time, each fired once ``delay`` after its first
     arrival (T5), counts published as messages (D2)."""
     counts = count_after_processing_time(messages, delay, size, repeat)
-    return fan_out({"send_to_bus": (counts_as_messages(counts), out_sink)})
+    return fan_out({"send_to_bus": (counts_as_messages(counts).select("value"), out_sink)})
 
 
 # ------------------------------------------------------ registered queries --
