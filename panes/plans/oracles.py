@@ -19,10 +19,11 @@ FROM events GROUP BY 1, 2
 """
 
 SLIDING = """
-SELECT time_bucket(INTERVAL 10 SECOND, ts) - k * INTERVAL 10 SECOND AS window_start,
-       time_bucket(INTERVAL 10 SECOND, ts) - k * INTERVAL 10 SECOND + INTERVAL 20 SECOND AS window_end,
-       count(*) AS n
-FROM events CROSS JOIN range(2) r(k) GROUP BY 1, 2
+SELECT window_start, window_start + INTERVAL 20 SECOND AS window_end, count(*) AS n
+FROM (SELECT time_bucket(INTERVAL 10 SECOND, ts) AS window_start FROM events
+      UNION ALL
+      SELECT time_bucket(INTERVAL 10 SECOND, ts) - INTERVAL 10 SECOND FROM events)
+GROUP BY 1, 2
 """
 
 RECORD_JSON = f"""
