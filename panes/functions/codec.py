@@ -68,18 +68,30 @@ def json_length(c: str | Column, mode: str = "strict") -> Column:
 
     The first non-blank character picks the branch, so each row is parsed
     once.  Objects are not sent through VARIANT, which rejects repeated keys.
+    Text after the value is rejected when the last non-blank character does
+    not close it (``[1] x``).  Not caught: a second value ending in the same
+    closer (``[1] [2]``, ``[1]]``) and single-quoted strings inside an array,
+    which Spark's JSON reader accepts and Python does not.
     """
     _check_mode(mode)
     c = col_of(c)
-    # Byte-prefix tests are O(1); trimming (a copy) only when the text really
-    # starts with whitespace.  Whole texts can be megabytes long.
-    lead_ws = F.lit(False)
+    # Prefix / suffix tests are O(1); trimming (a copy) only when the text
+    # really starts or ends with whitespace.  Whole texts can be megabytes long.
+    lead_ws, trail_ws = F.lit(False), F.lit(False)
     for w in JSON_WHITESPACE:
         lead_ws = lead_ws | c.startswith(w)
-    t = F.when(lead_ws, F.ltrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
-    n = (F.when(t.startswith("["), F.json_array_length(c))
-          .when(t.startswith("{"), F.array_size(F.array_distinct(F.json_object_keys(c))))
-          .when(t.startswith('"'), F.length(F.try_variant_get(F.try_parse_json(c), "$", "string")))
+        trail_ws = trail_ws | c.endswith(w)
+    head = F.when(lead_ws, F.ltrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
+    tail = F.when(trail_ws, F.rtrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
+    # Spark's JSON readers stop after the first complete value; Python rejects
+    # trailing text ("[1] x").  The value must end with the closer of its opener.
+    closed = {"[": tail.endswith("]"), "{": tail.endswith("}"),
+              '"': tail.endswith('"') & (F.length(tail) > 1)}
+    n = (F.when(head.startswith("[") & closed["["], F.json_array_length(c))
+          .when(head.startswith("{") & closed["{"],
+                F.array_size(F.array_distinct(F.json_object_keys(c))))
+          .when(head.startswith('"') & closed['"'],
+                F.length(F.try_variant_get(F.try_parse_json(c), "$", "string")))
           .cast("long"))
     if mode == "permissive":
         return n

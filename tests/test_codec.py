@@ -24,12 +24,13 @@ def test_f1_json_lengths(spark):
 
 def test_f1_matches_python_len(spark):
     vals = ['  [1, [2, 3], {"x": null}]', '"h\\u00e9\\ud83d\\ude00"', '{"k": 87}', '"café"',
-            '\n{"a": {"b": 1}, "c": [1]}']
+            '\n{"a": {"b": 1}, "c": [1]}', '[1, 2]  \n', '{"a": 1}\t', ' "x y" ', '""']
     got = [r.n for r in one_col(spark, vals).select(codec.json_length("v").alias("n")).collect()]
     assert got == [len(json.loads(v)) for v in vals]
 
 
-@pytest.mark.parametrize("bad", ["5", "true", "null", "bad", ""])
+@pytest.mark.parametrize("bad", ["5", "true", "null", "bad", "", "[1] x", '{"a": 1} junk',
+                                 '"ab" x', '"', "[1, 2", '{"a" 1}'])
 def test_f2_strict_raises(spark, bad):
     with pytest.raises(Exception, match="no length"):
         one_col(spark, [bad]).select(codec.json_length("v")).collect()
