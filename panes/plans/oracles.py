@@ -106,3 +106,14 @@ SELECT to_json({'event_id': event_id, 'event_type': event_type, 'value': value,
                })::VARCHAR AS payload
 FROM events
 """
+
+ORACLE_SQL.update({
+    "typed_tap": """
+SELECT doc_id, len(string_split(text, ' '))::BIGINT AS length,
+       'bigint' AS doc_id_type, 'bigint' AS length_type
+FROM documents""",
+    "text_file_lengths":
+        "SELECT len(string_split(text, ' '))::BIGINT AS length FROM documents",
+    "text_file_count": "SELECT count(*) AS n FROM documents HAVING count(*) > 0",
+    "document_elements": "SELECT conv_id, turn, role, text FROM conversations",
+})

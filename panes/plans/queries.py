@@ -16,9 +16,12 @@ from ..functions import codec
 from ..functions.timestamps import format_iso, parse_iso, stamp
 from ..operators import windows
 from ..operators.panes import first_pane_global, first_pane_windows
-from ..sources.lines import word_array_lines
+from ..session import scratch_path
+from ..sources.documents import write_documents
+from ..sources.lines import read_documents, read_lines, word_array_lines
 from ..sources.tables import spread, table
-from .pipelines import batch_count, stamped_messages
+from ..streaming.sinks import publish, with_types
+from .pipelines import batch_count, batch_lengths, run_batch_file, stamped_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,11 +117,48 @@ def stamp_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records stamped with start + jitter, serialised and
-    encoded as the publisher sends them (read back as text)."""
+    """Records stamped with start + jitter, serialised,
+    encoded and published once (to a folder under the shared checkpoint
+    folder); what was published is read back as text."""
     ev = spread(table(spark, sf_dir, "events")).select("event_id", "event_type", "value")
-    msgs = stamped_messages(ev, STAMP_BASE, "event_id")
-    return msgs.select(codec.decode_utf8("value").alias("payload"))
+    bus = scratch_path(spark, "publish_stamped")
+    publish(stamped_messages(ev, STAMP_BASE, "event_id"), "parquet", path=bus)
+    return spark.read.parquet(bus).select(codec.decode_utf8("value").alias("payload"))
+
+
+def typed_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: the batch pipeline's per-line tap, each length next to its type."""
+    lengths = batch_lengths(document_lines(spark, sf_dir)).select("doc_id", "length")
+    return with_types(lengths)
+
+
+def _json_lines_file(spark: SparkSession, sf_dir: str) -> str:
+    """A JSON-lines text input derived from ``documents`` (one word array per
+    line), written under the shared checkpoint folder."""
+    path = scratch_path(spark, "json-lines")
+    publish(document_lines(spark, sf_dir).select("value"), "text", path=path)
+    return path
+
+
+def text_file_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job's per-line branch over a text file."""
+    lines = spread(read_lines(spark, _json_lines_file(spark, sf_dir)))
+    return batch_lengths(lines).select("length")
+
+
+def text_file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole batch job (read, parse, len, count) over a
+    text file, as called with its ``--input`` option."""
+    return run_batch_file(spark, _json_lines_file(spark, sf_dir))
+
+
+def document_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: whole JSON-array documents read back, one row per element.  The
+    documents are written from ``conversations``, one array per task."""
+    conv = table(spark, sf_dir, "conversations")
+    path = scratch_path(spark, "conversation-documents")
+    write_documents(conv, path)
+    return read_documents(spark, path, schema=conv.schema)
 
 
 def quote_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,6 +198,10 @@ QUERIES: dict[str, Query] = {
     "stamp_jitter": stamp_jitter,
     "quote_normalize": quote_normalize,
     "publish_stamped": publish_stamped,
+    "typed_tap": typed_tap,
+    "text_file_lengths": text_file_lengths,
+    "text_file_count": text_file_count,
+    "document_elements": document_elements,
     "global_pane_once": global_pane_once,
     "window_pane_once": window_pane_once,
 }

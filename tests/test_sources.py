@@ -1,6 +1,7 @@
 """Sources, sinks and the batch pipeline over files."""
 
 import json
+import os
 
 import pytest
 
@@ -72,3 +73,25 @@ def test_console_tap_stream_prints_sample(spark, scratch, capsys):
     q.stop()
     out = capsys.readouterr().out
     assert "-- batch 0 --" in out and "only showing top 3 rows" in out
+
+
+def test_write_documents_round_trip_over_many_tasks(spark, scratch):
+    from panes.sources.documents import write_documents
+    rows = [(i, f'line {i} "q" \\ \n é 😀', None if i % 3 else 1.5) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, s string, x double").repartition(7)
+    df = df.union(df.limit(0).repartition(3))  # some tasks see no rows
+    write_documents(df, f"{scratch}/docs")
+    texts = [open(f"{scratch}/docs/{f}").read() for f in os.listdir(f"{scratch}/docs")
+             if f.startswith("part-")]
+    docs = [json.loads(t) for t in texts if t.strip()]
+    assert all(isinstance(d, list) for d in docs) and len(docs) >= 2
+    assert sorted((d["id"], d["s"], d.get("x")) for doc in docs for d in doc) == rows
+    back = read_documents(spark, f"{scratch}/docs", schema=df.schema)
+    assert sorted(tuple(r) for r in back.collect()) == rows
+
+
+def test_write_documents_empty_input(spark, scratch):
+    from panes.sources.documents import write_documents
+    df = spark.createDataFrame([], "id bigint, s string")
+    write_documents(df, f"{scratch}/none")
+    assert read_documents(spark, f"{scratch}/none", schema=df.schema).count() == 0
