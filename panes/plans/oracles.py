@@ -117,3 +117,10 @@ FROM documents""",
     "text_file_count": "SELECT count(*) AS n FROM documents HAVING count(*) > 0",
     "document_elements": "SELECT conv_id, turn, role, text FROM conversations",
 })
+
+# Processing-time panes over the replay: every message arrives in the first
+# micro-batch, before any pane fires, so each first pane holds all its rows.
+ORACLE_SQL.update({
+    "stream_global_pane": "SELECT count(*) AS n FROM events HAVING count(*) > 0",
+    "stream_window_panes": FIXED,
+})

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from ..functions.codec import decode_utf8, encode_utf8
 from ..sources.messages import messages_from_records, table_stream, tap_messages
 from ..streaming.event_time import with_arrival_time, with_event_time
-from ..streaming.sinks import Sink, fan_out, materialize
+from ..streaming.sinks import Sink, fan_out, materialize, materialize_first_firing
 from ..streaming.triggers import count_after_processing_time
 from ..streaming.windows import count_on_watermark, counts_as_messages
-from .queries import FIXED_SIZE, SLIDING_PERIOD, SLIDING_SIZE, event_record
+from .queries import (FIXED_SIZE, GLOBAL_PANE_DELAY, SLIDING_PERIOD, SLIDING_SIZE,
+                      WINDOW_PANE_DELAY, event_record)
 
 
 # --------------------------------------------------------------- branches --
@@ -159,6 +160,23 @@ def stream_arrival_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(counts, "stream_arrival_fixed_window")
 
 
+def stream_global_pane(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The global window fired 10 s (processing time) after
+    its first arrival.  The replay puts every message in the first
+    micro-batch, so the one pane holds them all."""
+    counts = count_after_processing_time(event_messages(spark, sf_dir), GLOBAL_PANE_DELAY)
+    return materialize_first_firing(counts, "stream_global_pane")
+
+
+def stream_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed 10 s windows of arrival time, each fired 30 s
+    (processing time) after its first arrival; all windows open in the first
+    micro-batch of the replay and fire together, holding all their rows."""
+    counts = count_after_processing_time(event_messages(spark, sf_dir), WINDOW_PANE_DELAY,
+                                         FIXED_SIZE)
+    return materialize_first_firing(counts, "stream_window_panes")
+
+
 STREAM_QUERIES = {
     "stream_fixed_window": stream_fixed_window,
     "stream_sliding_window": stream_sliding_window,
@@ -168,4 +186,6 @@ STREAM_QUERIES = {
     "stream_message_tap": stream_message_tap,
     "stream_message_tap_data": stream_message_tap_data,
     "stream_arrival_fixed_window": stream_arrival_fixed_window,
+    "stream_global_pane": stream_global_pane,
+    "stream_window_panes": stream_window_panes,
 }

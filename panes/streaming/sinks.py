@@ -125,6 +125,40 @@ def materialize(df: DataFrame, name: str, output_mode: str = "append",
     return spark.read.schema(df.schema).parquet(out)
 
 
+def materialize_first_firing(df: DataFrame, name: str, every: str = "1 second",
+                             timeout: float = 600) -> DataFrame:
+    """Run a processing-time-fired stream until its first output is committed,
+    then stop it; return that committed output as a batch DataFrame.
+
+    For streams whose panes fire on timers (``availableNow`` does not end
+    while timers are pending).  When every input row is in the first
+    micro-batch, as for one replayed file, all panes are opened in that batch
+    and fire together, so the first committed output is the whole answer.
+    """
+    import time
+
+    spark: SparkSession = df.sparkSession
+    out = scratch_path(spark, f"{name}-out")
+    q = write_stream(df, Sink("parquet", {"path": out}, "append", {"processingTime": every}),
+                     os.path.basename(out))
+    try:
+        end = time.monotonic() + timeout
+        while True:
+            if q.exception() is not None:
+                raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")
+            # Progress is reported only after a batch commits, and by then the
+            # sink's log exists: the read goes through it, so it sees
+            # committed files only.
+            if q.lastProgress and spark.read.schema(df.schema).parquet(out).limit(1).count():
+                break
+            if time.monotonic() > end:
+                raise TimeoutError(f"streaming query {q.name} fired nothing in {timeout} s")
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    return spark.read.schema(df.schema).parquet(out)
+
+
 def dropped_late_rows(query: StreamingQuery) -> int:
     """Rows dropped as late by the watermark over the query's recent batches (L1)."""
     return sum(op.get("numRowsDroppedByWatermark", 0)
