@@ -58,3 +58,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(ocols)
     assert len(got) == len(want)
     assert sorted_rows(df.columns, got) == sorted_rows(ocols, want)
+
+
+@pytest.mark.parametrize("name", ["fixed_window_count", "sliding_window_count", "iso_parse",
+                                  "record_to_json", "stamp_jitter", "stream_fixed_window",
+                                  "stream_message_tap_data", "stream_arrival_fixed_window"])
+def test_time_queries_do_not_depend_on_the_session_zone(spark, duck, name):
+    """The driver's session may use any zone: zone-less times are UTC wall clock."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_SMALL)
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert sorted_rows(df.columns, got) == sorted_rows(ocols, res.fetchall())
