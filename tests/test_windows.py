@@ -4,6 +4,8 @@ import datetime as dt
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
@@ -96,3 +98,30 @@ def test_hot_window_counts_whole(spark):
     df = frame(spark, times).repartition(8)
     total = windows.count_fixed(df, "ts", "10 seconds").agg(F.sum("n")).first()[0]
     assert total == 9000
+
+
+def brute_windows(times, size_s, period_s, offset_s):
+    """Window counts by integer arithmetic on epoch microseconds (no Spark)."""
+    epoch = dt.datetime(1970, 1, 1)
+    size, period, off = size_s * 10**6, period_s * 10**6, (offset_s * 10**6) % (period_s * 10**6)
+    out = {}
+    for t in times:
+        us = (t - epoch) // dt.timedelta(microseconds=1)
+        s = us - (us - off) % period
+        while s + size > us:
+            key = (epoch + dt.timedelta(microseconds=s), epoch + dt.timedelta(microseconds=s + size))
+            out[key] = out.get(key, 0) + 1
+            s -= period
+    return sorted((a, b, n) for (a, b), n in out.items())
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.datetimes(min_value=dt.datetime(1969, 12, 31, 23, 50),
+                             max_value=dt.datetime(1970, 1, 1, 0, 10)), min_size=1, max_size=60),
+       st.integers(1, 40), st.integers(1, 40), st.integers(0, 50))
+def test_sliding_and_fixed_match_integer_arithmetic(spark, times, size, period, offset):
+    df = frame(spark, times)
+    assert rows(windows.count_sliding(df, "ts", size, period, offset)) == \
+        brute_windows(times, size, period, offset)
+    assert rows(windows.count_fixed(df, "ts", size, offset)) == \
+        brute_windows(times, size, size, offset)
