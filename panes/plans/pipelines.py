@@ -51,7 +51,7 @@ def run_batch_file(spark: SparkSession, input: str, output: str | None = None,
     return n
 
 
-def stamped_messages(records: DataFrame, base: str, key: str, spread: int = 20,
+def stamped_messages(records: DataFrame, base: str, key, spread: int = 20,
                      field: str = "timestamp") -> DataFrame:
     """The sample publisher's job, minus its pacing (P10 P11 P12 P4 P6): set or
     overwrite each record's ``timestamp`` with ``base`` + 0..spread-1 s (a

@@ -32,7 +32,8 @@ def with_types(df: DataFrame) -> DataFrame:
 
 
 def console_tap(df: DataFrame, name: str | None = None, n: int = 20,
-                checkpoint: str | None = None) -> StreamingQuery | None:
+                checkpoint: str | None = None,
+                trigger: dict | None = None) -> StreamingQuery | None:
     """Print rows (K3): ``show`` for batch; per micro-batch ``show`` for streams.
 
     Only ``n`` rows per batch reach the driver (a limit, not a collect), so the
@@ -50,6 +51,8 @@ def console_tap(df: DataFrame, name: str | None = None, n: int = 20,
     w = df.writeStream.foreachBatch(show).option("checkpointLocation", chk)
     if name:
         w = w.queryName(name)
+    if trigger:
+        w = w.trigger(**trigger)
     return w.start()
 
 
