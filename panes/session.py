@@ -28,6 +28,8 @@ DEFAULT_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpointed lineage cuts from the shared folder once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
