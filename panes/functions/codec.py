@@ -59,6 +59,26 @@ def parse(c: str | Column, mode: str = "strict", schema=None) -> Column:
     return F.parse_json(c) if mode == "strict" else F.try_parse_json(c)
 
 
+def _json_ends(c: Column) -> tuple[Column, Column, dict]:
+    """The text without leading blanks, without trailing blanks, and whether
+    it ends with the closer of each opener.
+
+    Prefix / suffix tests are O(1); trimming (a copy) happens only when the
+    text really starts or ends with whitespace.  Whole texts can be megabytes.
+    Spark's JSON readers stop after the first complete value while Python
+    rejects trailing text (``[1] x``), so a value must end with its closer.
+    """
+    lead_ws, trail_ws = F.lit(False), F.lit(False)
+    for w in JSON_WHITESPACE:
+        lead_ws = lead_ws | c.startswith(w)
+        trail_ws = trail_ws | c.endswith(w)
+    head = F.when(lead_ws, F.ltrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
+    tail = F.when(trail_ws, F.rtrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
+    closed = {"[": tail.endswith("]"), "{": tail.endswith("}"),
+              '"': tail.endswith('"') & (F.length(tail) > 1)}
+    return head, tail, closed
+
+
 def json_length(c: str | Column, mode: str = "strict") -> Column:
     """Length of a JSON text as Python's ``len(json.loads(x))`` (P2 + P3).
 
@@ -75,18 +95,7 @@ def json_length(c: str | Column, mode: str = "strict") -> Column:
     """
     _check_mode(mode)
     c = col_of(c)
-    # Prefix / suffix tests are O(1); trimming (a copy) only when the text
-    # really starts or ends with whitespace.  Whole texts can be megabytes long.
-    lead_ws, trail_ws = F.lit(False), F.lit(False)
-    for w in JSON_WHITESPACE:
-        lead_ws = lead_ws | c.startswith(w)
-        trail_ws = trail_ws | c.endswith(w)
-    head = F.when(lead_ws, F.ltrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
-    tail = F.when(trail_ws, F.rtrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
-    # Spark's JSON readers stop after the first complete value; Python rejects
-    # trailing text ("[1] x").  The value must end with the closer of its opener.
-    closed = {"[": tail.endswith("]"), "{": tail.endswith("}"),
-              '"': tail.endswith('"') & (F.length(tail) > 1)}
+    head, _, closed = _json_ends(c)
     n = (F.when(head.startswith("[") & closed["["], F.json_array_length(c))
           .when(head.startswith("{") & closed["{"],
                 F.array_size(F.array_distinct(F.json_object_keys(c))))
@@ -98,6 +107,29 @@ def json_length(c: str | Column, mode: str = "strict") -> Column:
     return _strict(n, n.isNull(), "JSON value has no length (not an array, object or string)")
 
 
+# Fixed value: a whole JSON scalar other than a string, as Python's json
+# module reads it (it also accepts NaN, Infinity and -Infinity).
+JSON_SCALAR = r"-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity"
+
+
+def json_valid(c: str | Column) -> Column:
+    """Whether a text is one JSON value as Python's ``json.loads`` accepts it
+    (P2 as a check): TRUE or FALSE, never NULL.
+
+    Containers go through Spark's JSON readers, which tokenize all nested
+    content and, unlike VARIANT, allow repeated keys; strings through the
+    VARIANT parser; other scalars through an exact pattern.  The same
+    closer check and known gaps as ``json_length`` apply.
+    """
+    c = col_of(c)
+    head, _, closed = _json_ends(c)
+    ok = (F.when(head.startswith("["), closed["["] & F.json_array_length(c).isNotNull())
+           .when(head.startswith("{"), closed["{"] & F.json_object_keys(c).isNotNull())
+           .when(head.startswith('"'), closed['"'] & F.try_parse_json(c).isNotNull())
+           .otherwise(F.btrim(c, F.lit(JSON_WHITESPACE)).rlike(f"^({JSON_SCALAR})$")))
+    return F.coalesce(ok, F.lit(False))
+
+
 def json_array_text(c: str | Column) -> Column:
     """A JSON array text from an array column."""
     return F.to_json(col_of(c))

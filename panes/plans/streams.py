@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.codec import decode_utf8, encode_utf8
+from ..functions.codec import decode_utf8, encode_utf8, json_valid
 from ..sources.messages import messages_from_records, table_stream, tap_messages
 from ..streaming.event_time import with_arrival_time, with_event_time
 from ..streaming.sinks import Sink, fan_out, materialize, materialize_first_firing
@@ -31,7 +31,7 @@ def passthrough(messages: DataFrame, mode: str = "strict") -> DataFrame:
     mode drops such messages.
     """
     text = decode_utf8("data", mode)
-    bad = F.try_parse_json(text).isNull()
+    bad = ~json_valid(text)
     if mode == "strict":
         checked = F.when(bad, F.raise_error(F.lit("message payload is not JSON"))).otherwise(text)
         return messages.select(encode_utf8(checked).alias("value"))

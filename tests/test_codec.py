@@ -121,3 +121,21 @@ def test_parse_variant_typed_and_reserialize(spark):
     assert one_col(spark, ["{bad"]).select(codec.parse("v", "permissive").alias("p")).first().p is None
     with pytest.raises(Exception):
         one_col(spark, ["{bad"]).select(codec.parse("v", schema="b int")).collect()
+
+
+VALIDITY = ['5', '5 x', '-0.5e3', '01', 'true', 'null', 'NaN', '-Infinity', '"ab"', '"ab" x',
+            '{"a":1,"a":2}', '[{"a":1,"a":2}]', '{"a":{"b":1,"b":2}}', '[1] x', '[1, 2',
+            '{"a" 1}', '{"a":[1,}', ' 7 ', '', 'tru', '[1,]', '{"a":1,}', '["a\\x"]', '"\\x"',
+            '1.', '.5', '+1', ' [1, {"x": [null]}]\n', '{}', '[]', '""', '"', '-', 'nul']
+
+
+def test_json_valid_agrees_with_python(spark):
+    def py_ok(v):
+        try:
+            json.loads(v)
+            return True
+        except ValueError:
+            return False
+    got = [r.ok for r in one_col(spark, VALIDITY + [None]).select(
+        codec.json_valid("v").alias("ok")).collect()]
+    assert got == [py_ok(v) for v in VALIDITY] + [False]

@@ -157,3 +157,14 @@ def test_stream_complete_mode_equals_batch(spark):
     batch = {(r.window_start, r.n) for r in
              count_fixed(spark.read.parquet(f"{SF_SMALL}/events.parquet"), "ts").collect()}
     assert stream == batch  # complete mode also holds the last, still open window
+
+
+def test_passthrough_follows_python_json(spark, scratch):
+    # Python accepts repeated keys and scalars; it rejects text after a value.
+    write_batches(f"{scratch}/in", [[payload(1), '{"a": 1, "a": 2}', "7", "null"]])
+    out = materialize(passthrough(messages(spark, f"{scratch}/in")), "dups")
+    assert sorted(bytes(r.value).decode() for r in out.collect()) == sorted(
+        [payload(1), '{"a": 1, "a": 2}', "7", "null"])
+    write_batches(f"{scratch}/in2", [[payload(1), '[1] x']])
+    with pytest.raises(Exception, match="not JSON"):
+        materialize(passthrough(messages(spark, f"{scratch}/in2")), "trail")
