@@ -116,6 +116,7 @@ FROM documents""",
         "SELECT len(string_split(text, ' '))::BIGINT AS length FROM documents",
     "text_file_count": "SELECT count(*) AS n FROM documents HAVING count(*) > 0",
     "document_elements": "SELECT conv_id, turn, role, text FROM conversations",
+    "document_elements_lines": "SELECT conv_id, turn, role, text FROM conversations",
 })
 
 # Processing-time panes over the replay: every message arrives in the first

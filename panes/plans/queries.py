@@ -161,6 +161,15 @@ def document_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, schema=conv.schema)
 
 
+def document_elements_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3, splittable: the same documents read line by line, so one large
+    document is parsed by many tasks instead of one."""
+    conv = table(spark, sf_dir, "conversations")
+    path = scratch_path(spark, "conversation-documents")
+    write_documents(conv, path)
+    return read_documents(spark, path, schema=conv.schema, layout="lines")
+
+
 def quote_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quote normaliser over whole conversation texts."""
     return table(spark, sf_dir, "conversations").select(
@@ -202,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "text_file_lengths": text_file_lengths,
     "text_file_count": text_file_count,
     "document_elements": document_elements,
+    "document_elements_lines": document_elements_lines,
     "global_pane_once": global_pane_once,
     "window_pane_once": window_pane_once,
 }

@@ -23,17 +23,41 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False,
     return reader.options(**options).text(path)
 
 
+# Array punctuation around one element of a one-element-per-line document.
+_ELEMENT_LEAD = r"^[\s\[,]+"
+_ELEMENT_TRAIL = r"[\s\],]+$"
+
+
 def read_documents(spark: SparkSession, path: str, schema=None, stream: bool = False,
-                   **options) -> DataFrame:
-    """Whole JSON documents holding one array of objects (S3): one row per
-    element.  Each file is parsed whole by one task (JSON arrays do not split);
-    parallelism comes from the number of files.
+                   layout: str = "whole", mode: str = "strict", **options) -> DataFrame:
+    """JSON documents holding one array of objects (S3): one row per element.
+
+    ``layout="whole"`` reads any formatting: each file is parsed whole by one
+    task (a JSON array does not split), so parallelism comes from the number
+    of files.  ``layout="lines"`` is for documents with one element per line
+    (``[{...}`` / ``,{...}`` / ``]``, as ``sources.documents.write_documents``
+    writes them): the text reader splits even one huge file into
+    ``maxPartitionBytes`` tasks, and each line is parsed on its own.  It
+    needs ``schema`` for a stream; a batch read infers it from the elements.
+    ``mode`` applies to the ``lines`` parse: strict fails on a bad element.
     """
-    reader = spark.readStream if stream else spark.read
-    reader = reader.option("multiLine", True).options(**options)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.json(path)
+    if layout == "whole":
+        reader = spark.readStream if stream else spark.read
+        reader = reader.option("multiLine", True).options(**options)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.json(path)
+    if layout != "lines":
+        raise ValueError("layout must be 'whole' or 'lines'")
+    element = F.regexp_replace(F.regexp_replace("value", _ELEMENT_LEAD, ""), _ELEMENT_TRAIL, "")
+    elements = read_lines(spark, path, stream, **options).select(element.alias("element")) \
+        .where(F.length("element") > 0)
+    if schema is None:
+        if stream:
+            raise ValueError("a stream of documents needs a schema")
+        schema = spark.read.json(elements.rdd.map(lambda r: r.element)).schema
+    opts = {"mode": "FAILFAST" if mode == "strict" else "PERMISSIVE"}
+    return elements.select(F.from_json("element", schema, opts).alias("_e")).select("_e.*")
 
 
 def constant_messages(spark: SparkSession, payload: str, copies: int,

@@ -95,3 +95,31 @@ def test_write_documents_empty_input(spark, scratch):
     df = spark.createDataFrame([], "id bigint, s string")
     write_documents(df, f"{scratch}/none")
     assert read_documents(spark, f"{scratch}/none", schema=df.schema).count() == 0
+
+
+def test_read_documents_by_lines_splits_one_file(spark, scratch):
+    from panes.sources.documents import write_documents
+    rows = [(i, f'item "{i}", [x]\n{{y}}', float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id bigint, s string, x double").coalesce(1)
+    write_documents(df, f"{scratch}/docs")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        back = read_documents(spark, f"{scratch}/docs", schema=df.schema, layout="lines")
+        assert back.rdd.getNumPartitions() > 4  # one file, many tasks
+        assert sorted(tuple(r) for r in back.collect()) == rows
+        inferred = read_documents(spark, f"{scratch}/docs", layout="lines")
+        assert sorted(inferred.columns) == ["id", "s", "x"] and inferred.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_read_documents_by_lines_handles_pretty_arrays(spark, scratch):
+    with open(f"{scratch}/market.json", "w") as f:
+        f.write('[\n  {"name": "a", "price": 1.5},\n  {"name": "b", "price": 2.0}\n]\n')
+    got = read_documents(spark, f"{scratch}/market.json", layout="lines").orderBy("name")
+    assert [tuple(r) for r in got.select("name", "price").collect()] == [("a", 1.5), ("b", 2.0)]
+    with open(f"{scratch}/bad.json", "w") as f:
+        f.write('[\n{"name": "a"},\n{"name": \n]\n')
+    with pytest.raises(Exception):
+        read_documents(spark, f"{scratch}/bad.json", schema="name string", layout="lines").collect()
