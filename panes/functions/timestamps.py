@@ -91,12 +91,38 @@ def instant_to_ntz(c: str | Column) -> Column:
     return micros_to_ntz(F.unix_micros(col_of(c)))
 
 
+# Fixed value: the tail of an ISO date-time that carries a UTC offset or Z.
+ZONED_ISO = r"[T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?\s*(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
+def _ntz(c: Column) -> Column:
+    return F.try_to_timestamp_ntz(c) if hasattr(F, "try_to_timestamp_ntz") else c.try_cast("timestamp_ntz")
+
+
+def _zoned_to_utc(c: Column) -> Column:
+    """Local date-time minus its UTC offset, by interval arithmetic on
+    TIMESTAMP_NTZ: no zone database and no session zone are involved."""
+    zone = r"\s*(Z|([+-])(\d{2}):?(\d{2})?)\s*$"
+    local = _ntz(F.regexp_replace(c, zone, ""))
+    hours = F.regexp_extract(c, zone, 3)
+    minutes = F.regexp_extract(c, zone, 4)
+    secs = (F.when(hours == "", 0).otherwise(hours.cast("int")) * 3600
+            + F.when(minutes == "", 0).otherwise(minutes.cast("int")) * 60)
+    secs = F.when(F.regexp_extract(c, zone, 2) == "-", -secs).otherwise(secs)
+    return local - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
+
+
 def parse_iso(c: str | Column, mode: str = "strict") -> Column:
-    """ISO-8601 text (no zone, 0-6 fractional digits, date-only allowed) to
-    TIMESTAMP_NTZ (P8).  ``strict`` raises on bad text, ``permissive`` gives NULL.
+    """ISO-8601 text (0-6 fractional digits, date-only allowed) to
+    TIMESTAMP_NTZ, the UTC wall clock (P8).  ``strict`` raises on bad text,
+    ``permissive`` gives NULL.
+
+    Zone-less text is read as UTC wall clock, whatever the session zone.  Text
+    with an offset or ``Z`` is the instant it names (as Python's
+    ``fromisoformat(...).timestamp()``), converted to UTC wall clock.
     """
     c = col_of(c)
-    parsed = F.try_to_timestamp_ntz(c) if hasattr(F, "try_to_timestamp_ntz") else c.try_cast("timestamp_ntz")
+    parsed = F.when(c.rlike(ZONED_ISO), _zoned_to_utc(c)).otherwise(_ntz(c))
     if mode == "permissive":
         return parsed
     return F.when(c.isNotNull() & parsed.isNull(),

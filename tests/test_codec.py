@@ -139,3 +139,22 @@ def test_json_valid_agrees_with_python(spark):
     got = [r.ok for r in one_col(spark, VALIDITY + [None]).select(
         codec.json_valid("v").alias("ok")).collect()]
     assert got == [py_ok(v) for v in VALIDITY] + [False]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Kolkata"])
+def test_iso_parse_with_offsets_is_the_named_instant(spark, zone):
+    vals = ["2020-01-01 10:00:00", "2020-01-01T10:00:00+02:00", "2020-01-01T10:00:00Z",
+            "2020-01-01 10:00:00-05:30", "2020-01-01T10:00:00.5+00:00", "2020-01-01",
+            "2020-03-08 02:30:00", "2019-12-31T23:59:59.999999-01:00", "2020-01-01T10:00+0100",
+            "2020-01-01T10:00:00-03", "2020-01-01T10Z", "2020-01-01T23:30-02:00"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = [r.t for r in one_col(spark, vals).select(parse_iso("v").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+    def py_utc(v):
+        d = dt.datetime.fromisoformat(v)
+        return d.astimezone(dt.timezone.utc).replace(tzinfo=None) if d.tzinfo else d
+    assert got == [py_utc(v) for v in vals]
