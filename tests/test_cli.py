@@ -2,7 +2,6 @@
 
 import datetime as dt
 import json
-import os
 
 from panes import cli
 from panes.functions.timestamps import JITTER_SECONDS, JITTER_MULTIPLIER
