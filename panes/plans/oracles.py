@@ -70,6 +70,7 @@ _RECORD_TEXT = f"""to_json({{'event_id': event_id, 'timestamp': {_PY_TS}, 'user_
 ORACLE_SQL.update({
     "stream_fixed_window": f"SELECT * FROM ({FIXED}) {_FINAL}",
     "stream_sliding_window": f"SELECT * FROM ({SLIDING}) {_FINAL}",
+    "stream_sliding_window_slices": f"SELECT * FROM ({SLIDING}) {_FINAL}",
     "stream_count_after_watermark": f"SELECT n::VARCHAR AS value FROM ({FIXED}) {_FINAL}",
     "stream_count_default_trigger": f"SELECT n::VARCHAR AS value FROM ({FIXED}) {_FINAL}",
     "stream_passthrough": f"SELECT {_RECORD_TEXT} AS payload FROM events",
