@@ -196,3 +196,13 @@ def test_stream_sliding_lateness_is_per_window(spark, scratch):
     expand = {r[0]: r[2] for r in _sliding(spark, f"{scratch}/in", "20 seconds", "10 seconds", "expand")}
     slices = {r[0]: r[2] for r in _sliding(spark, f"{scratch}/in", "20 seconds", "10 seconds", "slices")}
     assert expand[BASE] == 4 and slices[BASE] == 3
+
+
+def test_event_time_repeated_key_last_wins_and_offsets(spark):
+    from panes.streaming.event_time import with_event_time
+    from panes.functions.timestamps import instant_to_ntz
+    texts = ['{"timestamp": "2020-01-01 10:00:00", "x": 1, "timestamp": "2020-01-01 10:00:05"}',
+             '{"timestamp": "2020-01-01T12:00:05+02:00"}']
+    df = spark.createDataFrame([(t.encode(),) for t in texts], "data binary")
+    got = [r.t for r in with_event_time(df).select(instant_to_ntz("event_time").alias("t")).collect()]
+    assert got == [dt.datetime(2020, 1, 1, 10, 0, 5)] * 2
