@@ -26,9 +26,11 @@ def _check_mode(mode: str) -> None:
         raise ValueError(f"mode must be one of {MODES}")
 
 
-def _strict(value: Column, bad: Column, message: str) -> Column:
-    """``value``, or fail the query where ``bad`` holds."""
-    return F.when(bad, F.raise_error(F.lit(message))).otherwise(value)
+def _or_raise(value: Column, message: str) -> Column:
+    """``value``, or fail the query where it is NULL.  ``coalesce`` keeps the
+    value's expression once in the plan (a ``CASE`` over ``isnull(value)``
+    would compute it twice)."""
+    return F.coalesce(value, F.raise_error(F.lit(message)))
 
 
 def decode_utf8(c: str | Column, mode: str = "strict") -> Column:
@@ -104,7 +106,7 @@ def json_length(c: str | Column, mode: str = "strict") -> Column:
           .cast("long"))
     if mode == "permissive":
         return n
-    return _strict(n, n.isNull(), "JSON value has no length (not an array, object or string)")
+    return _or_raise(n, "JSON value has no length (not an array, object or string)")
 
 
 # Fixed value: a whole JSON scalar other than a string, as Python's json

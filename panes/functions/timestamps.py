@@ -131,8 +131,9 @@ def parse_iso(c: str | Column, mode: str = "strict") -> Column:
     parsed = F.when(_has_zone(c), _zoned_to_utc(c)).otherwise(_ntz(c))
     if mode == "permissive":
         return parsed
-    return F.when(c.isNotNull() & parsed.isNull(),
-                  F.raise_error(F.concat(F.lit("not an ISO timestamp: "), c))).otherwise(parsed)
+    # coalesce keeps the parse once in the plan; NULL text stays NULL.
+    return F.coalesce(parsed, F.when(c.isNotNull(), F.raise_error(
+        F.concat(F.lit("not an ISO timestamp: "), c))))
 
 
 def format_iso(c: str | Column) -> Column:

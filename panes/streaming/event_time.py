@@ -34,8 +34,8 @@ def with_event_time(messages: DataFrame, field: str = "timestamp", delay: str =
     rec = F.from_json(text, schema, opts)
     stamp = parse_iso(rec[field], mode)
     if mode == "strict":
-        stamp = F.when(stamp.isNull(), F.raise_error(
-            F.lit(f"message without a readable '{field}' field"))).otherwise(stamp)
+        stamp = F.coalesce(stamp, F.raise_error(
+            F.lit(f"message without a readable '{field}' field")))
     df = messages.withColumn(out, to_instant(stamp, TimestampNTZType())) \
                  .withWatermark(out, duration_str(delay))
     if mode != "strict":
