@@ -139,3 +139,14 @@ def test_processing_time_state_sees_per_task_partial_counts(spark, scratch):
     below = [n for n in nodes[tws + 1:] if n not in ("Project", "Sort")]
     # The stateful operator's input is shuffled per-task partial counts, not raw rows.
     assert below[:2] == ["Exchange", "MapInArrow"], plan
+
+
+def test_stream_slices_expand_only_aggregated_slices(spark, scratch):
+    from panes.plans.streams import event_messages, event_time_counts
+    counts = event_time_counts(event_messages(spark, SF_SMALL), "20 seconds", "10 seconds",
+                               method="slices")
+    nodes = node_lines(_stream_plan(counts, scratch, "plan_sl"))
+    assert nodes.count("StateStoreSave") == 2
+    # Expand sits above the first (slice) state store, never on raw rows.
+    first_store = len(nodes) - 1 - nodes[::-1].index("StateStoreSave")
+    assert "Expand" in nodes[:first_store] and "Expand" not in nodes[first_store:]
