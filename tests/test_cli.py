@@ -49,3 +49,15 @@ def test_cli_publish_then_fixed_window_and_receive(spark, scratch, capsys):
              "--available-now", *bus], spark)
     out = capsys.readouterr().out
     assert "-- batch 0 --" in out and "item" in out
+
+
+def test_cli_published_counts_are_digits(spark, scratch):
+    rows = [(json.dumps({"timestamp": f"2024-01-01 00:00:{s:02d}", "i": s}).encode(),)
+            for s in (1, 2, 5, 11, 13, 25)]
+    spark.createDataFrame(rows, "value binary").coalesce(1).write.parquet(f"{scratch}/sub")
+    for job in ("after-watermark", "default-trigger"):
+        cli.run([job, "--input_topic", f"{scratch}/sub", "--output_topic", f"{scratch}/{job}",
+                 "--format", "parquet", "--available-now"], spark)
+        got = sorted(bytes(r.value).decode() for r in spark.read.parquet(f"{scratch}/{job}").collect())
+        # Windows :00 and :10 close by the last event time (:25); :20 does not.
+        assert got == ["2", "3"]
