@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
-from ..functions.codec import decode_utf8
+from ..functions.codec import decode_utf8, json_object_framed
 from ..functions.timestamps import duration_str, parse_iso, to_instant
 
 EVENT_TIME = "event_time"
@@ -25,11 +25,20 @@ def with_event_time(messages: DataFrame, field: str = "timestamp", delay: str =
 
     The payload is decoded and parsed with a one-field schema: Spark checks the
     whole document but materialises only ``field``.  Strict mode fails on bad
-    UTF-8, malformed JSON or a missing / unreadable time; permissive mode drops
-    those rows (they never reach a window).
+    UTF-8, malformed JSON, a payload that is not one object (text after it
+    included) or a missing / unreadable time; permissive mode drops those
+    rows (they never reach a window).
     """
     schema = StructType([StructField(field, StringType())])
     text = decode_utf8(data_col, mode)
+    # The payload must be one JSON object: the parse below stops after the
+    # first value, so text after it is caught by this O(1) framing test.
+    framed = json_object_framed(text)
+    if mode == "strict":
+        text = F.coalesce(F.when(framed, text), F.raise_error(
+            F.lit("message payload is not one JSON object")))
+    else:
+        text = F.when(framed, text)
     opts = {"mode": "FAILFAST" if mode == "strict" else "PERMISSIVE"}
     rec = F.from_json(text, schema, opts)
     stamp = parse_iso(rec[field], mode)
