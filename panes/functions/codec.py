@@ -109,15 +109,6 @@ def json_length(c: str | Column, mode: str = "strict") -> Column:
     return _or_raise(n, "JSON value has no length (not an array, object or string)")
 
 
-def json_object_framed(c: str | Column) -> Column:
-    """Whether a text starts with ``{`` and ends with ``}`` (blanks aside):
-    O(1) tests, no parse.  With a parser that stops after the first value it
-    rejects text after an object (``{...} x``), as Python does."""
-    c = col_of(c)
-    head, _, closed = _json_ends(c)
-    return F.coalesce(head.startswith("{") & closed["{"], F.lit(False))
-
-
 # Fixed value: a whole JSON scalar other than a string, as Python's json
 # module reads it (it also accepts NaN, Infinity and -Infinity).
 JSON_SCALAR = r"-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity"

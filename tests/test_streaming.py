@@ -206,15 +206,3 @@ def test_event_time_repeated_key_last_wins_and_offsets(spark):
     df = spark.createDataFrame([(t.encode(),) for t in texts], "data binary")
     got = [r.t for r in with_event_time(df).select(instant_to_ntz("event_time").alias("t")).collect()]
     assert got == [dt.datetime(2020, 1, 1, 10, 0, 5)] * 2
-
-
-def test_event_time_rejects_text_after_the_object(spark):
-    from panes.streaming.event_time import with_event_time
-    good = '{"timestamp": "2020-01-01 10:00:05"}'
-    for bad in (good + " x", "[1]", "5"):
-        df = spark.createDataFrame([(good.encode(),), (bad.encode(),)], "data binary")
-        with pytest.raises(Exception, match="not one JSON object"):
-            with_event_time(df).collect()
-        assert with_event_time(df, mode="permissive").count() == 1
-    padded = spark.createDataFrame([(f"  {good}\n".encode(),)], "data binary")
-    assert with_event_time(padded).count() == 1
