@@ -1,0 +1,11 @@
+"""DuckDB SQL for the queries that SQL can express (same column names)."""
+
+from __future__ import annotations
+
+LLM_ORACLE_SQL: dict[str, str] = {
+    "op3_digest_index": r"""
+        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
+             k AS (SELECT *, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
+    """,
+}
