@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from panes.sources.tables import table
 
-from . import exact, packing, sharding
+from . import exact, minhash, packing, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all ``documents``: 2-word shingles, similarity of at least 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op3_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the document that stays for its text."""
     return exact.duplicates(table(spark, sf_dir, "documents")).select(
@@ -43,6 +48,7 @@ def op5_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_kd_shards": op1_kd_shards,
+    "op2_hyperminhash": op2_hyperminhash,
     "op3_digest_index": op3_digest_index,
     "op5_min_bin_slack": op5_min_bin_slack,
 }
