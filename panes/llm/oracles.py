@@ -8,4 +8,25 @@ LLM_ORACLE_SQL: dict[str, str] = {
              k AS (SELECT *, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM k
     """,
+    "op6_line_runs": r"""
+        WITH documents_with_row AS (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents),
+             l AS (SELECT rowid AS r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                          unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at FROM documents_with_row),
+             k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+             f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
+             g AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f ON k.key = f.key)
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+        FROM g GROUP BY r
+    """,
+    "op8_warc_dictionary": r"""
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+             k AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+                          max(page_id) OVER (PARTITION BY payload) AS response FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
+        FROM k
+    """,
 }

@@ -8,9 +8,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panes.session import scratch_path
 from panes.sources.tables import table
 
-from . import exact, minhash, packing, sharding
+from . import exact, lines, minhash, packing, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,9 +47,24 @@ def op5_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` without the lines that at least 10 of them have."""
+    kept = lines.drop_frequent_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op8_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of ``pages`` written to archives, and the records read back."""
+    path = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, least=1000)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_kd_shards": op1_kd_shards,
     "op2_hyperminhash": op2_hyperminhash,
     "op3_digest_index": op3_digest_index,
     "op5_min_bin_slack": op5_min_bin_slack,
+    "op6_line_runs": op6_line_runs,
+    "op8_warc_dictionary": op8_warc_dictionary,
 }
