@@ -11,15 +11,30 @@ LLM_ORACLE_SQL: dict[str, str] = {
     "op6_line_runs": r"""
         WITH documents_with_row AS (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents),
              l AS (SELECT rowid AS r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                          unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at FROM documents_with_row),
+                          unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents_with_row),
              k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
              f AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10),
              g AS (SELECT k.*, f.key IS NOT NULL AS gone FROM k LEFT JOIN f ON k.key = f.key)
         SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+               sha256(coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY pos), '')) AS kept_sha256
         FROM g GROUP BY r
     """,
+    "op7_grid_order_join": r"""
+        WITH RECURSIVE e AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings),
+             good AS (SELECT vec_id, label, x, sqrt(list_inner_product(x, x)) AS norm FROM e
+                      WHERE label IS NOT NULL AND x IS NOT NULL AND len(x) > 0
+                        AND len(list_filter(x, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+                        AND len(list_filter(x, lambda v: v <> 0)) > 0),
+             links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b
+                       ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+                      AND list_inner_product(a.x, b.x) / (a.norm * b.norm) >= 0.98),
+             reach AS (SELECT vec_id AS u, vec_id AS v FROM e UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+             c AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u),
+             n AS (SELECT u AS vec_id, count(*) AS n_links FROM links GROUP BY u)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM e JOIN c USING (vec_id) LEFT JOIN n USING (vec_id)
+    """,
     "op8_warc_dictionary": r"""
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
              k AS (SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panes.session import scratch_path
 from panes.sources.tables import table
 
-from . import exact, lines, minhash, packing, sharding, warc
+from . import embed, exact, lines, minhash, packing, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,11 @@ def op6_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op7_grid_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``embeddings`` with their links of cosine 0.98 or more within a label."""
+    return embed.near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 def op8_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of ``pages`` written to archives, and the records read back."""
     path = scratch_path(spark, "archives")
@@ -66,5 +71,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op3_digest_index": op3_digest_index,
     "op5_min_bin_slack": op5_min_bin_slack,
     "op6_line_runs": op6_line_runs,
+    "op7_grid_order_join": op7_grid_order_join,
     "op8_warc_dictionary": op8_warc_dictionary,
 }
