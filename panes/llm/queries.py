@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panes.session import scratch_path
 from panes.sources.tables import table
 
-from . import embed, exact, lines, minhash, packing, sharding, warc
+from . import embed, exact, lines, minhash, packing, quality, sharding, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,11 @@ def op3_digest_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its quality score and whether it is kept."""
+    return quality.score(table(spark, sf_dir, "documents"))
+
+
 def op5_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of at most 4096 tokens."""
     vocabulary = Path(tokenizer_file("word_bpe_49k.json")).read_text()
@@ -69,6 +74,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_kd_shards": op1_kd_shards,
     "op2_hyperminhash": op2_hyperminhash,
     "op3_digest_index": op3_digest_index,
+    "op4_weak_labels": op4_weak_labels,
     "op5_min_bin_slack": op5_min_bin_slack,
     "op6_line_runs": op6_line_runs,
     "op7_grid_order_join": op7_grid_order_join,
