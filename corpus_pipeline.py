@@ -15,7 +15,9 @@ from panes.llm.common import write_table
 from panes.sources.tables import table
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", stages.keep_good),
     ("exact dedup", stages.keep_first_copies),
+    ("MinHash near-dedup", stages.keep_one_of_near_copies),
     ("packing", stages.pack_sequences),
 ]
 
