@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panes.session import scratch_path
 from panes.sources.tables import table
 
-from . import embed, exact, lines, minhash, packing, quality, sharding, warc
+from . import chat, embed, exact, lines, minhash, packing, quality, sharding, spm, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,19 @@ def op8_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``conversations``, repaired at least cost and rendered."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def op10_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The piece ids of all ``documents``, and the texts they decode to (as digests)."""
+    model = Path(tokenizer_file("piece_bpe_32k.model")).read_bytes()
+    encoded = spm.encode_texts(table(spark, sf_dir, "documents"), model, kind="bpe")
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
+                          F.sha2(spm.decode_column(F.col("ids"), model), 256).alias("decoded_sha256"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_kd_shards": op1_kd_shards,
     "op2_hyperminhash": op2_hyperminhash,
@@ -79,4 +92,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op6_line_runs": op6_line_runs,
     "op7_grid_order_join": op7_grid_order_join,
     "op8_warc_dictionary": op8_warc_dictionary,
+    "op9_role_repair": op9_role_repair,
+    "op10_streaming_viterbi": op10_streaming_viterbi,
 }
