@@ -29,15 +29,19 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.filter("u != v").distinct()
 
 
+def _is_star(edges: DataFrame) -> bool:
+    """Whether each node is either a centre or has one edge, to a centre."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return seen.filter("out > 1 or (out > 0 and into > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its smallest node) for every node of ``edges`` (u, v: long)."""
-    now = write_table(edges.select("u", "v").filter("u != v").distinct(), "edges")
-    mark = None
-    while True:
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
-            break
-        mark = tuple(seen)
+    pairs = edges.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now = write_table(pairs.distinct(), "edges")
+    while not _is_star(now):
         after = write_table(_star(_star(now, larger=True), larger=False), "edges")
         drop_table(now)
         now = after

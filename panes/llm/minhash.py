@@ -35,6 +35,7 @@ rows kept.  Rows that repeat are copies.  An empty table gives no rows.  Only
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -271,62 +272,46 @@ def forest(pairs: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def _blocks(members: DataFrame) -> DataFrame:
-    """Rows of members of one cluster and of near set sizes, packed together.
+def _blocks(members: DataFrame, percent: int) -> DataFrame:
+    """Members of one cluster and of near set sizes, dealt by hash into rows of about ``BLOCK_ROWS``.
 
-    ``members``: cluster, label, n_shingles, node, shingles.
+    ``members``: cluster, label, n_shingles, node, shingles.  Sets whose sizes are
+    not in neighbouring classes cannot be linked.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def block() -> pa.RecordBatch:
-            cluster, labels, sets = held[0][0], [h[1] for h in held], [h[2] for h in held]
-            sizes = np.array([len(s) // 8 for s in sets])
-            row = [cluster, held[0][3], int(sizes.min()), int(sizes.max()), min(labels), max(labels),
-                   np.array(labels, np.int64).tobytes(), sizes.astype(np.int64).tobytes(), b"".join(sets)]
-            held.clear()
-            return pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True))], schema=pa.schema(
-                [(n, pa.binary() if n in ("labels", "sizes", "sets") else pa.int64()) for n in names]))
-
-        names, total = ["cluster", "block", "n_min", "n_max", "l_min", "l_max", "labels", "sizes", "sets"], 0
-        for batch in batches:
-            for cluster, label, node, s in zip(*(batch.column(c).to_pylist() for c in ("cluster", "label", "node", "shingles")), strict=True):
-                if held and (held[0][0] != cluster or len(held) >= BLOCK_ROWS or total > BLOCK_SHINGLES):
-                    yield block()
-                    total = 0
-                held.append((cluster, label, s, node))
-                total += len(s) // 8
-        if held:
-            yield block()
-
-    order = ["cluster", "n_shingles", "node"]
-    sorted_rows = members.repartitionByRange(*order).sortWithinPartitions(*order)
-    return sorted_rows.select("cluster", "label", "node", "shingles").mapInArrow(
-        run, "cluster long, block long, n_min long, n_max long, l_min long, l_max long, labels binary, sizes binary, sets binary")
+    step = math.log(100 / percent) if percent < 100 else 1e-9
+    grown = members.withColumn("size", F.floor(F.log("n_shingles") / step))
+    held = grown.groupBy("cluster", "size").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
+    # As many blocks as keep either their rows or their shingles in bounds.
+    held = held.select("cluster", "size", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("total") / BLOCK_SHINGLES)).alias("blocks"))
+    dealt = grown.join(held, ["cluster", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    return dealt.groupBy("cluster", "size", "block").agg(
+        F.min("label").alias("l_min"), F.max("label").alias("l_max"), F.collect_list(F.struct("label", "shingles")).alias("rows")).select(
+        "cluster", "size", "l_min", "l_max", F.col("rows.label").alias("labels"), F.col("rows.shingles").alias("sets")).withColumn(
+        "block", F.monotonically_increasing_id())
 
 
 def _block_links(blocks: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between labels, found by comparing blocks of a cluster."""
-    meta = blocks.select("cluster", "block", "n_min", "n_max", "l_min", "l_max")
-    a, b = meta.toDF("cluster", "a", "a_min", "a_max", "al", "ah"), meta.toDF("cluster", "b", "b_min", "b_max", "bl", "bh")
-    pairs = a.join(b, "cluster").filter("a <= b").filter(
-        (100 * F.col("a_max") >= percent * F.col("b_min")) & (100 * F.col("b_max") >= percent * F.col("a_min"))).filter(
+    meta = blocks.select("cluster", "block", "size", "l_min", "l_max")
+    a, b = meta.toDF("cluster", "a", "a_size", "al", "ah"), meta.toDF("cluster", "b", "b_size", "bl", "bh")
+    pairs = a.join(b, "cluster").filter("a <= b and abs(a_size - b_size) <= 1").filter(
         ~((F.col("al") == F.col("ah")) & (F.col("bl") == F.col("bh")) & (F.col("al") == F.col("bl")))).select("a", "b")
-    side = lambda c: blocks.select(F.col("block").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("labels", "sizes", "sets")])
-    both = pairs.repartition("a", "b").join(side("a"), "a").join(side("b"), "b").drop("a", "b")
+    side = lambda c: blocks.select(F.col("block").alias(c), F.col("labels").alias(f"labels_{c}"), F.col("sets").alias(f"sets_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").drop("a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                labels, sizes, sets, bounds = {}, {}, {}, {}
+            for i in range(batch.num_rows):  # a pair of blocks at a time
+                row = batch.slice(i, 1).to_pylist()[0]
+                labels, sets, bounds = {}, {}, {}
                 for c in "ab":
-                    labels[c], sizes[c] = (np.frombuffer(row[f"{x}_{c}"], np.int64) for x in ("labels", "sizes"))
-                    sets[c] = np.frombuffer(row[f"sets_{c}"], np.uint64)
-                    bounds[c] = np.concatenate(([0], np.cumsum(sizes[c])))
+                    labels[c] = np.array(row[f"labels_{c}"], np.int64)
+                    sets[c] = np.frombuffer(b"".join(row[f"sets_{c}"]), np.uint64)
+                    bounds[c] = np.concatenate(([0], np.cumsum([len(s) // 8 for s in row[f"sets_{c}"]])))
                 shared = shared_counts(sets["a"], bounds["a"], sets["b"], bounds["b"])
-                union = sizes["a"][:, None] + sizes["b"][None] - shared
-                i, j = np.nonzero((100 * shared >= percent * union) & (labels["a"][:, None] != labels["b"][None]))
-                found = forest(np.unique(np.stack([labels["a"][i], labels["b"][j]], axis=1), axis=0))
+                union = np.diff(bounds["a"])[:, None] + np.diff(bounds["b"])[None] - shared
+                x, y = np.nonzero((100 * shared >= percent * union) & (labels["a"][:, None] != labels["b"][None]))
+                found = forest(np.unique(np.stack([labels["a"][x], labels["b"][y]], axis=1), axis=0))
                 u, v = zip(*found, strict=True) if found else ((), ())
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
@@ -367,19 +352,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     found = write_table(components(links), "components")
 
     # Buckets whose members, without the hub, are still in several components.
+    # Components that hang together by such buckets are one cluster.
     label = F.coalesce("component", "node").alias("label")
     labelled = met.filter("size > 2").select("key", "node").join(found, "node", "left").select("key", "node", label)
-    several = labelled.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.min("node").alias("least")).filter("l != h")
-    loose = write_table(labelled.join(several.select("key", "least"), "key"), "loose-members")
-    clusters = components(loose.select(F.col("least").alias("u"), F.col("node").alias("v")))
-    left = clusters.select("node", F.col("component").alias("cluster")).join(
-        loose.select("node", "label").distinct(), "node")
+    several = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least != most")
+    loose = write_table(labelled.join(several.select("key", "least"), "key").select("node", "label", "least").distinct(), "loose-members")
+    clusters = components(loose.select(F.col("least").alias("u"), F.col("label").alias("v")))
+    left = loose.select("node", "label").distinct().join(clusters.select(F.col("node").alias("label"), F.col("component").alias("cluster")), "label")
     left = write_table(left.join(classes.select("node", "digest", "first_id", "n_shingles"), "node"), "loose-classes")
     left_sets = _sets(docs, left.select("node", "digest", "first_id"), width)
-    blocks = write_table(_blocks(left.select("node", "cluster", "label", "n_shingles").join(left_sets, "node")), "blocks")
-    more = write_table(_block_links(blocks, percent), "block-links")
+    members = write_table(left.select("node", "cluster", "label", "n_shingles").join(left_sets, "node"), "loose-sets")
+    blocks = write_table(_blocks(members, percent), "blocks")
+    drop_table(members)
+    joined = write_table(components(_block_links(blocks, percent)), "joined-components").toDF("component", "whole")
     drop_table(blocks)
-    final = write_table(components(links.unionByName(more)), "components")
+    # What the blocks have joined are components of before.
+    seeds = found.unionByName(joined.select(F.col("component").alias("node"), "component")).distinct()
+    final = write_table(seeds.join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component")).distinct(), "components")
 
     # Classes to documents.
     first = final.join(classes.select("node", "first_id"), "node")

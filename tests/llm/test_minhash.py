@@ -1,0 +1,134 @@
+import itertools
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from conftest import SF_SMALL
+
+from edges import edge_docs, no_docs  # noqa: F401  (fixtures)
+from panes.llm import minhash
+from panes.llm.components import components
+
+
+def shingles(text, width):
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else frozenset([tuple(w)] if w else [])
+
+
+def brute(rows, width, percent=80):
+    """Component ids by comparing all pairs."""
+    sets = [shingles(t, width) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    post = {}
+    for i, s in enumerate(sets):
+        for x in s:
+            post.setdefault(x, []).append(i)
+    shared = {}
+    for ids in post.values():
+        for a, b in itertools.combinations(ids, 2):
+            shared[a, b] = shared.get((a, b), 0) + 1
+    for (a, b), n in shared.items():
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
+            parent[root(b)] = root(a)
+    ids = {}
+    for i, (d, _) in enumerate(rows):
+        ids.setdefault(root(i), []).append(d)
+    least = {k: min((x for x in v if x is not None), default=None) for k, v in ids.items()}
+    out = []
+    for i, (d, _) in enumerate(rows):
+        c = least[root(i)]
+        out.append((d, len(sets[i]), c, c is None or d == c))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted([(r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in df.collect()], key=repr)
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_edges_against_brute_force(spark, edge_docs, no_docs, width):
+    rows = [(r["doc_id"], r["text"]) for r in edge_docs.select("doc_id", "text").collect()]
+    assert found(minhash.near_duplicates(edge_docs, width)) == brute(rows, width)
+    if width == 2:
+        assert minhash.near_duplicates(no_docs).collect() == []
+        assert minhash.drop_near_duplicates(no_docs).collect() == []
+
+
+def test_whole_table_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    assert found(minhash.near_duplicates(docs, 2)) == brute(rows, 2)
+
+
+def test_a_large_group_of_uneven_near_copies(spark, monkeypatch):
+    """Many members link with no hub: the block comparison has to find every component."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 16)
+    r = random.Random(4)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.randint(2, 9)):
+            w[r.randrange(60)] = f"x{r.randrange(12)}"
+        rows.append((i, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute(rows, 2)
+    assert 2 < len({c for _, _, c, _ in expected}) < 140
+    assert found(minhash.near_duplicates(docs, 2)) == expected
+
+
+def test_dropping_keeps_columns_and_one_of_each(spark, edge_docs):
+    out = minhash.drop_near_duplicates(edge_docs, 2)
+    assert out.columns == edge_docs.columns
+    ids = [r["doc_id"] for r in out.select("doc_id").collect()]
+    assert 1 in ids and not {2, 3, 4, 5} & set(ids) and {6, 7, 8, 9, 11, 12}.issubset(ids)
+
+
+def test_estimate_follows_similarity():
+    r = np.random.default_rng(1)
+    for similarity in (0.3, 0.6, 0.9):
+        for size in (4000, 300, 40):
+            got = []
+            for _ in range(40):
+                words = r.integers(0, 1 << 62, 2 * size).astype(str)
+                n = round(size * 2 * similarity / (1 + similarity))
+                texts = [" ".join(words[:size]), " ".join(np.concatenate([words[:n], words[size:2 * size - n]]))]
+                s, b = minhash.shingle_sets(pa.array(texts), 1)
+                k = minhash.sketches(s, b)
+                got.append(minhash.estimate(k[:1], k[1:], np.array([size]), np.array([size]))[0])
+            true = n / (2 * size - n)
+            assert abs(np.mean(got) - true) < 0.04, (similarity, size)
+
+
+def test_registers_of_disjoint_sets_hardly_agree():
+    texts = pa.array([" ".join(f"a{i}" for i in range(5000)), " ".join(f"b{i}" for i in range(5000))])
+    s, b = minhash.shingle_sets(texts, 1)
+    k = minhash.sketches(s, b)
+    assert (k[0] == k[1]).mean() < 0.05
+    assert 0 < minhash.chance_equal(np.array([5000]), np.array([5000]))[0] < 0.01
+
+
+def test_components(spark):
+    r = random.Random(2)
+    edges = [(i, i + 1) for i in range(0, 200)] + [(500, 500 + i) for i in range(1, 60)] + [(r.randrange(1000, 1100), r.randrange(1000, 1100)) for _ in range(80)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    got = {x["node"]: x["component"] for x in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {x: root(x) for x in parent if x in got}
+    assert set(got) == {x for e in edges if e[0] != e[1] for x in e}
+    assert components(spark.createDataFrame([], "u long, v long")).collect() == []
