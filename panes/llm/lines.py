@@ -5,8 +5,9 @@ found, bucketed by hash and sorted within its buckets.  A new batch is reduced
 to one row per line, anti-joined with the merged runs, which drops the lines
 known to be frequent already (their count no longer matters), and what is left
 becomes a run of level 0.  When a level has ``fanout`` runs they are merged into
-one run of the next level.  Runs share their buckets, so that merging and
-anti-joining are sort-merge joins without a shuffle.
+one run of the next level.  Runs share their buckets, so that a batch is held
+against any number of runs, and two runs are merged, by sort-merge joins that
+shuffle no run.
 
 A line's hash is 128 bits of its key.  In a task, a document's lines are hashed
 once and repeated lines of a document count once, so that what is shuffled is at
@@ -50,7 +51,7 @@ def line_keys(text: str | None) -> tuple[list[str], list[bytes]]:
 class LineRuns:
     """The store, in folder ``path``; opened again by its path."""
 
-    def __init__(self, spark: SparkSession, path: str, fanout: int = 4, buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, fanout: int = 2, buckets: int = 64):
         self.spark, self.path, self.fanout = spark, path, fanout
         names = list_paths(spark, path)
         self.buckets = next((int(n.split("-")[3]) for n in names if n.startswith("run-")), buckets)
@@ -78,7 +79,9 @@ class LineRuns:
         self.runs = sorted([*self.runs, run])
 
     def _merged(self, runs: list[tuple[int, int]]) -> DataFrame:
-        first, *others = [self._table(r) for r in runs]
+        # Not a union: in Spark 4.1 the union of two bucketed tables, grouped by the
+        # bucketing column, leaves groups apart.
+        first, *others = map(self._table, runs)
         for other in others:
             n = F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))
             first = first.join(other.withColumnRenamed("n", "m").hint("merge"), "hash", "full").select("hash", n.alias("n"))
@@ -90,12 +93,17 @@ class LineRuns:
             return self.spark.createDataFrame([], "hash binary, n long")
         return self._merged(self.runs)
 
+    def _unfinished(self, batch: DataFrame, enough: int) -> DataFrame:
+        """``batch`` without the lines that the runs together have ``enough`` times."""
+        rows, seen = batch.select("hash", "n").repartition(self.buckets, "hash"), F.lit(0)
+        for i, run in enumerate(self.runs):
+            rows = rows.join(self._table(run).withColumnRenamed("n", f"n{i}").hint("merge"), "hash", "left")
+            seen = seen + F.coalesce(f"n{i}", F.lit(0))
+        return rows.filter(seen < enough).select("hash", "n")
+
     def add(self, batch: DataFrame, enough: int) -> None:
         """Take in a batch (hash, n: a row for each line); lines found ``enough`` times before are done."""
-        rows = batch.select("hash", "n")
-        if self.runs:
-            rows = rows.join(self.counts().filter(F.col("n") >= enough).hint("merge"), "hash", "left_anti")
-        self._write(rows, 0, shuffled=True)
+        self._write(self._unfinished(batch, enough), 0, shuffled=True)
         level = 0
         while len(full := [r for r in self.runs if r[0] == level]) >= self.fanout:
             self._write(self._merged(full), level + 1, shuffled=False)
@@ -179,7 +187,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     spark = docs.sparkSession
     ship_package(spark)
     if runs is None:
-        runs = LineRuns(spark, scratch_path(spark, "line-runs"), fanout=2, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+        runs = LineRuns(spark, scratch_path(spark, "line-runs"), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select("doc_id", "text")
     cut = texts.withColumn("batch", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(batches)).cast("int"))
     counted = write_table(_hash_rows(cut, ["batch"], min_chars).groupBy("batch", "hash").agg(F.count(F.lit(1)).alias("n")),
