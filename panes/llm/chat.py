@@ -10,25 +10,25 @@ an empty one that is inserted.  The repaired sequence is rendered.
 A conversation may hold any share of all rows.  Rows are range-partitioned by
 conversation and turn, so a long conversation spreads over partitions; each
 partition holds a part of it.  A part's effect on the dynamic programme is a
-matrix (least cost from each state to each state).  The driver joins the
+matrix (least weight from each state to each state).  The driver joins the
 matrices of the parts at partition edges, at most two for each partition, and so
 learns the states in which every part begins and ends; each part is then
 repaired by itself.  The result is the one the whole sequence would have.
 
 Defined results.  Turns are ordered by ``turn`` (null first), then role, then
-text.  Rows that repeat are turns that repeat (and are merged).  Null text is
+a hash of the row.  Rows that repeat are turns that repeat (and are merged).  Null text is
 empty text; a null or unknown role may become any role for ``UNKNOWN``.  Rows with
-a null ``conv_id`` are one conversation.  Of equally cheap repairs the one that
-comes first in the order keep, merge, insert and system, user, assistant is
-taken, from the last turn back.  ``<|`` in a text is rendered as ``< |``.  An
-empty table gives no rows.  Other columns are not read.
+a null ``conv_id`` are one conversation.  Of equally cheap repairs one with more
+kept, then more merged turns is taken; of those that are still equal, a hash of
+the rows decides, so that the choice does not depend on where a conversation is
+cut.  ``<|`` in a text is rendered as ``< |``.  An empty table gives no rows.
+Other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -44,7 +44,10 @@ ROLES = ("", "system", "user", "assistant")
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 #: Costs of an edit; of giving a turn without a known role one; of an empty turn.
 MERGE, RELABEL, UNKNOWN, INSERT = 2, 3, 1, 4
-NEVER = 1 << 40
+#: A path's weight is its cost, then the sum of its steps' ranks, then of their ties.
+COST, RANK, TIE_BITS = 1 << 104, 1 << 80, 40
+RANKS = {"keep": 0, "merge": 1, "insert": 2}
+NEVER = 1 << 140
 #: Text bytes of a partition, and turns of a conversation whose parts are put together again.
 PART_BYTES, WHOLE_TURNS = 32 << 20, 10_000
 
@@ -69,6 +72,12 @@ def steps(role: int) -> list[tuple[int, int, int, str, int]]:
 STEPS = [steps(r) for r in range(4)]
 
 
+def weight(step: tuple, number: int, tie: int) -> int:
+    """What a step adds to a path's weight; ``tie``: a hash of the turn."""
+    mixed = (tie ^ (number + 1) * 0x9E3779B97F4A7C15) * 0xBF58476D1CE4E5B9 & (1 << 64) - 1
+    return step[2] * COST + RANKS[step[3]] * RANK + ((mixed ^ mixed >> 29) * 0x94D049BB133111EB & (1 << 64) - 1) // (1 << 64 - TIE_BITS)
+
+
 def role_of(name: str | None) -> int:
     return ROLES.index(name) if name in ROLES[1:] else 0
 
@@ -78,54 +87,55 @@ def ending(state: int) -> list[int]:
     return [] if state in (START, ASSISTANT) else [ASSISTANT] if state == USER else [USER, ASSISTANT]
 
 
-def matrix(roles: list[int]) -> np.ndarray:
-    """The least cost of the turns from each state to each state."""
-    one = np.full((4, 4, 4), NEVER, np.int64)
-    for r in range(4):
-        for before, after, cost, _, _ in STEPS[r]:
-            one[r, before, after] = min(one[r, before, after], cost)
-    out = np.where(np.eye(4, dtype=bool), 0, NEVER).astype(np.int64)
-    for r in roles:
-        out = np.minimum((out[:, :, None] + one[r][None]).min(axis=1), NEVER)
-    return out
+def forward(roles: list[int], ties: list[int], weights: dict[int, int]) -> tuple[dict[int, int], list[dict[int, tuple]]]:
+    """The least weights after the turns, from those before; and each turn's step to each state."""
+    back = []
+    for role, tie in zip(roles, ties, strict=True):
+        now: dict[int, int] = {}
+        how: dict[int, tuple] = {}
+        for number, step in enumerate(STEPS[role]):
+            before, after = step[:2]
+            if before in weights and (total := weights[before] + weight(step, number, tie)) < now.get(after, NEVER):
+                now[after], how[after] = total, step
+        back.append(how)
+        weights = now
+    return weights, back
+
 
+def matrix(roles: list[int], ties: list[int]) -> list[list[int]]:
+    """The least weight of the turns from each state to each state."""
+    return [[forward(roles, ties, {s: 0})[0].get(t, NEVER) for t in range(4)] for s in range(4)]
 
-def through(matrices: list[np.ndarray]) -> list[int]:
-    """The states before, between and after parts on a cheapest legal path."""
-    cost, back = np.array([0, NEVER, NEVER, NEVER]), []
+
+def closing(state: int) -> int:
+    return INSERT * len(ending(state)) * COST
+
+
+def through(matrices: list[list[list[int]]]) -> list[int]:
+    """The states before, between and after parts on the least path to a legal end."""
+    weights, back = [0, NEVER, NEVER, NEVER], []
     for m in matrices:
-        total = cost[:, None] + m
-        back.append(total.argmin(axis=0))
-        cost = total.min(axis=0)
-    path = [int((cost + np.array([INSERT * len(ending(s)) for s in range(4)])).argmin())]
+        best = [min((weights[s] + m[s][t], s) for s in range(4)) for t in range(4)]
+        back.append([s for _, s in best])
+        weights = [w for w, _ in best]
+    path = [min((weights[s] + closing(s), s) for s in range(4))[1]]
     for b in reversed(back):
-        path.append(int(b[path[-1]]))
+        path.append(b[path[-1]])
     return path[::-1]
 
 
-def repair(roles: list[int], entry: int = START, leave: int | None = None) -> tuple[int, list[tuple]]:
+def repair(roles: list[int], ties: list[int] | None = None, entry: int = START, leave: int | None = None) -> tuple[int, list[tuple]]:
     """Cost and steps of the cheapest repair from state ``entry`` to ``leave``, or to a legal end."""
-    cost, back = {entry: 0}, []
-    for r in roles:
-        now: dict[int, int] = {}
-        how: dict[int, tuple] = {}
-        for step in STEPS[r]:
-            before, after, c = step[:3]
-            if before in cost and cost[before] + c < now.get(after, NEVER):
-                now[after], how[after] = cost[before] + c, step
-        back.append(how)
-        cost = now
+    weights, back = forward(roles, ties or [0] * len(roles), {entry: 0})
     if leave is None:
-        end = {s: c + INSERT * len(ending(s)) for s, c in cost.items()}
-        leave = min(sorted(end), key=end.get)
-        total = end[leave]
+        total, leave = min((w + closing(s), s) for s, w in weights.items())
     else:
-        total = cost[leave]
+        total = weights[leave]
     path, state = [], leave
     for how in reversed(back):
         path.append(how[state])
         state = how[state][0]
-    return total, path[::-1]
+    return total // COST, path[::-1]
 
 
 def render(roles: list[int], texts: list[str | None], path: list[tuple], entry: int, last: bool) -> tuple[str, str, int]:
@@ -166,34 +176,37 @@ def _parts(rows: DataFrame, partitions: int) -> DataFrame:
     conv = rows.schema["conv_id"].dataType
     schema = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("no", T.IntegerType()), T.StructField("conv_id", conv),
                            T.StructField("edge", T.BooleanType()), T.StructField("roles", T.ArrayType(T.StringType())),
-                           T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("costs", T.ArrayType(T.LongType()))])
+                           T.StructField("texts", T.ArrayType(T.StringType())), T.StructField("ties", T.ArrayType(T.LongType())),
+                           T.StructField("weights", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, no, held, roles, texts, kind = TaskContext.get().partitionId(), 0, None, [], [], None
+        block, no, held, roles, texts, ties, kind = TaskContext.get().partitionId(), 0, None, [], [], [], None
 
         def row(edge: bool) -> pa.RecordBatch:
-            costs = matrix([role_of(r) for r in roles]).ravel().tolist() if edge else None
+            # As decimal numbers: they have more than 64 bits.
+            weights = [str(w) for row in matrix([role_of(r) for r in roles], ties) for w in row] if edge else None
             return pa.RecordBatch.from_arrays([
                 pa.array([block], pa.int32()), pa.array([no], pa.int32()), pa.array([held[0]], kind), pa.array([edge]),
                 pa.array([roles], pa.list_(pa.string())), pa.array([texts], pa.list_(pa.string())),
-                pa.array([costs], pa.list_(pa.int64()))], schema.fieldNames())
+                pa.array([ties], pa.list_(pa.int64())), pa.array([weights], pa.list_(pa.string()))], schema.fieldNames())
 
         for batch in batches:
             kind = batch.column(0).type
-            for c, role, text in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            for c, role, text, tie in zip(*(x.to_pylist() for x in batch.columns), strict=True):
                 if held is not None and held[0] != c:
                     yield row(edge=no == 0)
-                    no, roles, texts = no + 1, [], []
+                    no, roles, texts, ties = no + 1, [], [], []
                 held = (c,)
                 roles.append(role)
                 texts.append(text)
+                ties.append(tie)
         if held is not None:
             yield row(edge=True)
 
-    order = ["conv_id", "turn", "role", "hash", "rid"]
-    keyed = rows.withColumns({"hash": F.xxhash64("text"), "rid": F.monotonically_increasing_id()})
+    order = ["conv_id", "turn", "role", "tie", "rid"]
+    keyed = rows.withColumns({"tie": F.xxhash64("turn", "role", "text"), "rid": F.monotonically_increasing_id()})
     ordered = keyed.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    return ordered.select("conv_id", "role", "text").mapInArrow(run, schema)
+    return ordered.select("conv_id", "role", "text", "tie").mapInArrow(run, schema)
 
 
 def format_chats(turns: DataFrame, part_bytes: int = PART_BYTES, whole_turns: int = WHOLE_TURNS) -> DataFrame:
@@ -212,14 +225,14 @@ def format_chats(turns: DataFrame, part_bytes: int = PART_BYTES, whole_turns: in
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // part_bytes))
     parts = write_table(_parts(rows, partitions), "chat-parts")
     # At most two parts of each partition are at its edges.
-    edges = parts.filter("edge").select("block", "no", "conv_id", F.size("roles").alias("n"), "costs").orderBy("block", "no").collect()
+    edges = parts.filter("edge").select("block", "no", "conv_id", F.size("roles").alias("n"), "weights").orderBy("block", "no").collect()
     by: dict = {}
     for e in edges:
         by.setdefault(e["conv_id"], []).append(e)
     bounds, small = {}, []
     for conv, own in by.items():
         if len(own) > 1:
-            states = through([np.array(e["costs"]).reshape(4, 4) for e in own])
+            states = through([[[int(w) for w in e["weights"][4 * s:4 * s + 4]] for s in range(4)] for e in own])
             whole = sum(e["n"] for e in own) <= whole_turns
             for i, e in enumerate(own):
                 bounds[e["block"], e["no"]] = (i, states[i], states[i + 1], i == len(own) - 1, whole)
@@ -233,10 +246,10 @@ def format_chats(turns: DataFrame, part_bytes: int = PART_BYTES, whole_turns: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for block, no, names, texts in zip(*(batch.column(c).to_pylist() for c in ("block", "no", "roles", "texts")), strict=True):
+            for block, no, names, texts, ties in zip(*(batch.column(c).to_pylist() for c in ("block", "no", "roles", "texts", "ties")), strict=True):
                 roles = [role_of(r) for r in names]
                 part, entry, leave, last, join = shared.value.get((block, no), (0, START, None, True, False))
-                cost, path = repair(roles, entry, leave)
+                cost, path = repair(roles, ties, entry, leave)
                 if last and leave is not None:
                     cost += INSERT * len(ending(leave))
                 text, edits, opened = render(roles, texts, path, entry, last)
@@ -245,7 +258,7 @@ def format_chats(turns: DataFrame, part_bytes: int = PART_BYTES, whole_turns: in
                 columns = zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()), strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *[pa.array(c, k) for c, k in columns]], schema.fieldNames())
 
-    done = parts.select("block", "no", "conv_id", "roles", "texts").mapInArrow(run, schema)
+    done = parts.select("block", "no", "conv_id", "roles", "texts", "ties").mapInArrow(run, schema)
     if not small:
         return done.drop("join")
     done = write_table(done, "chat-rendered")
