@@ -270,7 +270,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 4096) ->
                     if whole < len(ids):
                         pool.put(doc, whole, ids[whole:].copy(), len(ids))
                 if pool.tokens >= POOL_TOKENS:
-                    while pool.tokens >= POOL_TOKENS // 2:
+                    while pool.tokens >= max(POOL_TOKENS // 2, capacity):
                         emit(pool.window())
                 if out:
                     yield flush()

@@ -172,6 +172,8 @@ class LabelModel:
 def fit_labels(pattern: np.ndarray, counts: np.ndarray, rounds: int = 500) -> LabelModel:
     """Expectation maximisation over pattern counts, from the share of bad votes."""
     votes = votes_of(pattern)
+    if not len(votes):
+        return LabelModel(0.5, np.full((2, votes.shape[1]), 0.5))
     bad, cast = (votes == 1).sum(axis=1), (votes > 0).sum(axis=1)
     q = np.clip(3 * bad / np.maximum(cast, 1), 0.01, 0.99)
     before = None
