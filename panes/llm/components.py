@@ -22,10 +22,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     joined = near.join(least, "u")
     if larger:
-        out = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    else:
-        out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v")))
+        return joined.filter("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
     return out.filter("u != v").distinct()
 
 

@@ -13,13 +13,12 @@ confirmed on full sets.
 
 Copies and hubs.  Documents with equal sets are one class from the start, kept
 as a row with its smallest id.  Within a band's bucket no pairs are listed:
-every class is compared with the bucket's hub, the class that meets most others
-over all bands.  A bucket whose members are then in one component needs no more
-comparisons.  Of the others, the members (without the hub, which has met them
-all) that hang together by such buckets are compared in blocks, a block with a
-block, skipping blocks whose set sizes rule a link out and pairs already in one
-component: this is exact, works on any number of members, and emits no more
-links than join components.
+every class is compared with the bucket's hub, its least member.  A bucket whose
+other members are all linked with one hub needs no more comparisons.  Of the
+rest, the members (without the hub, which has met them all) that hang together
+by such buckets are compared in blocks, a block with a block, skipping blocks
+whose set sizes rule a link out: this is exact, works on any number of members,
+and emits no more links than join components.
 
 Probability of missing a link: two sets of similarity ``s`` share none of the
 bands with ``(1 - s**rows) ** bands``, 5e-8 at 0.8 for 32 bands of 4.
@@ -162,7 +161,7 @@ def _sketch_rows(docs: DataFrame, width: int) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 shingles, bounds = shingle_sets(part.column(1), width)
                 digests = [xxhash.xxh3_128_digest(shingles[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 registers = sketches(shingles, bounds)
@@ -174,20 +173,22 @@ def _sketch_rows(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sketches and sizes do not rule a link out."""
+    """The pairs (u, v) whose sketches and sizes do not rule a link out, with their digests and first ids."""
     least = percent / 100 - SIGMAS * (percent / 100 * (1 - percent / 100) / (1 << BUCKET_BITS)) ** 0.5
-    side = lambda c: classes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
+    side = lambda c: classes.select(F.col("node").alias(c), *[F.col(x).alias(f"{y}_{c}") for x, y in (
+        ("n_shingles", "n"), ("registers", "r"), ("digest", "digest"), ("first_id", "first"))])
     both = pairs.join(side("v"), "v").join(side("u"), "u").filter(
         100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v"))
+    kept = ["u", "v", "digest_u", "first_u", "digest_v", "first_v"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 a, c = (np.frombuffer(b"".join(b.column(x).to_pylist()), np.uint16).reshape(b.num_rows, -1) for x in ("r_u", "r_v"))
                 n, m = (b.column(x).to_numpy() for x in ("n_u", "n_v"))
-                yield b.select(["u", "v"]).filter(pa.array(estimate(a, c, n, m) >= least))
+                yield b.select(kept).filter(pa.array(estimate(a, c, n, m) >= least))
 
-    return both.select("u", "v", "n_u", "n_v", "r_u", "r_v").mapInArrow(run, "u long, v long")
+    return both.select(*kept, "n_u", "n_v", "r_u", "r_v").mapInArrow(run, T.StructType([both.schema[c] for c in kept]))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -199,7 +200,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         import xxhash
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 << 20):
                 shingles, bounds = shingle_sets(part.column(2), width)
                 nodes, out = [], []
                 # An id may repeat with other texts: the digest tells which one is meant.
@@ -330,45 +331,40 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
     ).withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    # Members of the bands' buckets that more than one class is in.
+    # Members of the bands' buckets that more than one class is in; the least is the hub.
     width_bytes = 2 * ROWS
     keys = [F.xxhash64(F.lit(b), F.substring("registers", 1 + b * width_bytes, width_bytes)) for b in range(BANDS)]
     banded = classes.select("node", F.explode(F.array(*keys)).alias("key"))
-    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = write_table(banded.join(sizes, "key"), "band-members")
-    weight = members.groupBy("node").agg(F.sum("size").alias("weight"))
-    hubs = write_table(members.join(weight, "node").groupBy("key").agg(
-        F.max_by("node", F.struct("weight", -F.col("node"))).alias("hub")), "hubs")
-    met = members.join(hubs, "key").filter("node != hub")
-    pairs = write_table(met.select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct(), "pairs")
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub")).filter("size > 1")
+    members = write_table(banded.join(sizes, "key").filter("node != hub"), "band-members")
+    pairs = members.select(F.col("hub").alias("u"), F.col("node").alias("v")).repartition("v").distinct()
     likely = write_table(_likely(pairs, classes, percent), "likely-pairs")
-    drop_table(pairs)
-    used = likely.select(F.col("u").alias("node")).unionByName(likely.select(F.col("v").alias("node"))).distinct()
-    named = classes.select("node", "digest", "first_id")
-    sets = write_table(_sets(docs, write_table(named.join(used, "node", "left_semi"), "used"), width), "shingle-sets")
-    links = write_table(_confirmed(likely, sets, percent), "links")
+    sides = [likely.select(F.col(c).alias("node"), F.col(f"digest_{c}").alias("digest"), F.col(f"first_{c}").alias("first_id")) for c in "uv"]
+    sets = write_table(_sets(docs, write_table(sides[0].unionByName(sides[1]).distinct(), "used"), width), "shingle-sets")
+    links = write_table(_confirmed(likely.select("u", "v"), sets, percent), "links")
     drop_table(sets)
     drop_table(likely)
-    found = write_table(components(links), "components")
 
-    # Buckets whose members, without the hub, are still in several components.
-    # Components that hang together by such buckets are one cluster.
-    label = F.coalesce("component", "node").alias("label")
-    labelled = met.filter("size > 2").select("key", "node").join(found, "node", "left").select("key", "node", label)
+    # Classes linked with the same hub are in one component: the least such hub is
+    # their label.  Buckets whose members have several labels need comparing.
+    labels = links.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("label"))
+    labelled = members.filter("size > 2").select("key", "node").join(labels, "node", "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label"))
     several = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least != most")
     loose = write_table(labelled.join(several.select("key", "least"), "key").select("node", "label", "least").distinct(), "loose-members")
-    clusters = components(loose.select(F.col("least").alias("u"), F.col("label").alias("v")))
-    left = loose.select("node", "label").distinct().join(clusters.select(F.col("node").alias("label"), F.col("component").alias("cluster")), "label")
-    left = write_table(left.join(classes.select("node", "digest", "first_id", "n_shingles"), "node"), "loose-classes")
-    left_sets = _sets(docs, left.select("node", "digest", "first_id"), width)
-    members = write_table(left.select("node", "cluster", "label", "n_shingles").join(left_sets, "node"), "loose-sets")
-    blocks = write_table(_blocks(members, percent), "blocks")
-    drop_table(members)
-    joined = write_table(components(_block_links(blocks, percent)), "joined-components").toDF("component", "whole")
-    drop_table(blocks)
-    # What the blocks have joined are components of before.
-    seeds = found.unionByName(joined.select(F.col("component").alias("node"), "component")).distinct()
-    final = write_table(seeds.join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component")).distinct(), "components")
+    if not loose.isEmpty():
+        # Labels that hang together by such buckets are one cluster.
+        clusters = components(loose.select(F.col("least").alias("u"), F.col("label").alias("v")))
+        left = loose.select("node", "label").distinct().join(
+            clusters.select(F.col("node").alias("label"), F.col("component").alias("cluster")), "label")
+        left = write_table(left.join(classes.select("node", "digest", "first_id", "n_shingles"), "node"), "loose-classes")
+        left_sets = _sets(docs, left.select("node", "digest", "first_id"), width)
+        loose_sets = write_table(left.select("node", "cluster", "label", "n_shingles").join(left_sets, "node"), "loose-sets")
+        blocks = write_table(_blocks(loose_sets, percent), "blocks")
+        links = links.unionByName(write_table(_block_links(blocks, percent), "block-links"))
+        drop_table(loose_sets)
+        drop_table(blocks)
+    final = write_table(components(links), "components")
 
     # Classes to documents.
     first = final.join(classes.select("node", "first_id"), "node")
