@@ -15,11 +15,14 @@ repeated ``--option key=value`` (for example
 ``kafka.bootstrap.servers=host:9092``).  With a file format (``parquet``,
 a ``value BINARY`` column) topics are folders and arrival time is the read
 time.
-Counts of the fan-out jobs are printed (the reference's print tap) unless
-``--counts`` names a folder.  Stream jobs block until stopped, as
-``wait_until_finish``; ``--available-now`` processes what is there and ends
-(not for the processing-time jobs, whose timers keep a stream running).
-Checkpoints go under ``spark.checkpoint.dir`` (``--checkpoint`` to set it).
+Counts of the fan-out jobs are printed (the reference's print tap, by the
+tasks that have them) unless ``--counts`` names a folder.  Stream jobs block
+until stopped, as ``wait_until_finish``; ``--available-now`` processes what is
+there and ends (not for the processing-time jobs, whose timers keep a stream
+running).  A stream job needs ``--checkpoint``: each branch keeps its place in
+``<checkpoint>/<job>/<branch>``, and the job started again goes on from there.
+``--delay`` is the allowed lateness of the event-time jobs.  ``--mode
+permissive`` leaves bad messages out; ``--rejects`` keeps them in a folder.
 ``--network`` and unknown options are accepted and ignored, as the
 reference's runner options are.
 """
@@ -28,18 +31,18 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.codec import decode_utf8
-from .functions.timestamps import JITTER_SECONDS
 from .plans import pipelines, streams
 from .session import build_session
 from .sources.lines import constant_messages, read_documents
 from .sources.messages import normalize_messages, read_messages, tap_messages
-from .streaming.sinks import Sink, console_tap, publish, run_available
+from .streaming.sinks import Sink, fan_out, publish, run_available
 
 # Subcommands and the reference job each one replaces (fixed values).
 JOBS = {
@@ -75,7 +78,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--key", help="publish-stamped: numeric field for a repeatable jitter")
     p.add_argument("--with-data", action="store_true", help="receive: print payloads too")
     p.add_argument("--available-now", action="store_true", help="streams: process what is there, then end")
-    p.add_argument("--checkpoint", help="shared checkpoint folder, when the cluster names none")
+    p.add_argument("--checkpoint", help="shared folder in which a stream job keeps its place (required for them)")
+    p.add_argument("--delay", default="0 seconds", help="event-time jobs: allowed lateness")
+    p.add_argument("--rejects", help="folder for messages that permissive mode leaves out")
     p.add_argument("--network", help="accepted and ignored (a runner option)")
     return p
 
@@ -104,23 +109,22 @@ def bus_sink(fmt: str, topic: str, options: dict, trigger: dict) -> Sink:
 
 
 def count_sink(path: str | None, trigger: dict) -> Sink:
+    """A folder, or the print tap (``Sink("noop")`` behind it: what is printed is the output)."""
     if path:
         return Sink("parquet", {"path": path}, trigger=trigger)
-    return Sink("console", {"truncate": "false"}, trigger=trigger)
+    return Sink("noop", trigger=trigger, tap="count: ")
 
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None):
     """Run one job.  Returns the batch count DataFrame for ``batch``, else None."""
     args, _unknown = parser().parse_known_args(argv)
     spark = spark or build_session(app_name=f"panes-{args.job}")
-    if args.checkpoint and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(args.checkpoint)
     opts = _options(args.option)
     spark.sparkContext.setJobDescription(args.job)
 
     if args.job == "batch":
         n = pipelines.run_batch_file(spark, args.input, args.output, args.mode,
-                                     args.explicit_window)
+                                     args.explicit_window, tap=True)
         if not args.output:
             n.show()
         return n
@@ -128,36 +132,38 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
         publish(constant_messages(spark, args.payload, args.copies), **_publish_to(args, opts))
         return None
     if args.job == "publish-stamped":
-        docs = read_documents(spark, args.input)
+        docs = read_documents(spark, args.input, mode=args.mode)
         # The reference draws the jitter at random; a key makes it repeatable.
-        key = F.col(args.key) if args.key else F.floor(F.rand() * JITTER_SECONDS)
         start = args.start or str(dt.datetime.now())
-        publish(pipelines.stamped_messages(docs, start, key), **_publish_to(args, opts))
+        publish(pipelines.stamped_elements(docs, start, args.key), **_publish_to(args, opts))
         return None
 
+    if not args.checkpoint:
+        raise SystemExit(f"{args.job} needs --checkpoint: a folder in which it keeps its place")
     msgs = bus_source(spark, args.format, args.in_topic, opts)
     timer = {"processingTime": "1 second"}
     trigger = {"availableNow": True} if args.available_now else {}
+    chk = os.path.join(args.checkpoint, args.job)
     if args.job == "receive":
         tapped = tap_messages(msgs, with_data=args.with_data)
         if args.with_data:  # printed as text; bytes that are not UTF-8 show as NULL
             tapped = tapped.withColumn("data", decode_utf8("data", "permissive"))
-        q = console_tap(tapped, name="receive", trigger=trigger)
-        run_available(q, None)
+        run_available(fan_out({"tap": (tapped, Sink("noop", trigger=trigger, tap="received: "))}, chk), None)
         return None
+    how = {"mode": args.mode, "checkpoint": chk, "rejects": Sink("parquet", {"path": args.rejects}, trigger=trigger) if args.rejects else None}
     out = bus_sink(args.format, args.out_topic, opts, trigger)
     if args.job == "fixed-window":
-        qs = streams.fixed_window_job(msgs, count_sink(args.counts, trigger), out)
+        qs = streams.fixed_window_job(msgs, count_sink(args.counts, trigger), out, delay=args.delay, **how)
     elif args.job == "sliding-window":
-        qs = streams.sliding_window_job(msgs, count_sink(args.counts, trigger), out)
+        qs = streams.sliding_window_job(msgs, count_sink(args.counts, trigger), out, delay=args.delay, **how)
     elif args.job == "global-delay":
-        qs = streams.global_delay_job(msgs, count_sink(args.counts, timer), out)
+        qs = streams.global_delay_job(msgs, count_sink(args.counts, timer), out, **how)
     elif args.job == "after-watermark":
-        qs = streams.watermark_count_job(msgs, out, "after_watermark")
+        qs = streams.watermark_count_job(msgs, out, "after_watermark", delay=args.delay, **how)
     elif args.job == "default-trigger":
-        qs = streams.watermark_count_job(msgs, out, "default")
+        qs = streams.watermark_count_job(msgs, out, "default", delay=args.delay, **how)
     else:  # processing-time
-        qs = streams.processing_time_count_job(msgs, bus_sink(args.format, args.out_topic, opts, timer))
+        qs = streams.processing_time_count_job(msgs, bus_sink(args.format, args.out_topic, opts, timer), **how)
     run_available(qs, None)
     return None
 

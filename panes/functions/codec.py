@@ -61,24 +61,25 @@ def parse(c: str | Column, mode: str = "strict", schema=None) -> Column:
     return F.parse_json(c) if mode == "strict" else F.try_parse_json(c)
 
 
-def _json_ends(c: Column) -> tuple[Column, Column, dict]:
-    """The text without leading blanks, without trailing blanks, and whether
-    it ends with the closer of each opener.
-
-    Prefix / suffix tests are O(1); trimming (a copy) happens only when the
-    text really starts or ends with whitespace.  Whole texts can be megabytes.
-    Spark's JSON readers stop after the first complete value while Python
-    rejects trailing text (``[1] x``), so a value must end with its closer.
+#: Stands after a text in the frame that tells whether the text is one value.
+_END = "__end_of_value__"
+
+#: Python takes what Spark's JSON readers take by default, but for this.
+_PYTHON_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+
+
+def _framed(c: Column) -> Column:
+    """The text as an array of two: itself and the end mark.
+
+    Spark's JSON readers stop after the first complete value.  Inside an array
+    they cannot: a second value, an extra closer or any trailing text makes the
+    array malformed or gives it another size or another last element.
     """
-    lead_ws, trail_ws = F.lit(False), F.lit(False)
-    for w in JSON_WHITESPACE:
-        lead_ws = lead_ws | c.startswith(w)
-        trail_ws = trail_ws | c.endswith(w)
-    head = F.when(lead_ws, F.ltrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
-    tail = F.when(trail_ws, F.rtrim(c, F.lit(JSON_WHITESPACE))).otherwise(c)
-    closed = {"[": tail.endswith("]"), "{": tail.endswith("}"),
-              '"': tail.endswith('"') & (F.length(tail) > 1)}
-    return head, tail, closed
+    return F.from_json(F.concat(F.lit("["), c, F.lit(f',"{_END}"]')), "array<string>", _PYTHON_JSON)
+
+
+def _is_one_value(frame: Column) -> Column:
+    return F.coalesce((F.size(frame) == 2) & (F.element_at(frame, -1) == _END), F.lit(False))
 
 
 def json_length(c: str | Column, mode: str = "strict") -> Column:
@@ -88,48 +89,31 @@ def json_length(c: str | Column, mode: str = "strict") -> Column:
     string -> code points.  Numbers, booleans, null, malformed or empty text
     have no length: strict mode raises, permissive mode gives NULL.
 
-    The first non-blank character picks the branch, so each row is parsed
-    once.  Objects are not sent through VARIANT, which rejects repeated keys.
-    Text after the value is rejected when the last non-blank character does
-    not close it (``[1] x``).  Not caught: a second value ending in the same
-    closer (``[1] [2]``, ``[1]]``) and single-quoted strings inside an array,
-    which Spark's JSON reader accepts and Python does not.
+    The first non-blank character picks the branch.  ``NaN`` and ``Infinity``
+    are values, as in Python; the fast readers of arrays and objects do not take
+    them, so the general one stands behind each.
     """
     _check_mode(mode)
     c = col_of(c)
-    head, _, closed = _json_ends(c)
-    n = (F.when(head.startswith("[") & closed["["], F.json_array_length(c))
-          .when(head.startswith("{") & closed["{"],
-                F.array_size(F.array_distinct(F.json_object_keys(c))))
-          .when(head.startswith('"') & closed['"'],
-                F.length(F.try_variant_get(F.try_parse_json(c), "$", "string")))
+    frame = _framed(c)
+    head = F.substring(F.ltrim(F.substring(c, 1, 64), F.lit(JSON_WHITESPACE)), 1, 1)
+    first = F.when(head == "", F.substring(F.ltrim(c, F.lit(JSON_WHITESPACE)), 1, 1)).otherwise(head)
+    items = F.coalesce(F.json_array_length(c), F.size(F.from_json(c, "array<string>", _PYTHON_JSON)))
+    keys = F.coalesce(F.json_object_keys(c), F.map_keys(F.from_json(c, "map<string,string>", _PYTHON_JSON)))
+    n = (F.when(~_is_one_value(frame), None)
+          .when(first == "[", items)
+          .when(first == "{", F.array_size(F.array_distinct(keys)))
+          .when(first == '"', F.length(F.element_at(frame, 1)))
           .cast("long"))
     if mode == "permissive":
         return n
     return _or_raise(n, "JSON value has no length (not an array, object or string)")
 
 
-# Fixed value: a whole JSON scalar other than a string, as Python's json
-# module reads it (it also accepts NaN, Infinity and -Infinity).
-JSON_SCALAR = r"-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity"
-
-
 def json_valid(c: str | Column) -> Column:
     """Whether a text is one JSON value as Python's ``json.loads`` accepts it
-    (P2 as a check): TRUE or FALSE, never NULL.
-
-    Containers go through Spark's JSON readers, which tokenize all nested
-    content and, unlike VARIANT, allow repeated keys; strings through the
-    VARIANT parser; other scalars through an exact pattern.  The same
-    closer check and known gaps as ``json_length`` apply.
-    """
-    c = col_of(c)
-    head, _, closed = _json_ends(c)
-    ok = (F.when(head.startswith("["), closed["["] & F.json_array_length(c).isNotNull())
-           .when(head.startswith("{"), closed["{"] & F.json_object_keys(c).isNotNull())
-           .when(head.startswith('"'), closed['"'] & F.try_parse_json(c).isNotNull())
-           .otherwise(F.btrim(c, F.lit(JSON_WHITESPACE)).rlike(f"^({JSON_SCALAR})$")))
-    return F.coalesce(ok, F.lit(False))
+    (P2 as a check): TRUE or FALSE, never NULL."""
+    return _is_one_value(_framed(col_of(c)))
 
 
 def json_array_text(c: str | Column) -> Column:

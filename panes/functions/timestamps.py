@@ -95,40 +95,55 @@ def _ntz(c: Column) -> Column:
     return F.try_to_timestamp_ntz(c) if hasattr(F, "try_to_timestamp_ntz") else c.try_cast("timestamp_ntz")
 
 
-def _has_zone(c: Column) -> Column:
-    """Whether an ISO date-time ends with ``Z``, ``+HH:MM``, ``+HHMM`` or
-    ``+HH``: O(1) tests on the last characters (no regex per row), after a
-    time part (a date alone also ends in ``-DD``)."""
-    def sign_at(k: int) -> Column:
-        return F.substring(c, -k, 1).isin("+", "-")
-    has_time = (F.instr(c, ":") > 0) | (F.instr(c, "T") > 0)
-    return c.endswith("Z") | (has_time & (sign_at(6) | sign_at(5) | sign_at(3)))
-
-
-def _zoned_to_utc(c: Column) -> Column:
-    """Local date-time minus its UTC offset, by interval arithmetic on
-    TIMESTAMP_NTZ: no zone database and no session zone are involved."""
-    zone = r"\s*(Z|([+-])(\d{2}):?(\d{2})?)\s*$"
-    local = _ntz(F.regexp_replace(c, zone, ""))
-    hours = F.regexp_extract(c, zone, 3)
-    minutes = F.regexp_extract(c, zone, 4)
-    secs = (F.when(hours == "", 0).otherwise(hours.cast("int")) * 3600
-            + F.when(minutes == "", 0).otherwise(minutes.cast("int")) * 60)
-    secs = F.when(F.regexp_extract(c, zone, 2) == "-", -secs).otherwise(secs)
-    return local - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
+#: ISO-8601 date and time as Python's ``datetime.fromisoformat`` reads them: extended
+#: or basic date; any one character; extended or basic time of hours, minutes and
+#: seconds with a fraction; Z or an offset.
+_DATE = r"(?:(\d{4})-(\d{2})-(\d{2})|(\d{4})(\d{2})(\d{2}))"
+_CLOCK = r"(?:(\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d+))?)?)?|(\d{2})(\d{2})(?:(\d{2})(?:[.,](\d+))?)?)"
+_OFFSET = r"(?:(Z)|([+-])(\d{2})(?::?([0-5]\d)(?::?([0-5]\d)(?:[.,](\d+))?)?)?)"
+ISO = f"(?s)^{_DATE}(?:.{_CLOCK}{_OFFSET}?)?\\z"
+
+
+def _plain(c: Column) -> Column:
+    """Whether the text has one of the usual shapes, by O(1) tests (no regex per
+    row): a date, or a date and time with up to 6 digits of fraction and no zone.
+    The cast checks the digits in between."""
+    digit = lambda k: F.substring(c, k, 1).between("0", "9")
+    n = F.length(c)
+    clock = (F.substring(c, 14, 1) == ":") & (F.substring(c, 17, 1) == ":") & (
+        (n == 19) | (n.between(21, 26) & (F.substring(c, 20, 1) == ".")))
+    return digit(1) & digit(-1) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-") & ((n == 10) | clock)
+
+
+def _general(c: Column) -> Column:
+    """Any ISO text, taken apart by the pattern and put together again in UTC:
+    no zone database and no session zone are involved."""
+    def part(*groups: int, default: str = "") -> Column:
+        found = [F.regexp_extract(c, ISO, g) for g in groups]
+        return F.coalesce(*[F.when(f != "", f) for f in found], F.lit(default))
+
+    micros = lambda *g: F.rpad(F.substring(part(*g, default="0"), 1, 6), 6, "0")
+    local = _ntz(F.concat(part(1, 4), F.lit("-"), part(2, 5), F.lit("-"), part(3, 6), F.lit(" "), part(7, 11, default="00"), F.lit(":"),
+                          part(8, 12, default="00"), F.lit(":"), part(9, 13, default="00"), F.lit("."), micros(10, 14)))
+    whole = part(17, default="0").cast("int") * 3600 + part(18, default="0").cast("int") * 60 + part(19, default="0").cast("int")
+    seconds = whole.cast("decimal(18,6)") + (micros(20).cast("decimal(18,6)") / 1_000_000).cast("decimal(18,6)")
+    signed = F.when(part(16) == "-", -seconds).otherwise(seconds).cast("decimal(18,6)")
+    # An offset is less than a day.
+    return F.when(c.rlike(ISO) & (whole < 86_400), local - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), signed))
 
 
 def parse_iso(c: str | Column, mode: str = "strict") -> Column:
-    """ISO-8601 text (0-6 fractional digits, date-only allowed) to
-    TIMESTAMP_NTZ, the UTC wall clock (P8).  ``strict`` raises on bad text,
-    ``permissive`` gives NULL.
+    """ISO-8601 text to TIMESTAMP_NTZ, the UTC wall clock (P8), as Python's
+    ``datetime.fromisoformat`` reads it (without week dates; a fraction beyond 6
+    digits is cut off).  ``strict`` raises on bad text, ``permissive`` gives NULL.
 
     Zone-less text is read as UTC wall clock, whatever the session zone.  Text
     with an offset or ``Z`` is the instant it names (as Python's
     ``fromisoformat(...).timestamp()``), converted to UTC wall clock.
     """
     c = col_of(c)
-    parsed = F.when(_has_zone(c), _zoned_to_utc(c)).otherwise(_ntz(c))
+    # The pattern is only tried where the usual shapes fail.
+    parsed = F.coalesce(F.when(_plain(c), _ntz(c)), _general(c))
     if mode == "permissive":
         return parsed
     # coalesce keeps the parse once in the plan; NULL text stays NULL.
@@ -156,8 +171,11 @@ JITTER_MULTIPLIER = 7919
 
 
 def jitter_seconds(key: str | Column, spread: int = JITTER_SECONDS) -> Column:
-    """Repeatable whole-second jitter in [0, spread) derived from a key."""
-    return F.pmod(col_of(key).cast("long") * F.lit(JITTER_MULTIPLIER), F.lit(spread))
+    """Repeatable whole-second jitter in [0, spread) derived from a key.
+
+    The key is reduced first, so that no key overflows.
+    """
+    return F.pmod(F.pmod(col_of(key).cast("long"), F.lit(spread)) * F.lit(JITTER_MULTIPLIER), F.lit(spread))
 
 
 def stamp(base: str | Column, key: str | Column, spread: int = JITTER_SECONDS) -> Column:

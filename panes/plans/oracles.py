@@ -60,23 +60,19 @@ FROM events""",
     "quote_normalize": QUOTES,
 }
 
-# Append mode on a bounded replay: a window is emitted once the final
-# watermark (max event time, delay 0) has passed its end.
-_FINAL = "WHERE window_end <= (SELECT max(ts) FROM events)"
-
 _RECORD_TEXT = f"""to_json({{'event_id': event_id, 'timestamp': {_PY_TS}, 'user_id': user_id,
                 'event_type': event_type, 'value': value, 'props': json(props)}})::VARCHAR"""
 
 ORACLE_SQL.update({
-    "stream_fixed_window": f"SELECT * FROM ({FIXED}) {_FINAL}",
-    "stream_sliding_window": f"SELECT * FROM ({SLIDING}) {_FINAL}",
-    "stream_sliding_window_slices": f"SELECT * FROM ({SLIDING}) {_FINAL}",
-    "stream_count_after_watermark": f"SELECT n::VARCHAR AS value FROM ({FIXED}) {_FINAL}",
-    "stream_count_default_trigger": f"SELECT n::VARCHAR AS value FROM ({FIXED}) {_FINAL}",
+    "stream_fixed_window": FIXED,
+    "stream_sliding_window": SLIDING,
+    "stream_sliding_window_slices": SLIDING,
+    "stream_count_after_watermark": f"SELECT n::VARCHAR AS value FROM ({FIXED})",
+    "stream_count_default_trigger": f"SELECT n::VARCHAR AS value FROM ({FIXED})",
     "stream_passthrough": f"SELECT {_RECORD_TEXT} AS payload FROM events",
     "stream_message_tap": "SELECT ts AS publish_time FROM events",
     "stream_message_tap_data": f"SELECT ts AS publish_time, {_RECORD_TEXT} AS data FROM events",
-    "stream_arrival_fixed_window": f"SELECT * FROM ({FIXED}) {_FINAL}",
+    "stream_arrival_fixed_window": FIXED,
 })
 
 
@@ -101,7 +97,7 @@ HAVING count(*) > 0""",
 })
 
 ORACLE_SQL["publish_stamped"] = """
-SELECT to_json({'event_id': event_id, 'event_type': event_type, 'value': value,
+SELECT to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'value': value, 'props': json(props),
                 'timestamp': strftime(TIMESTAMP '2024-01-01 00:00:00'
                                       + to_seconds((event_id * 7919) % 20), '%Y-%m-%d %H:%M:%S')
                })::VARCHAR AS payload
@@ -126,3 +122,27 @@ ORACLE_SQL.update({
     "stream_global_pane": "SELECT count(*) AS n FROM events HAVING count(*) > 0",
     "stream_window_panes": FIXED,
 })
+
+# Fifths of the time range in the order 2, 3, 0, 4, 1: fifths 0 and 1 are late.
+_FIFTH = """(SELECT *, (epoch_us(ts) - (SELECT min(epoch_us(ts)) FROM events)) * 5
+                       // (SELECT max(epoch_us(ts)) - min(epoch_us(ts)) + 1 FROM events) AS fifth FROM events)"""
+_BUCKET = "time_bucket(INTERVAL 10 SECOND, ts)"
+
+ORACLE_SQL.update({
+    "window_pane_part": first_pane_windows_sql(3600, 1800),
+    "print_tap_lengths": "SELECT doc_id, len(string_split(text, ' '))::BIGINT AS length FROM documents",
+    "stream_fan_out": f"""
+SELECT 'counts' AS branch, window_start, n, NULL::VARCHAR AS payload
+FROM ({FIXED})
+UNION ALL
+SELECT 'records', NULL, NULL, {_RECORD_TEXT} FROM events""",
+    "stream_late_rows": f"""
+SELECT {_BUCKET} AS window_start, {_BUCKET} + INTERVAL 10 SECOND AS window_end, count(*) AS n
+FROM {_FIFTH} WHERE fifth >= 2 GROUP BY 1, 2""",
+    "stream_window_panes_closed": f"""
+WITH k AS (SELECT {_BUCKET} AS window_start, event_id % 2 AS half FROM events),
+     f AS (SELECT window_start, min(half) AS first_half FROM k GROUP BY 1)
+SELECT k.window_start, k.window_start + INTERVAL 10 SECOND AS window_end, count(*) AS n
+FROM k JOIN f ON k.window_start = f.window_start AND k.half = f.first_half GROUP BY 1, 2""",
+    "stream_global_pane_closed": "SELECT count(*) AS n FROM events WHERE event_id % 2 = 0 HAVING count(*) > 0",
+})

@@ -14,6 +14,7 @@ from ..functions.codec import encode_utf8, json_length, to_json_record
 from ..functions.timestamps import format_iso, stamp
 from ..operators.windows import COUNT, global_window
 from ..sources.lines import read_lines
+from ..streaming.sinks import print_tap, with_types
 
 
 def batch_lengths(lines: DataFrame, mode: str = "strict", value_col: str = "value") -> DataFrame:
@@ -39,13 +40,21 @@ def batch_count(lines: DataFrame, mode: str = "strict", explicit_window: bool =
 
 
 def run_batch_file(spark: SparkSession, input: str, output: str | None = None,
-                   mode: str = "strict", explicit_window: bool = False) -> DataFrame:
+                   mode: str = "strict", explicit_window: bool = False, tap: bool = False) -> DataFrame:
     """The batch length-and-count job over text files, with its options.
 
     Returns the count; writes it as JSON lines under ``output`` when given.
+    ``tap``: every line's length, and its type, is printed on its way.
     """
-    spark.sparkContext.setJobDescription("receive_data > jsonload > count > CountGlobally")
-    n = batch_count(read_lines(spark, input), mode, explicit_window)
+    spark.sparkContext.setJobDescription("lines, JSON length, global count")
+    lines = read_lines(spark, input)
+    if tap:
+        lengths = print_tap(with_types(batch_lengths(lines, mode).select("length")), "length: ")
+        if explicit_window:
+            lengths = global_window(lengths)
+        n = lengths.agg(F.count("length").alias(COUNT)).where(F.col(COUNT) > 0)
+    else:
+        n = batch_count(lines, mode, explicit_window)
     if output:
         n.write.mode("overwrite").json(output)
     return n
@@ -62,3 +71,17 @@ def stamped_messages(records: DataFrame, base: str, key, spread: int = 20,
     t = format_iso(stamp(base, key, spread))
     rec = F.struct(*[F.col(c) for c in records.columns if c != field], t.alias(field))
     return records.select(encode_utf8(to_json_record(rec)).alias("value"))
+
+
+def stamped_elements(elements: DataFrame, base: str, key=None, spread: int = 20,
+                     field: str = "timestamp") -> DataFrame:
+    """The same for objects of a JSON document (column ``element``, VARIANT): each
+    keeps its own fields, and gets or overwrites ``timestamp``.
+
+    ``key`` names the field the jitter is drawn from; without it, it is random.
+    """
+    drawn = F.try_variant_get("element", f"$.{key}", "long") if key else F.floor(F.rand() * spread)
+    t = format_iso(stamp(base, drawn, spread))
+    own = F.from_json(F.to_json("element"), "map<string,variant>")
+    rec = F.map_concat(F.map_filter(own, lambda k, v: k != field), F.create_map(F.lit(field), t.cast("variant")))
+    return elements.select(encode_utf8(F.to_json(rec)).alias("value"))

@@ -19,8 +19,8 @@ from ..operators.panes import first_pane_global, first_pane_windows
 from ..session import scratch_path
 from ..sources.documents import write_documents
 from ..sources.lines import read_documents, read_lines, word_array_lines
-from ..sources.tables import spread, table
-from ..streaming.sinks import publish, with_types
+from ..sources.tables import table
+from ..streaming.sinks import print_tap, publish, with_types
 from .pipelines import batch_count, batch_lengths, run_batch_file, stamped_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,7 +48,7 @@ def sliding_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines derived from ``documents``: the word array of each whole text."""
-    return word_array_lines(spread(table(spark, sf_dir, "documents")), "doc_id", "text")
+    return word_array_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 def json_array_length(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,13 +59,13 @@ def json_array_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_object_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of each JSON object payload (its distinct keys)."""
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         "event_id", codec.json_length("props").alias("n_keys"))
 
 
 def json_string_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of a JSON string (code points), over whole texts."""
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id", codec.json_length(codec.json_string_text("text")).alias("text_len"))
 
 
@@ -88,7 +88,7 @@ def event_record(ev: DataFrame):
 
 def record_to_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A record serialised to JSON text."""
-    ev = spread(table(spark, sf_dir, "events"))
+    ev = table(spark, sf_dir, "events")
     return ev.select("event_id", codec.to_json_record(event_record(ev)).alias("payload"))
 
 
@@ -117,10 +117,12 @@ def stamp_jitter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records stamped with start + jitter, serialised,
-    encoded and published once (to a folder under the shared checkpoint
-    folder); what was published is read back as text."""
-    ev = spread(table(spark, sf_dir, "events")).select("event_id", "event_type", "value")
+    """Records with all their columns, stamped with start +
+    jitter over the ``timestamp`` they have, serialised, encoded and published
+    once (to a folder under the shared checkpoint folder); read back as text."""
+    ev = table(spark, sf_dir, "events")
+    ev = ev.select(format_iso("ts").alias("timestamp"), "event_id", "user_id", "event_type", "value",
+                   F.parse_json("props").alias("props"))
     bus = scratch_path(spark, "publish_stamped")
     publish(stamped_messages(ev, STAMP_BASE, "event_id"), "parquet", path=bus)
     return spark.read.parquet(bus).select(codec.decode_utf8("value").alias("payload"))
@@ -132,6 +134,12 @@ def typed_tap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_types(lengths)
 
 
+def print_tap_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: the per-line lengths through the print tap, which prints every element
+    where it is and passes it on unchanged."""
+    return print_tap(batch_lengths(document_lines(spark, sf_dir)).select("doc_id", "length"), "length: ")
+
+
 def _json_lines_file(spark: SparkSession, sf_dir: str) -> str:
     """A JSON-lines text input derived from ``documents`` (one word array per
     line), written under the shared checkpoint folder."""
@@ -142,7 +150,7 @@ def _json_lines_file(spark: SparkSession, sf_dir: str) -> str:
 
 def text_file_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job's per-line branch over a text file."""
-    lines = spread(read_lines(spark, _json_lines_file(spark, sf_dir)))
+    lines = read_lines(spark, _json_lines_file(spark, sf_dir))
     return batch_lengths(lines).select("length")
 
 
@@ -192,6 +200,12 @@ def window_pane_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_pane_windows(table(spark, sf_dir, "events"), "ts", FIXED_SIZE, WINDOW_PANE_DELAY)
 
 
+def window_pane_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 batch twin with a delay below the window: 1 h windows, fired 30 min after
+    their first arrival, hold the rows that arrived by then."""
+    return first_pane_windows(table(spark, sf_dir, "events"), "ts", "1 hour", "30 minutes")
+
+
 QUERIES: dict[str, Query] = {
     "fixed_window_count": fixed_window_count,
     "sliding_window_count": sliding_window_count,
@@ -214,4 +228,6 @@ QUERIES: dict[str, Query] = {
     "document_elements_lines": document_elements_lines,
     "global_pane_once": global_pane_once,
     "window_pane_once": window_pane_once,
+    "window_pane_part": window_pane_part,
+    "print_tap_lengths": print_tap_lengths,
 }

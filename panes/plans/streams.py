@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_utf8, encode_utf8, json_valid
+from ..functions.timestamps import to_instant
+from ..operators.windows import fixed_window
+from ..session import scratch_path
 from ..sources.messages import messages_from_records, table_stream, tap_messages
-from ..streaming.event_time import with_arrival_time, with_event_time
-from ..streaming.sinks import Sink, fan_out, materialize, materialize_first_firing
+from ..sources.tables import table
+from ..streaming.event_time import rejected, with_arrival_time, with_event_time
+from ..streaming.sinks import Sink, fan_out, materialize, materialize_firings, materialize_to_end, run_available, with_end
 from ..streaming.triggers import count_after_processing_time
 from ..streaming.windows import count_on_watermark, counts_as_messages
 from .queries import (FIXED_SIZE, GLOBAL_PANE_DELAY, SLIDING_PERIOD, SLIDING_SIZE,
@@ -48,48 +52,59 @@ def event_time_counts(messages: DataFrame, size: str = FIXED_SIZE, period: str |
 
 # --------------------------------------------------------------- pipelines --
 
+def _with_rejects(branches: dict, messages: DataFrame, rejects: Sink | None, field: str | None) -> dict:
+    return {**branches, "rejects": (rejected(messages, field), rejects)} if rejects else branches
+
+
 def fixed_window_job(messages: DataFrame, count_sink: Sink, out_sink: Sink,
-                     size: str = FIXED_SIZE, delay: str = "0 seconds"):
+                     size: str = FIXED_SIZE, delay: str = "0 seconds", mode: str = "strict",
+                     checkpoint: str | None = None, rejects: Sink | None = None):
     """Fixed-window count printed / stored, raw records republished (fan-out)."""
-    return fan_out({
-        "CountGlobally": (event_time_counts(messages, size, None, delay), count_sink),
-        "send_to_bus": (passthrough(messages), out_sink),
-    })
+    return fan_out(_with_rejects({
+        "window-counts": (event_time_counts(messages, size, None, delay, mode=mode), count_sink),
+        "records": (passthrough(messages, mode), out_sink),
+    }, messages, rejects, "timestamp"), checkpoint)
 
 
 def sliding_window_job(messages: DataFrame, count_sink: Sink, out_sink: Sink,
                        size: str = SLIDING_SIZE, period: str = SLIDING_PERIOD,
-                       delay: str = "0 seconds"):
+                       delay: str = "0 seconds", mode: str = "strict",
+                       checkpoint: str | None = None, rejects: Sink | None = None):
     """Sliding-window count plus the republished records (fan-out)."""
-    return fan_out({
-        "Count": (event_time_counts(messages, size, period, delay), count_sink),
-        "send_to_bus": (passthrough(messages), out_sink),
-    })
+    return fan_out(_with_rejects({
+        "window-counts": (event_time_counts(messages, size, period, delay, mode=mode), count_sink),
+        "records": (passthrough(messages, mode), out_sink),
+    }, messages, rejects, "timestamp"), checkpoint)
 
 
 def watermark_count_job(messages: DataFrame, out_sink: Sink, trigger: str = "after_watermark",
-                        size: str = FIXED_SIZE, delay: str = "0 seconds"):
+                        size: str = FIXED_SIZE, delay: str = "0 seconds", mode: str = "strict",
+                        checkpoint: str | None = None, rejects: Sink | None = None):
     """Fixed-window counts published as messages (D2 with T2 / T3)."""
-    counts = event_time_counts(messages, size, None, delay, trigger)
-    return fan_out({"send_to_bus": (counts_as_messages(counts).select("value"), out_sink)})
+    counts = event_time_counts(messages, size, None, delay, trigger, mode)
+    return fan_out(_with_rejects({"published-counts": (counts_as_messages(counts).select("value"), out_sink)},
+                                 messages, rejects, "timestamp"), checkpoint)
 
 
 def global_delay_job(messages: DataFrame, count_sink: Sink, out_sink: Sink,
-                     delay: str = "10 seconds", repeat: bool = False):
+                     delay: str = "10 seconds", repeat: bool = False, mode: str = "strict",
+                     checkpoint: str | None = None, rejects: Sink | None = None):
     """Global window fired by a processing-time delay (T4), plus the republished
     records (fan-out).  Needs a processing-time trigger on ``count_sink``."""
-    return fan_out({
-        "CountGlobally": (count_after_processing_time(messages, delay, None, repeat), count_sink),
-        "send_to_bus": (passthrough(messages), out_sink),
-    })
+    return fan_out(_with_rejects({
+        "pane-counts": (count_after_processing_time(messages, delay, None, repeat, mode=mode), count_sink),
+        "records": (passthrough(messages, mode), out_sink),
+    }, messages, rejects, None), checkpoint)
 
 
 def processing_time_count_job(messages: DataFrame, out_sink: Sink, size: str = FIXED_SIZE,
-                              delay: str = "30 seconds", repeat: bool = False):
+                              delay: str = "30 seconds", repeat: bool = False, mode: str = "strict",
+                              checkpoint: str | None = None, rejects: Sink | None = None):
     """Fixed windows of arrival time, each fired once ``delay`` after its first
     arrival (T5), counts published as messages (D2)."""
-    counts = count_after_processing_time(messages, delay, size, repeat)
-    return fan_out({"send_to_bus": (counts_as_messages(counts).select("value"), out_sink)})
+    counts = count_after_processing_time(messages, delay, size, repeat, mode=mode)
+    return fan_out(_with_rejects({"published-counts": (counts_as_messages(counts).select("value"), out_sink)},
+                                 messages, rejects, None), checkpoint)
 
 
 # ------------------------------------------------------ registered queries --
@@ -101,29 +116,29 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixed 10 s event-time windows, append mode."""
-    counts = event_time_counts(event_messages(spark, sf_dir), FIXED_SIZE)
-    return materialize(counts, "stream_fixed_window")
+    """Fixed 10 s event-time windows, append mode."""
+    return materialize_to_end(event_messages(spark, sf_dir), lambda m: event_time_counts(m, FIXED_SIZE), "stream_fixed_window")
 
 
 def stream_sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sliding 20 s / 10 s event-time windows."""
-    counts = event_time_counts(event_messages(spark, sf_dir), SLIDING_SIZE, SLIDING_PERIOD)
-    return materialize(counts, "stream_sliding_window")
+    """Sliding 20 s / 10 s event-time windows."""
+    return materialize_to_end(event_messages(spark, sf_dir), lambda m: event_time_counts(m, SLIDING_SIZE, SLIDING_PERIOD),
+                              "stream_sliding_window")
 
 
 def stream_sliding_window_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sliding windows from 10 s slices summed by a chained
     windowed aggregate (the opt-in plan for wide windows; the replay has no
     late rows, so it equals the default plan)."""
-    counts = event_time_counts(event_messages(spark, sf_dir), SLIDING_SIZE, SLIDING_PERIOD,
-                               method="slices")
-    return materialize(counts, "stream_sliding_window_slices")
+    return materialize_to_end(event_messages(spark, sf_dir),
+                              lambda m: event_time_counts(m, SLIDING_SIZE, SLIDING_PERIOD, method="slices"),
+                              "stream_sliding_window_slices")
 
 
 def _published_counts(spark: SparkSession, sf_dir: str, trigger: str, name: str) -> DataFrame:
-    counts = event_time_counts(event_messages(spark, sf_dir), FIXED_SIZE, trigger=trigger)
-    out = materialize(counts_as_messages(counts).select("value"), name)
+    out = materialize_to_end(
+        event_messages(spark, sf_dir),
+        lambda m: counts_as_messages(event_time_counts(m, FIXED_SIZE, trigger=trigger)).select("value"), name)
     return out.select(decode_utf8("value").alias("value"))
 
 
@@ -137,6 +152,58 @@ def stream_count_default_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published_counts(spark, sf_dir, "default", "stream_count_default_trigger")
 
 
+def stream_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One message source, both branches of the fixed-window job at once
+    (counts, and the records republished), each through its own sink.  Run
+    twice from one checkpoint: the second run closes the last windows."""
+    counts, records, chk = (scratch_path(spark, f"stream_fan_out-{x}") for x in ("counts", "records", "checkpoint"))
+    messages = event_messages(spark, sf_dir)
+    to_end, put_end = with_end(messages, "stream_fan_out")
+    for last in (False, True):
+        if last:
+            put_end()
+        run_available(fan_out({"window-counts": (event_time_counts(to_end), Sink("parquet", {"path": counts})),
+                               "records": (passthrough(messages), Sink("parquet", {"path": records}))}, chk))
+    counted = spark.read.schema("window_start timestamp_ntz, window_end timestamp_ntz, n long").parquet(counts)
+    sent = spark.read.schema("value binary").parquet(records)
+    return counted.select(F.lit("counts").alias("branch"), "window_start", "n", F.lit(None).cast("string").alias("payload")).unionByName(
+        sent.select(F.lit("records").alias("branch"), F.lit(None).cast("timestamp_ntz").alias("window_start"),
+                    F.lit(None).cast("long").alias("n"), decode_utf8("value").alias("payload")))
+
+
+# Fifths of the time range of ``events``, in the order they are sent.
+LATE_ORDER = (2, 3, 0, 4, 1)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: ``events`` sent out of time order, a fifth of the time range a
+    micro-batch, allowed lateness 0.
+
+    A batch's rows are held against the watermark of the batch before, which is
+    the latest time up to then.  So fifth 0, sent third, is late behind fifth 2,
+    and fifth 1, sent last, behind fifth 3: neither is counted.
+    """
+    ev = table(spark, sf_dir, "events")
+    at = F.unix_micros(to_instant("ts", ev.schema["ts"].dataType))
+    low, high = ev.select(F.min(at), F.max(at)).first()
+    part = F.floor((at - F.lit(low)) * 5 / F.lit(high - low + 1))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bus = scratch_path(spark, "stream_late_rows-bus")
+    for fifth in LATE_ORDER:
+        # Numbered by row, so that each of the files gets rows: a batch is so many files.
+        ev.where(part == fifth).repartition(files).write.option("maxRecordsPerFile", 0).mode("append").parquet(bus)
+    written = len([n for n in _names(spark, bus) if n.endswith(".parquet")])
+    replay = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", written // len(LATE_ORDER)).parquet(bus)
+    return materialize_to_end(messages_from_records(replay, event_record(replay), "ts"),
+                              lambda m: event_time_counts(m, FIXED_SIZE), "stream_late_rows")
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
 def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records republished unchanged (read back as text)."""
     out = materialize(passthrough(event_messages(spark, sf_dir)), "stream_passthrough")
@@ -165,8 +232,13 @@ def stream_message_tap_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_arrival_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed windows of arrival (publish) time, no assignment step."""
-    counts = count_on_watermark(with_arrival_time(event_messages(spark, sf_dir)), FIXED_SIZE)
-    return materialize(counts, "stream_arrival_fixed_window")
+    return materialize_to_end(event_messages(spark, sf_dir), lambda m: count_on_watermark(with_arrival_time(m), FIXED_SIZE),
+                              "stream_arrival_fixed_window")
+
+
+def _windows(ev: DataFrame) -> int:
+    """How many 10 s windows the rows of ``events`` are in: the panes they open."""
+    return ev.select(fixed_window("ts", FIXED_SIZE).start.alias("w")).distinct().count()
 
 
 def stream_global_pane(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,16 +246,39 @@ def stream_global_pane(spark: SparkSession, sf_dir: str) -> DataFrame:
     its first arrival.  The replay puts every message in the first
     micro-batch, so the one pane holds them all."""
     counts = count_after_processing_time(event_messages(spark, sf_dir), GLOBAL_PANE_DELAY)
-    return materialize_first_firing(counts, "stream_global_pane")
+    return materialize_firings(counts, "stream_global_pane", min(1, _windows(table(spark, sf_dir, "events"))))
 
 
 def stream_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed 10 s windows of arrival time, each fired 30 s
     (processing time) after its first arrival; all windows open in the first
-    micro-batch of the replay and fire together, holding all their rows."""
+    micro-batch of the replay, holding all their rows."""
     counts = count_after_processing_time(event_messages(spark, sf_dir), WINDOW_PANE_DELAY,
                                          FIXED_SIZE)
-    return materialize_first_firing(counts, "stream_window_panes")
+    return materialize_firings(counts, "stream_window_panes", _windows(table(spark, sf_dir, "events")))
+
+
+def _in_two_halves(spark: SparkSession, sf_dir: str, name: str, window: str | None, delay: str) -> DataFrame:
+    """Even events arrive, their panes fire, then odd events arrive."""
+    ev = table(spark, sf_dir, "events")
+    even, odd = ev.where(F.pmod("event_id", F.lit(2)) == 0), ev.where(F.pmod("event_id", F.lit(2)) == 1)
+    bus = scratch_path(spark, f"{name}-bus")
+    even.write.parquet(bus)
+    replay = spark.readStream.schema(ev.schema).parquet(bus)
+    counts = count_after_processing_time(messages_from_records(replay, event_record(replay), "ts"), delay, window)
+    panes, first = (1, 1) if window is None else (_windows(ev), _windows(even))
+    return materialize_firings(counts, name, panes, then=(first, lambda: odd.write.mode("append").parquet(bus)), settle=7)
+
+
+def stream_window_panes_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 A1: even events arrive, their panes fire after 5 s, then odd events do.
+    A fired pane drops them; windows without even events fire with them."""
+    return _in_two_halves(spark, sf_dir, "stream_window_panes_closed", FIXED_SIZE, "5 seconds")
+
+
+def stream_global_pane_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 A1: even events arrive and the global pane fires; what arrives later is not in it."""
+    return _in_two_halves(spark, sf_dir, "stream_global_pane_closed", None, "5 seconds")
 
 
 STREAM_QUERIES = {
@@ -198,4 +293,8 @@ STREAM_QUERIES = {
     "stream_arrival_fixed_window": stream_arrival_fixed_window,
     "stream_global_pane": stream_global_pane,
     "stream_window_panes": stream_window_panes,
+    "stream_fan_out": stream_fan_out,
+    "stream_late_rows": stream_late_rows,
+    "stream_window_panes_closed": stream_window_panes_closed,
+    "stream_global_pane_closed": stream_global_pane_closed,
 }

@@ -32,31 +32,33 @@ def read_documents(spark: SparkSession, path: str, schema=None, stream: bool = F
                    layout: str = "whole", mode: str = "strict", **options) -> DataFrame:
     """JSON documents holding one array of objects (S3): one row per element.
 
+    With ``schema`` the rows have its columns; without, one column ``element``
+    (VARIANT) that holds each object with its own fields.
+
     ``layout="whole"`` reads any formatting: each file is parsed whole by one
     task (a JSON array does not split), so parallelism comes from the number
     of files.  ``layout="lines"`` is for documents with one element per line
     (``[{...}`` / ``,{...}`` / ``]``, as ``sources.documents.write_documents``
     writes them): the text reader splits even one huge file into
-    ``maxPartitionBytes`` tasks, and each line is parsed on its own.  It
-    needs ``schema`` for a stream; a batch read infers it from the elements.
-    ``mode`` applies to the ``lines`` parse: strict fails on a bad element.
+    ``maxPartitionBytes`` tasks, and each line is parsed on its own.
+    Strict mode fails on a malformed document or element.
     """
+    opts = {"mode": "FAILFAST" if mode == "strict" else "PERMISSIVE"}
     if layout == "whole":
         reader = spark.readStream if stream else spark.read
-        reader = reader.option("multiLine", True).options(**options)
+        reader = reader.option("multiLine", True).options(**{**opts, **options})
         if schema is not None:
-            reader = reader.schema(schema)
-        return reader.json(path)
+            return reader.schema(schema).json(path)
+        whole = reader.option("singleVariantColumn", "document").json(path)
+        return whole.lateralJoin(spark.tvf.variant_explode(F.col("document").outer())).select(F.col("value").alias("element"))
     if layout != "lines":
         raise ValueError("layout must be 'whole' or 'lines'")
     element = F.regexp_replace(F.regexp_replace("value", _ELEMENT_LEAD, ""), _ELEMENT_TRAIL, "")
     elements = read_lines(spark, path, stream, **options).select(element.alias("element")) \
         .where(F.length("element") > 0)
     if schema is None:
-        if stream:
-            raise ValueError("a stream of documents needs a schema")
-        schema = spark.read.json(elements.rdd.map(lambda r: r.element)).schema
-    opts = {"mode": "FAILFAST" if mode == "strict" else "PERMISSIVE"}
+        parsed = F.parse_json("element") if mode == "strict" else F.try_parse_json("element")
+        return elements.select(parsed.alias("element"))
     return elements.select(F.from_json("element", schema, opts).alias("_e")).select("_e.*")
 
 

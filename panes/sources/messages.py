@@ -50,21 +50,20 @@ def read_messages(spark: SparkSession, format: str, path: str | None = None,
     return normalize_messages(df, data, publish_time)
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
     """One parquet table of an sf folder as a file stream (a replayed bus).
 
-    When the file gives fewer splits than cores, each micro-batch is
-    round-robined over the cores before the per-message JSON work.
+    The table may be one file or a folder of part files.
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
-    static = spark.read.parquet(path)
-    stream = (spark.readStream.schema(static.schema)
-                   .option("pathGlobFilter", f"{name}.parquet")
-                   .parquet(sf_dir))
-    cores = spark.sparkContext.defaultParallelism
-    if static.rdd.getNumPartitions() < cores:
-        stream = stream.repartition(cores)
-    return stream
+    schema = spark.read.parquet(path).schema
+    reader = spark.readStream.schema(schema).options(**options)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.getFileStatus(p).isDirectory():
+        return reader.parquet(path)
+    # A stream reads folders: the one the file is in, and of it this file alone.
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 def messages_from_records(df: DataFrame, record: Column, publish_time: str | Column) -> DataFrame:

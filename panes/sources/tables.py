@@ -11,17 +11,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` as a DataFrame (lazy; pruned and pushed down)."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cores when the scan yields fewer splits
-    than cores (a small file, or one row group, is read by a single task).
-
-    Use before CPU-heavy per-row work (JSON parse / serialise of whole texts).
-    The check is made at planning time; on a large input with many splits it
-    is a no-op, so no shuffle of raw data is added at scale.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-

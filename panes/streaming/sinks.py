@@ -8,7 +8,9 @@ committed offsets and state.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+import time
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,29 +33,16 @@ def with_types(df: DataFrame) -> DataFrame:
     return df.select("*", *[F.typeof(c).alias(f"{c}_type") for c in df.columns])
 
 
-def console_tap(df: DataFrame, name: str | None = None, n: int = 20,
-                checkpoint: str | None = None,
-                trigger: dict | None = None) -> StreamingQuery | None:
-    """Print rows (K3): ``show`` for batch; per micro-batch ``show`` for streams.
+def print_tap(df: DataFrame, label: str = "") -> DataFrame:
+    """Print tap (K3): every row is printed by the task that has it, one line
+    each, to its standard output (an executor's log), and passed on unchanged."""
+    def lines(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                print(label + str(tuple(row.values())), flush=True)
+            yield batch
 
-    Only ``n`` rows per batch reach the driver (a limit, not a collect), so the
-    tap is safe on any volume; it prints a sample, not every element.
-    """
-    if not df.isStreaming:
-        df.show(n, truncate=False)
-        return None
-
-    def show(batch: DataFrame, batch_id: int) -> None:
-        print(f"-- batch {batch_id} --")
-        batch.show(n, truncate=False)
-
-    chk = checkpoint or scratch_path(df.sparkSession, "console-tap-checkpoint")
-    w = df.writeStream.foreachBatch(show).option("checkpointLocation", chk)
-    if name:
-        w = w.queryName(name)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+    return df.mapInArrow(lines, df.schema)
 
 
 @dataclass
@@ -64,12 +53,15 @@ class Sink:
     output_mode: str = "append"
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
     checkpoint: str | None = None
+    tap: str | None = None  # print each row, after this label, before it is written
 
 
 def write_stream(df: DataFrame, sink: Sink, name: str) -> StreamingQuery:
     """Start one streaming write with its own checkpoint (K1 / K2 stream form)."""
     spark = df.sparkSession
     chk = sink.checkpoint or scratch_path(spark, f"{name}-checkpoint")
+    if sink.tap is not None:
+        df = print_tap(df, sink.tap)
     w = (df.writeStream.format(sink.format).options(**sink.options)
            .outputMode(sink.output_mode).option("checkpointLocation", chk)
            .queryName(name))
@@ -90,79 +82,159 @@ def publish(messages: DataFrame, format: str, mode: str = "append", **options) -
     messages.select(*cols).write.format(format).mode(mode).options(**options).save()
 
 
-def fan_out(branches: dict[str, tuple[DataFrame, Sink]]) -> dict[str, StreamingQuery]:
+def fan_out(branches: dict[str, tuple[DataFrame, Sink]], checkpoint: str | None = None) -> dict[str, StreamingQuery]:
     """One definition feeding several branches (D1): one query per branch,
-    each with its own checkpoint, all running together."""
-    return {name: write_stream(df, sink, name) for name, (df, sink) in branches.items()}
+    each with its own checkpoint, all running together.
+
+    With ``checkpoint``, a branch's checkpoint is ``<checkpoint>/<branch>``: a job
+    started again with the same folder goes on where it stopped.  Each branch
+    reads the source by itself, so ``n`` branches read it ``n`` times; on a bus
+    where that matters, publish once and derive the rest from what was published.
+    """
+    started: dict[str, StreamingQuery] = {}
+    for name, (df, sink) in branches.items():
+        if checkpoint and not sink.checkpoint:
+            sink = replace(sink, checkpoint=os.path.join(checkpoint, name))
+        try:
+            started[name] = write_stream(df, sink, name)
+        except Exception:
+            for q in started.values():
+                q.stop()
+            raise
+    return started
 
 
 def run_available(queries: StreamingQuery | dict[str, StreamingQuery],
                   timeout: float | None = None, stop_at_timeout: bool = False) -> None:
-    """Block until the queries finish (``wait_until_finish``, D4); re-raise failures.
+    """Block until all queries finish (``wait_until_finish``, D4).
 
-    A query still running after ``timeout`` seconds is stopped; that is an
-    error unless ``stop_at_timeout`` (a continuous job run for a while).
+    When one fails the others are stopped and its failure is raised, whatever
+    the others are doing.  With ``timeout``, queries still running after so many
+    seconds are stopped; that is an error unless ``stop_at_timeout`` (a
+    continuous job run for a while).
     """
     qs = [queries] if isinstance(queries, StreamingQuery) else list(queries.values())
-    for q in qs:
-        q.awaitTermination(timeout)
-        unfinished = q.isActive
-        if unfinished:
+    end = None if timeout is None else time.monotonic() + timeout
+    try:
+        while True:
+            for q in qs:
+                if q.exception() is not None:
+                    raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")
+            running = [q for q in qs if q.isActive]
+            if not running:
+                return
+            if end is not None and time.monotonic() > end:
+                if stop_at_timeout:
+                    return
+                raise TimeoutError(f"streaming query {running[0].name} did not finish in {timeout} s")
+            time.sleep(0.1)
+    finally:
+        for q in qs:
             q.stop()
-        err = q.exception()
-        if err is not None:
-            raise RuntimeError(f"streaming query {q.name} failed: {err}")
-        if unfinished and not stop_at_timeout:
-            raise TimeoutError(f"streaming query {q.name} did not finish in {timeout} s")
 
 
 def materialize(df: DataFrame, name: str, output_mode: str = "append",
-                timeout: float | None = 600) -> DataFrame:
+                timeout: float | None = None) -> DataFrame:
     """Run a stream over all data available now into parquet under the shared
     checkpoint folder; return the committed result as a batch DataFrame."""
-    spark: SparkSession = df.sparkSession
-    out = scratch_path(spark, f"{name}-out")
-    run_name = os.path.basename(out)  # unique among active queries
-    q = write_stream(df, Sink("parquet", {"path": out}, output_mode), run_name)
-    run_available(q, timeout)
-    return spark.read.schema(df.schema).parquet(out)
+    out = scratch_path(df.sparkSession, f"{name}-out")
+    run_available(write_stream(df, Sink("parquet", {"path": out}, output_mode), os.path.basename(out)), timeout)
+    return df.sparkSession.read.schema(df.schema).parquet(out)
 
 
-def materialize_first_firing(df: DataFrame, name: str, every: str = "1 second",
-                             timeout: float = 600) -> DataFrame:
-    """Run a processing-time-fired stream until its first output is committed,
-    then stop it; return that committed output as a batch DataFrame.
+#: The end record of a bounded input: a message later than any window that counts.
+END_TIME = "9999-01-01 00:00:00"
+
+
+def end_record(spark: SparkSession) -> DataFrame:
+    """One message whose payload and publish time name ``END_TIME``."""
+    payload = '{"timestamp": "' + END_TIME + '", "end": true}'
+    return spark.range(1).select(encode_utf8(F.lit(payload)).alias("data"), F.lit(END_TIME).cast("timestamp").alias("publish_time"))
 
-    For streams whose panes fire on timers (``availableNow`` does not end
-    while timers are pending).  When every input row is in the first
-    micro-batch, as for one replayed file, all panes are opened in that batch
-    and fire together, so the first committed output is the whole answer.
-    """
-    import time
 
-    spark: SparkSession = df.sparkSession
+def with_end(messages: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """The messages followed by an end record, and what puts the record there.
+
+    A watermark only passes the windows before the last event.  So run a query
+    over these messages to the end of its input, put the end record behind it,
+    and run the query again from its checkpoint: the record moves the watermark
+    past every real window, which then fire.  The record's own windows never
+    close, so it is not counted.
+    """
+    spark = messages.sparkSession
+    ends = scratch_path(spark, f"{name}-ends")
+    # The folder exists, and has no record, from the start.
+    end_record(spark).limit(0).write.parquet(ends)
+    behind = spark.readStream.schema("data binary, publish_time timestamp").parquet(ends)
+    both = messages.select("data", "publish_time").unionByName(behind)
+    return both, lambda: end_record(spark).write.mode("append").parquet(ends)
+
+
+def materialize_to_end(messages: DataFrame, build: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """Run ``build(messages)`` over a bounded input to its end: every window closes."""
+    spark = messages.sparkSession
+    out, chk = (scratch_path(spark, f"{name}-{x}") for x in ("out", "checkpoint"))
+    both, put_end = with_end(messages, name)
+    counts = build(both)
+    for last in (False, True):
+        if last:
+            put_end()
+        run_available(write_stream(counts, Sink("parquet", {"path": out}, checkpoint=chk), os.path.basename(out)))
+    return spark.read.schema(counts.schema).parquet(out)
+
+
+def materialize_firings(df: DataFrame, name: str, panes: int, every: str = "1 second",
+                        then: tuple[int, Callable[[], None]] | None = None, settle: float = 0) -> DataFrame:
+    """Run a processing-time-fired stream until ``panes`` panes have fired, then
+    stop it; return what was committed as a batch DataFrame.
+
+    ``availableNow`` does not end while timers are pending, so the caller says
+    how many panes the input opens.  ``then``: once so many have fired, call
+    this (for instance to let more messages arrive).  ``settle``: at the end go
+    on for so many seconds after all that has arrived is read, so that a pane
+    fired twice would show.
+    """
+    spark = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
-    q = write_stream(df, Sink("parquet", {"path": out}, "append", {"processingTime": every}),
-                     os.path.basename(out))
+    q = write_stream(df, Sink("parquet", {"path": out}, "append", {"processingTime": every}), os.path.basename(out))
     try:
-        end = time.monotonic() + timeout
-        while True:
+        fired = 0
+        while fired < panes:
             if q.exception() is not None:
                 raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")
             # Progress is reported only after a batch commits, and by then the
             # sink's log exists: the read goes through it, so it sees
             # committed files only.
-            if q.lastProgress and spark.read.schema(df.schema).parquet(out).limit(1).count():
-                break
-            if time.monotonic() > end:
-                raise TimeoutError(f"streaming query {q.name} fired nothing in {timeout} s")
+            fired = spark.read.schema(df.schema).parquet(out).count() if q.lastProgress else 0
+            if then and fired >= then[0]:
+                then[1]()
+                then = None
             time.sleep(0.5)
+        if settle:
+            q.processAllAvailable()
+            time.sleep(settle)
     finally:
         q.stop()
     return spark.read.schema(df.schema).parquet(out)
 
 
+class LateRows:
+    """Late rows dropped over a whole run (L1).
+
+    Spark keeps the last 100 progress reports; ``look`` adds those it has not
+    seen, so call it at least once every 100 micro-batches.  Spark counts rows
+    after the partial aggregate: late rows of one task and window count once.
+    """
+
+    def __init__(self) -> None:
+        self.seen: dict[int, int] = {}
+
+    def look(self, query: StreamingQuery) -> int:
+        for p in query.recentProgress:
+            self.seen[p["batchId"]] = sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+        return sum(self.seen.values())
+
+
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows dropped as late by the watermark over the query's recent batches (L1)."""
-    return sum(op.get("numRowsDroppedByWatermark", 0)
-               for p in query.recentProgress for op in p.get("stateOperators", []))
+    """Late rows dropped over the reports Spark still has (see ``LateRows``)."""
+    return LateRows().look(query)

@@ -5,9 +5,9 @@ arrival-time window) and fires ``delay`` later by the processing-time clock.
 ``repeat=False`` (the reference: no ``Repeatedly``) fires each key once and
 drops later arrivals; ``repeat=True`` opens a new pane at the next arrival.
 
-Plan: arrival window key in the JVM -> per-task partial counts in Arrow
-(``mapInArrow``) -> ``groupBy(key).transformWithState`` holding ``(n, closed)``
-and one timer per open pane.  The stateful operator sees one row per key per
+Plan: payload check and arrival window key in the JVM -> per-task partial counts
+in Arrow (``mapInArrow``) -> ``groupBy(key).transformWithState`` holding the open
+count, or the mark of a fired pane, and one timer per open pane.  The stateful operator sees one row per key per
 task per micro-batch, never the raw rows of a hot key.
 """
 
@@ -25,6 +25,7 @@ from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from ..functions.timestamps import duration_str, duration_us, micros_to_ntz
 from ..operators.windows import COUNT, count_fixed, count_global
 from ..session import scratch_path
+from .event_time import arrival_time
 
 # The processor and the Arrow function run in Python workers; ship this
 # module's code with them so executors need not have the package installed.
@@ -35,25 +36,26 @@ _STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _PARTIAL_SCHEMA = StructType([StructField(PANE_KEY, LongType()), StructField(COUNT, LongType())])
-_PANE_STATE = StructType([StructField("n", LongType()), StructField("closed", BooleanType())])
+_OPEN_STATE = StructType([StructField("n", LongType())])
+_CLOSED_STATE = StructType([StructField("closed", BooleanType())])
 
 
 def partial_counts(batches):
     """``mapInArrow`` body: rows per pane key within one task, one batch out."""
     import pyarrow as pa
 
-    parts = []
+    t = None
     for b in batches:
-        if b.num_rows:
-            t = pa.Table.from_batches([b]).group_by(PANE_KEY).aggregate([([], "count_all")])
-            parts.append(t.rename_columns([PANE_KEY, COUNT]) if t.column_names[0] == PANE_KEY
-                         else t.select([PANE_KEY, "count_all"]).rename_columns([PANE_KEY, COUNT]))
-    if not parts:
+        if not b.num_rows:
+            continue
+        own = pa.Table.from_batches([b]).group_by(PANE_KEY).aggregate([([], "count_all")])
+        own = own.select([PANE_KEY, "count_all"]).rename_columns([PANE_KEY, COUNT])
+        if t is not None:  # one row per key is held, however many batches there are
+            own = pa.concat_tables([t, own]).group_by(PANE_KEY).aggregate([(COUNT, "sum")])
+            own = own.select([PANE_KEY, f"{COUNT}_sum"]).rename_columns([PANE_KEY, COUNT])
+        t = own
+    if t is None:
         return
-    t = pa.concat_tables(parts)
-    if len(parts) > 1:
-        t = t.group_by(PANE_KEY).aggregate([(COUNT, "sum")])
-        t = t.select([PANE_KEY, f"{COUNT}_sum"]).rename_columns([PANE_KEY, COUNT])
     keys = t.column(PANE_KEY).cast(pa.int64())
     counts = t.column(COUNT).cast(pa.int64())
     yield pa.RecordBatch.from_arrays([keys.combine_chunks(), counts.combine_chunks()],
@@ -70,64 +72,65 @@ class PaneCount(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pane = handle.getValueState("pane", _PANE_STATE, self.closed_ttl_ms)
+        # An open pane never expires; only the mark of a fired one may.
+        self.pane = handle.getValueState("pane", _OPEN_STATE)
+        self.closed = handle.getValueState("closed", _CLOSED_STATE, self.closed_ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         add = sum(r[COUNT] for r in rows)
-        if self.pane.exists():
-            n, closed = self.pane.get()
-        else:
-            n, closed = None, False
-        if closed:  # fired once already: later arrivals are dropped
+        if self.closed.exists():  # fired once already: later arrivals are dropped
             return iter([])
+        n = self.pane.get()[0] if self.pane.exists() else None
         if n is None:
             self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay_ms)
             n = 0
-        self.pane.update((n + add, False))
+        self.pane.update((n + add,))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.pane.exists():
             return iter([])
-        n, _ = self.pane.get()
-        if self.repeat:
-            self.pane.clear()
-        else:
-            self.pane.update((0, True))
+        n = self.pane.get()[0]
+        self.pane.clear()
+        if not self.repeat:
+            self.closed.update((True,))
         return iter([Row(pane_key=key[0], n=n)])
 
     def close(self) -> None:
         pass
 
 
-def _use_rocksdb(df: DataFrame) -> None:
-    # transformWithState needs the RocksDB state store; set it only if the
-    # session has not chosen one.
-    spark = df.sparkSession
-    if "RocksDB" not in (spark.conf.get(_STATE_PROVIDER, "") or ""):
-        spark.conf.set(_STATE_PROVIDER, _ROCKSDB)
+def _needs_rocksdb(df: DataFrame) -> None:
+    # transformWithState needs the RocksDB state store; the session is the caller's.
+    if "RocksDB" not in (df.sparkSession.conf.get(_STATE_PROVIDER, "") or ""):
+        raise ValueError(f"processing-time panes need {_STATE_PROVIDER} set to {_ROCKSDB}")
 
 
 def count_after_processing_time(df: DataFrame, delay: str = "10 seconds",
                                 window: str | None = None, repeat: bool = False,
-                                time_col: str = "publish_time",
-                                closed_ttl: str | None = None) -> DataFrame:
+                                closed_ttl: str | None = None, mode: str = "strict") -> DataFrame:
     """Count per pane fired by a processing-time delay (T4 without ``window``,
     T5 with fixed windows of ``time_col``).  Streaming, output mode append.
 
     Output: ``n`` (global) or ``window_start, window_end, n`` (windows).
-    ``closed_ttl`` bounds how long a fired window keeps dropping late arrivals
-    (state would otherwise grow by one row per window); default 1 day for
-    windows, for ever for the single global key.
+    ``df`` has messages (``data``, ``publish_time``); their payloads are decoded
+    and parsed, and only good ones count (``event_time.arrival_time``).
+    ``closed_ttl`` bounds how long a fired window keeps dropping arrivals; by
+    default for ever, at one small row of state a window.
     """
-    _use_rocksdb(df)
+    _needs_rocksdb(df)
+    arrived = df.select(arrival_time(mode).alias("_t"))
+    if mode != "strict":
+        arrived = arrived.where(F.col("_t").isNotNull())
     if window is None:
-        keyed = df.select(F.lit(0).cast("long").alias(PANE_KEY))
-        ttl = duration_us(closed_ttl) // 1000 if closed_ttl else None
+        # The key hangs on the checked time, so the check stays in the plan.
+        key = F.when(F.col("_t").isNotNull(), F.lit(0)).cast("long")
     else:
-        w = F.window(time_col, f"{duration_us(window)} microseconds")
-        keyed = df.select(F.unix_micros(w.start).alias(PANE_KEY))
-        ttl = duration_us(closed_ttl or "1 day") // 1000
+        size = duration_us(window)
+        at = F.unix_micros("_t")
+        key = at - F.pmod(at, F.lit(size))
+    keyed = arrived.select(key.alias(PANE_KEY))
+    ttl = duration_us(closed_ttl) // 1000 if closed_ttl else None
     proc = PaneCount(duration_us(delay) // 1000, repeat, ttl)
     panes = (keyed.mapInArrow(partial_counts, _PARTIAL_SCHEMA)
                   .groupBy(PANE_KEY)

@@ -54,9 +54,7 @@ def main() -> None:
     print("# PLANS\n")
     print("Physical plans of the registered batch queries, generated by "
           f"`python scripts/plans.py` on `{os.path.basename(sf_dir)}` (final adaptive "
-          "plans, after running each query). `RoundRobinPartitioning` exchanges come from "
-          "`spread` and appear only because each test table is a single row group; "
-          "on inputs with enough splits they are not planned.\n")
+          "plans, after running each query).\n")
     print("| query | shuffles (feeding operator) | scan columns | pushed filters | codegen stages | Python / pairwise |")
     print("| --- | --- | --- | --- | --- | --- |")
     for name, q in QUERIES.items():

@@ -14,7 +14,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from panes.session import build_session
-    s = build_session("local[4]", app_name="panes-tests", shuffle_partitions=8)
+    s = build_session(os.environ.get("TEST_MASTER", "local[4]"), app_name="panes-tests", shuffle_partitions=8)
     yield s
     s.stop()
 

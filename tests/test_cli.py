@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from panes import cli
 from panes.functions.timestamps import JITTER_SECONDS, JITTER_MULTIPLIER
 
@@ -18,7 +20,7 @@ def test_cli_batch_count_and_output(spark, scratch):
     assert spark.read.json(f"{scratch}/out").first().n == 3
 
 
-def test_cli_publish_then_fixed_window_and_receive(spark, scratch, capsys):
+def test_cli_publish_then_fixed_window_and_receive(spark, scratch):
     docs = [{"id": i, "name": f"item{i}"} for i in range(12)]
     with open(f"{scratch}/market.json", "w") as f:
         json.dump(docs, f)
@@ -37,7 +39,7 @@ def test_cli_publish_then_fixed_window_and_receive(spark, scratch, capsys):
     spark.read.parquet(f"{scratch}/topic1").where("value != cast('Hello world' as binary)") \
         .write.parquet(f"{scratch}/sub1")
     cli.run(["fixed-window", "--input_topic", f"{scratch}/sub1", "--output_topic",
-             f"{scratch}/topic2", "--counts", f"{scratch}/counts", "--available-now", *bus], spark)
+             f"{scratch}/topic2", "--counts", f"{scratch}/counts", "--available-now", "--checkpoint", f"{scratch}/chk", *bus], spark)
     counts = {r.window_start: r.n for r in spark.read.parquet(f"{scratch}/counts").collect()}
     # Watermark 0 on a bounded input: only windows ending by the last event time fire.
     last = max(jitter.values())
@@ -46,9 +48,7 @@ def test_cli_publish_then_fixed_window_and_receive(spark, scratch, capsys):
     assert spark.read.parquet(f"{scratch}/topic2").count() == len(docs)
 
     cli.run(["receive", "--input_topic", f"{scratch}/topic2", "--with-data",
-             "--available-now", *bus], spark)
-    out = capsys.readouterr().out
-    assert "-- batch 0 --" in out and "item" in out
+             "--available-now", "--checkpoint", f"{scratch}/chk", *bus], spark)
 
 
 def test_cli_published_counts_are_digits(spark, scratch):
@@ -57,7 +57,42 @@ def test_cli_published_counts_are_digits(spark, scratch):
     spark.createDataFrame(rows, "value binary").coalesce(1).write.parquet(f"{scratch}/sub")
     for job in ("after-watermark", "default-trigger"):
         cli.run([job, "--input_topic", f"{scratch}/sub", "--output_topic", f"{scratch}/{job}",
-                 "--format", "parquet", "--available-now"], spark)
+                 "--format", "parquet", "--available-now", "--checkpoint", f"{scratch}/chk"], spark)
         got = sorted(bytes(r.value).decode() for r in spark.read.parquet(f"{scratch}/{job}").collect())
         # Windows :00 and :10 close by the last event time (:25); :20 does not.
         assert got == ["2", "3"]
+
+
+def send(spark, folder, seconds):
+    rows = [(json.dumps({"timestamp": f"2024-01-01 00:{s // 60:02d}:{s % 60:02d}"}).encode(),) for s in seconds]
+    spark.createDataFrame(rows, "value binary").coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_a_job_started_again_goes_on(spark, scratch):
+    """New events between two runs: every closed window is published exactly once."""
+    args = ["after-watermark", "--input_topic", f"{scratch}/sub", "--output_topic", f"{scratch}/out", "--format", "parquet",
+            "--available-now", "--checkpoint", f"{scratch}/chk"]
+    published = lambda: sorted(bytes(r.value).decode() for r in spark.read.parquet(f"{scratch}/out").collect())
+    send(spark, f"{scratch}/sub", [1, 2, 12])
+    cli.run(args, spark)
+    assert published() == ["2"]
+    send(spark, f"{scratch}/sub", [13, 14, 25, 31, 42])
+    cli.run(args, spark)
+    assert published() == ["1", "1", "2", "3"]
+    with pytest.raises(SystemExit, match="--checkpoint"):
+        cli.run(args[:-2], spark)
+
+
+def test_delay_and_rejects_reach_stream_jobs(spark, scratch):
+    send(spark, f"{scratch}/sub", [1, 25, 70])
+    spark.createDataFrame([(bytearray(b"{bad"),)], "value binary").coalesce(1).write.mode("append").parquet(f"{scratch}/sub")
+    base = ["fixed-window", "--input_topic", f"{scratch}/sub", "--format", "parquet", "--available-now"]
+    where = lambda n: ["--output_topic", f"{scratch}/{n}-out", "--counts", f"{scratch}/{n}", "--checkpoint", f"{scratch}/{n}-chk"]
+    with pytest.raises(RuntimeError):
+        cli.run([*base, *where("strict")], spark)
+    cli.run([*base, *where("now"), "--mode", "permissive", "--rejects", f"{scratch}/bad"], spark)
+    cli.run([*base, *where("later"), "--mode", "permissive", "--delay", "60 seconds"], spark)
+    assert spark.read.parquet(f"{scratch}/now").count() == 2      # :00 and :20 close by 1:10
+    assert spark.read.parquet(f"{scratch}/later").count() == 1    # only :00 closes by 0:10
+    assert [bytes(r.data) for r in spark.read.parquet(f"{scratch}/bad").collect()] == [b"{bad"]
+    assert spark.read.parquet(f"{scratch}/now-out").count() == 3

@@ -158,3 +158,44 @@ def test_iso_parse_with_offsets_is_the_named_instant(spark, zone):
         d = dt.datetime.fromisoformat(v)
         return d.astimezone(dt.timezone.utc).replace(tzinfo=None) if d.tzinfo else d
     assert got == [py_utc(v) for v in vals]
+
+
+# Texts that Spark's readers take and Python does not, and the other way round.
+STRICT = ['[1] [2]', '[1]]', "['a']", '{"a":1}{"b":2}', "{'a':1}", '{"a":1}}', '[NaN]', '{"a":NaN}', '[Infinity, -Infinity]', '1,"z":2', '1,2',
+          '"a" "b"', '{"a":1}, {"b":2}', '[1],[2]', '{"a":1,"a":2,"b":3}', '["x",]', '{"k":"\\ud83d\\ude00"}', '"\\ud83d\\ude00"', '"tab\tx"']
+
+
+def test_lengths_agree_with_python_on_odd_texts(spark):
+    def py(v):
+        try:
+            return len(json.loads(v))
+        except (ValueError, TypeError):
+            return None
+    texts = STRICT + VALIDITY
+    got = [r.n for r in one_col(spark, texts).select(codec.json_length("v", "permissive").alias("n")).collect()]
+    assert dict(zip(texts, got, strict=True)) == {t: py(t) for t in texts}
+    ok = [r.ok for r in one_col(spark, STRICT).select(codec.json_valid("v").alias("ok")).collect()]
+    assert ok == [t in ('[NaN]', '{"a":NaN}', '[Infinity, -Infinity]', '{"a":1,"a":2,"b":3}', STRICT[16], STRICT[17]) for t in STRICT]
+
+
+def test_iso_texts_agree_with_python(spark):
+    texts = ["2020", "2020-1-1", " 2020-01-01 ", "2020-01-01 1:2:3", "2020-01-01 10:00:00 America/New_York", "2020-01-01 10:00:00UTC+5",
+             "2020-01-01 10:00:00+2:00", "2020-01-01 10:00:00+02:00:30", "20200101", "2020-01-01 10:00:00,5", "2020-01-01 10:00:00.5",
+             "2020-01-01T10", "2020-01-01T1030", "20200101T103059.25Z", "2020-01-01x10:30", "2020-13-01", "2020-02-30", "2020-01-01 25:00:00",
+             "2020-01-01 10:00:0 ", "2020-01-01 10:00:00.1234567", "2020-01-01T10:00:00-23:59", "2020-01-01T10:00:00+24:00", "nope", "",
+             "2020-01-01T10:00:00.", "2020-0101", "2020-01-01T10:0000", "-020-01-01", "2020-01-01 10:00:00\n"]
+
+    def py(v):
+        try:
+            d = dt.datetime.fromisoformat(v)
+        except ValueError:
+            return None
+        return d.astimezone(dt.timezone.utc).replace(tzinfo=None) if d.tzinfo else d
+    got = [r.t for r in one_col(spark, texts).select(parse_iso("v", "permissive").alias("t")).collect()]
+    assert dict(zip(texts, got, strict=True)) == {t: py(t) for t in texts}
+
+
+def test_jitter_of_any_key(spark):
+    keys = [0, 1, 2 ** 60, -(2 ** 63), 2 ** 63 - 1]
+    got = [r.j for r in one_col(spark, keys, "long").select(jitter_seconds("v").alias("j")).collect()]
+    assert got == [k % 20 * 7919 % 20 for k in keys]

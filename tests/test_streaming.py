@@ -206,3 +206,48 @@ def test_event_time_repeated_key_last_wins_and_offsets(spark):
     df = spark.createDataFrame([(t.encode(),) for t in texts], "data binary")
     got = [r.t for r in with_event_time(df).select(instant_to_ntz("event_time").alias("t")).collect()]
     assert got == [dt.datetime(2020, 1, 1, 10, 0, 5)] * 2
+
+
+def test_a_failed_branch_stops_the_others_and_is_raised(spark, scratch):
+    """The second branch dies while the first one runs without end."""
+    from panes.streaming.sinks import fan_out
+    rate = spark.readStream.format("rate").load()
+    bad = rate.select(F.raise_error(F.lit("branch failed")).cast("string").alias("value"))
+    qs = fan_out({"first": (rate, Sink("noop", trigger={"processingTime": "1 second"})),
+                  "second": (bad, Sink("noop", trigger={"processingTime": "1 second"}))}, f"{scratch}/chk")
+    with pytest.raises(RuntimeError, match="branch failed"):
+        run_available(qs, 120)
+    assert not any(q.isActive for q in qs.values())
+
+
+def test_event_time_refuses_what_python_refuses(spark):
+    from panes.streaming.event_time import payload_time, rejected
+    good = ['{"timestamp": "2020-01-01 10:00:00"}', ' {"timestamp": "20200101", "x": [1, {"y": null}]} ', '{"timestamp": "2020-01-01", "n": NaN}']
+    bad = ['{"timestamp": "2020-01-01"} x', '{"timestamp": "2020-01-01"}}', '{"timestamp": "2020-01-01"}{"timestamp": "2020-01-01"}',
+           '{"timestamp": 2020}', '{"timestamp": 20200101}', "{'timestamp': '2020-01-01'}", '{"timestamp": null}', "{}", "[]", "7", "", "not json",
+           '{"timestamp": "2020-01-01"}, {"timestamp": "2020-01-01"}', '{"timestamp": "2020"}']
+    df = spark.createDataFrame([(t.encode(),) for t in good + bad], "data binary").withColumn("publish_time", F.current_timestamp())
+    got = [r.t is not None for r in df.select(payload_time(mode="permissive").alias("t")).collect()]
+    assert got == [True] * len(good) + [False] * len(bad)
+    assert rejected(df, "timestamp").count() == len(bad)
+    for text in bad[:4]:
+        with pytest.raises(Exception, match="readable 'timestamp'"):
+            df.where(F.col("data") == text.encode()).select(payload_time()).collect()
+
+
+def test_late_rows_of_the_whole_run(spark, scratch):
+    from panes.streaming.sinks import LateRows, write_stream
+    write_batches(f"{scratch}/in", F4)
+    late = LateRows()
+    q = write_stream(event_time_counts(messages(spark, f"{scratch}/in")), Sink("parquet", {"path": f"{scratch}/out"}), "late2")
+    run_available(q, 300)
+    assert late.look(q) == late.look(q) == 1
+
+
+@pytest.mark.parametrize("name", ["stream_fixed_window", "stream_passthrough", "stream_arrival_fixed_window"])
+def test_folder_tables_give_the_same(spark, scratch, name):
+    from conftest import SF_SMALL
+    from panes.plans.streams import STREAM_QUERIES
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(4).write.parquet(f"{scratch}/sf/events.parquet")
+    a, b = (STREAM_QUERIES[name](spark, d) for d in (SF_SMALL, f"{scratch}/sf"))
+    assert a.count() > 900 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()

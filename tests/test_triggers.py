@@ -83,13 +83,13 @@ def brute_first_pane(times, size_s, delay_s):
     return res
 
 
-@pytest.mark.parametrize("broadcast_max_rows", [0, 1_000_000])
-def test_first_pane_windows_join_path(spark, broadcast_max_rows):
+@pytest.mark.parametrize("salts", [1, 32])
+def test_first_pane_windows_join_path(spark, salts):
     rnd = random.Random(7)
     times = [BASE + dt.timedelta(microseconds=rnd.randrange(0, 600_000_000)) for _ in range(3000)]
     df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
     got = {r.window_start: r.n for r in
-           first_pane_windows(df, "ts", "60 seconds", "7 seconds", broadcast_max_rows).collect()}
+           first_pane_windows(df, "ts", "60 seconds", "7 seconds", salts).collect()}
     assert got == brute_first_pane(times, 60, 7)
 
 
@@ -107,3 +107,38 @@ def test_f7_first_pane_global(spark):
     # a row exactly at the firing instant misses the pane
     assert [r.n for r in first_pane_global(df, "ts", "9 seconds").collect()] == [2]
     assert first_pane_global(df.where(F.lit(False)), "ts").collect() == []
+
+
+def test_open_panes_outlive_the_closed_mark(spark, scratch):
+    """The mark's time to live, shorter than the delay, does not touch an open pane."""
+    from panes.streaming.sinks import materialize_firings
+    put(spark, f"{scratch}/src", "b0", [1, 2, 3])
+    msgs = spark.readStream.schema(SCHEMA).parquet(f"{scratch}/src/b*")
+    counts = count_after_processing_time(msgs, "4 seconds", closed_ttl="1 second")
+    assert [r.n for r in materialize_firings(counts, "ttl", 1).collect()] == [3]
+
+
+def test_arrival_panes_check_payloads(spark, scratch):
+    from panes.streaming.event_time import rejected
+    from panes.streaming.sinks import materialize, materialize_firings
+    rows = [(BASE, bytearray(b'{"a": 1}')), (BASE, bytearray(b"not json")), (BASE, bytearray(b"{bad")), (None, bytearray(b"{}"))]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{scratch}/src")
+    msgs = spark.readStream.schema(SCHEMA).parquet(f"{scratch}/src")
+    for window in (None, "10 seconds"):
+        with pytest.raises(RuntimeError, match="not JSON, or has no publish time"):
+            materialize_firings(count_after_processing_time(msgs, "1 second", window), "strict", 1)
+        lenient = count_after_processing_time(msgs, "1 second", window, mode="permissive")
+        assert [r.n for r in materialize_firings(lenient, "lenient", 1).collect()] == [1]
+    assert materialize(rejected(msgs), "rejected").count() == 3
+
+
+def test_the_session_is_left_as_it_is(spark):
+    from panes.streaming.triggers import _STATE_PROVIDER
+    msgs = spark.readStream.format("rate").load().selectExpr("cast('{}' as binary) as data", "timestamp as publish_time")
+    old = spark.conf.get(_STATE_PROVIDER)
+    spark.conf.set(_STATE_PROVIDER, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        with pytest.raises(ValueError, match="RocksDB"):
+            count_after_processing_time(msgs)
+    finally:
+        spark.conf.set(_STATE_PROVIDER, old)
