@@ -41,7 +41,7 @@ from .words import coded, gather, slices
 
 SPACE = "▁"
 #: Segments between boundaries that a worker remembers the ids of.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Positions between two tries to commit.
 STRIDE = 64
 
