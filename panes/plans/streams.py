@@ -18,7 +18,7 @@ from ..sources.messages import messages_from_records, table_stream, tap_messages
 from ..sources.tables import table
 from ..streaming.event_time import rejected, with_arrival_time, with_event_time
 from ..streaming.sinks import Sink, fan_out, materialize, materialize_firings, materialize_to_end, run_available, with_end
-from ..streaming.triggers import count_after_processing_time
+from ..streaming.triggers import ROCKSDB, STATE_PROVIDER, count_after_processing_time
 from ..streaming.windows import count_on_watermark, counts_as_messages
 from .queries import (FIXED_SIZE, GLOBAL_PANE_DELAY, SLIDING_PERIOD, SLIDING_SIZE,
                       WINDOW_PANE_DELAY, event_record)
@@ -241,10 +241,26 @@ def _windows(ev: DataFrame) -> int:
     return ev.select(fixed_window("ts", FIXED_SIZE).start.alias("w")).distinct().count()
 
 
+def pane_session(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` with the state store that processing-time panes need.
+
+    The caller's session is left as it is.
+    """
+    if ROCKSDB in (spark.conf.get(STATE_PROVIDER, "") or ""):
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set(STATE_PROVIDER, ROCKSDB)
+    return own
+
+
 def stream_global_pane(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The global window fired 10 s (processing time) after
     its first arrival.  The replay puts every message in the first
     micro-batch, so the one pane holds them all."""
+    spark = pane_session(spark)
     counts = count_after_processing_time(event_messages(spark, sf_dir), GLOBAL_PANE_DELAY)
     return materialize_firings(counts, "stream_global_pane", min(1, _windows(table(spark, sf_dir, "events"))))
 
@@ -253,6 +269,7 @@ def stream_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed 10 s windows of arrival time, each fired 30 s
     (processing time) after its first arrival; all windows open in the first
     micro-batch of the replay, holding all their rows."""
+    spark = pane_session(spark)
     counts = count_after_processing_time(event_messages(spark, sf_dir), WINDOW_PANE_DELAY,
                                          FIXED_SIZE)
     return materialize_firings(counts, "stream_window_panes", _windows(table(spark, sf_dir, "events")))
@@ -260,6 +277,7 @@ def stream_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _in_two_halves(spark: SparkSession, sf_dir: str, name: str, window: str | None, delay: str) -> DataFrame:
     """Even events arrive, their panes fire, then odd events arrive."""
+    spark = pane_session(spark)
     ev = table(spark, sf_dir, "events")
     even, odd = ev.where(F.pmod("event_id", F.lit(2)) == 0), ev.where(F.pmod("event_id", F.lit(2)) == 1)
     bus = scratch_path(spark, f"{name}-bus")

@@ -32,8 +32,8 @@ from .event_time import arrival_time
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PANE_KEY = "pane_key"
-_STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _PARTIAL_SCHEMA = StructType([StructField(PANE_KEY, LongType()), StructField(COUNT, LongType())])
 _OPEN_STATE = StructType([StructField("n", LongType())])
@@ -102,8 +102,8 @@ class PaneCount(StatefulProcessor):
 
 def _needs_rocksdb(df: DataFrame) -> None:
     # transformWithState needs the RocksDB state store; the session is the caller's.
-    if "RocksDB" not in (df.sparkSession.conf.get(_STATE_PROVIDER, "") or ""):
-        raise ValueError(f"processing-time panes need {_STATE_PROVIDER} set to {_ROCKSDB}")
+    if "RocksDB" not in (df.sparkSession.conf.get(STATE_PROVIDER, "") or ""):
+        raise ValueError(f"processing-time panes need {STATE_PROVIDER} set to {ROCKSDB}")
 
 
 def count_after_processing_time(df: DataFrame, delay: str = "10 seconds",

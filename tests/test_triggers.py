@@ -133,12 +133,17 @@ def test_arrival_panes_check_payloads(spark, scratch):
 
 
 def test_the_session_is_left_as_it_is(spark):
-    from panes.streaming.triggers import _STATE_PROVIDER
+    from panes.streaming.triggers import STATE_PROVIDER
     msgs = spark.readStream.format("rate").load().selectExpr("cast('{}' as binary) as data", "timestamp as publish_time")
-    old = spark.conf.get(_STATE_PROVIDER)
-    spark.conf.set(_STATE_PROVIDER, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    old = spark.conf.get(STATE_PROVIDER)
+    spark.conf.set(STATE_PROVIDER, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
     try:
         with pytest.raises(ValueError, match="RocksDB"):
             count_after_processing_time(msgs)
+        # The registered queries bring a session of their own.
+        from conftest import SF_SMALL
+        from panes.plans.streams import STREAM_QUERIES
+        assert STREAM_QUERIES["stream_global_pane"](spark, SF_SMALL).first().n == 1000
+        assert "HDFSBacked" in spark.conf.get(STATE_PROVIDER)
     finally:
-        spark.conf.set(_STATE_PROVIDER, old)
+        spark.conf.set(STATE_PROVIDER, old)
