@@ -48,7 +48,7 @@ def first_pane_windows(df: DataFrame, arrival_col: str, size: str = "10 seconds"
     keyed = df.where(t.isNotNull()).select(fixed_window(t, size).start.alias("window_start"), t.alias("_t"),
                                            F.pmod(F.xxhash64(t), F.lit(salts)).alias("_salt"))
     firsts = keyed.groupBy("window_start").agg(F.min("_t").alias("_first"))
-    firsts = firsts.select("window_start", "_first", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long").alias("_salt"))
+    firsts = firsts.select("window_start", "_first", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
     inside = keyed.join(firsts, ["window_start", "_salt"]).where(F.col("_t") < F.col("_first") + interval_us(delay_us))
     return (inside.groupBy("window_start").agg(F.count(F.lit(1)).alias(COUNT))
                   .select("window_start", (F.col("window_start") + interval_us(size_us)).alias("window_end"),
