@@ -190,29 +190,28 @@ def materialize_firings(df: DataFrame, name: str, panes: int, every: str = "1 se
 
     ``availableNow`` does not end while timers are pending, so the caller says
     how many panes the input opens.  ``then``: once so many have fired, call
-    this (for instance to let more messages arrive).  ``settle``: at the end go
-    on for so many seconds after all that has arrived is read, so that a pane
-    fired twice would show.
+    this (for instance to let more messages arrive); the stream then goes on for
+    ``settle`` seconds at least after it has read them, so that a pane fired
+    twice would show.
     """
     spark = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
     q = write_stream(df, Sink("parquet", {"path": out}, "append", {"processingTime": every}), os.path.basename(out))
     try:
-        fired = 0
-        while fired < panes:
+        fired, sent, read_by = 0, False, None
+        while fired < panes or (sent and (read_by is None or time.monotonic() < read_by + settle)):
             if q.exception() is not None:
                 raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")
             # Progress is reported only after a batch commits, and by then the
             # sink's log exists: the read goes through it, so it sees
             # committed files only.
             fired = spark.read.schema(df.schema).parquet(out).count() if q.lastProgress else 0
-            if then and fired >= then[0]:
+            if sent and read_by is None and any(p["batchId"] > last and p["numInputRows"] for p in q.recentProgress):
+                read_by = time.monotonic()
+            if then and not sent and fired >= then[0]:
+                last, sent = q.lastProgress["batchId"], True
                 then[1]()
-                then = None
             time.sleep(0.5)
-        if settle:
-            q.processAllAvailable()
-            time.sleep(settle)
     finally:
         q.stop()
     return spark.read.schema(df.schema).parquet(out)
