@@ -35,12 +35,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import ship_package
-from .words import coded, gather, slices, split_words
+from .words import Recent, coded, gather, slices, split_words
 
 #: Tokens in a task's pool before it starts to fill windows (8 MB of ids).
 POOL_TOKENS = 2_000_000
-#: Distinct words a worker remembers the ids of.
-REMEMBERED = 1_500_000
+#: Distinct words, and parts of words, that a worker remembers the ids of (twice so many at most).
+REMEMBERED = 250_000
 
 # --- tokenising -------------------------------------------------------------
 
@@ -72,15 +72,14 @@ class WordIds:
         self.pattern = regex.compile(PRETOKEN)
         self.odd = re.compile("[^!-~\u00a1-\u024f]|<[|]")
         self.letters = byte_letters()
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.words, self.parts = Recent(REMEMBERED), Recent(REMEMBERED)
 
     def part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             spelled = part if part.isascii() and part.isalnum() else "".join(self.letters[b] for b in part.encode())
             ids = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-            self.parts[part] = ids
+            self.parts.put(part, ids)
         return ids
 
     def word(self, word: str) -> bytes:
@@ -94,15 +93,12 @@ class WordIds:
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of distinct words in a row, where each begins, and how many it has."""
-        if len(self.words) + len(words) > REMEMBERED:
-            self.words.clear()
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
         known, found = self.words, []
         for w in words:
             ids = known.get(w)
             if ids is None:
-                ids = known[w] = self.word(w)
+                ids = self.word(w)
+                known.put(w, ids)
             found.append(ids)
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths) - lengths, lengths

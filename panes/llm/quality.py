@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fresh_name, ship_package
-from .words import coded, slices, split_words
+from .words import Recent, coded, slices, split_words
 
 #: Documents the scorer is fitted on at most, and its number of weights.
 FIT_DOCUMENTS, WEIGHTS = 20_000, 1 << 16
 #: A document is kept if the scorer's probability of being good reaches this.
 KEEP = 0.5
-#: Distinct words a worker remembers the shape of.
-REMEMBERED = 500_000
+#: Distinct words a worker remembers the shape of (twice so many at most), and text bytes it looks at at once.
+REMEMBERED, LOOK_BYTES = 60_000, 2 << 20
 
 # --- statistics of texts ----------------------------------------------------
 
@@ -65,23 +65,22 @@ def flags(word: str, kind: str) -> int:
             | PLAIN * (plain and not shouted) | ENDS * (word[-1] in ".!?" and word[-2:-1].isalnum()))
 
 
-_SHAPES: dict[str, tuple[int, int]] = {}
+_SHAPES = Recent(REMEMBERED)
 
 
 def _known(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The hashed shape and the flags of each word."""
     import xxhash
 
-    if len(_SHAPES) + len(words) > REMEMBERED:
-        _SHAPES.clear()
-    out = np.empty((2, len(words)), np.int64)
+    out = np.empty(len(words), np.int64)
     for i, w in enumerate(words):
         known = _SHAPES.get(w)
         if known is None:
             kind = shape(w)
-            known = _SHAPES[w] = (xxhash.xxh3_64_intdigest(kind.encode()) % WEIGHTS, flags(w, kind))
-        out[0, i], out[1, i] = known
-    return out[0], out[1]
+            known = (xxhash.xxh3_64_intdigest(kind.encode()) % WEIGHTS) << 5 | flags(w, kind)
+            _SHAPES.put(w, known)
+        out[i] = known
+    return out >> 5, out & 31
 
 
 class Profiles:
@@ -253,7 +252,7 @@ def fit_scorer(rows: list[tuple[np.ndarray, np.ndarray]], good: np.ndarray, roun
 
 
 def _profiles(batch: pa.RecordBatch, column: str) -> Iterator[Profiles]:
-    for part in slices(batch, column):
+    for part in slices(batch, column, LOOK_BYTES):
         yield Profiles(part.column(column))
 
 

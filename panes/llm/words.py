@@ -50,3 +50,22 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
     return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
+
+
+class Recent:
+    """Values by key, of the keys used last: two generations of at most ``limit`` keys."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def get(self, key):
+        """The value, or None."""
+        value = self.new.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
