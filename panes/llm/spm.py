@@ -37,11 +37,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import ship_package
-from .words import coded, gather, slices
+from .words import Recent, coded, gather, slices
 
 SPACE = "▁"
-#: Segments between boundaries that a worker remembers the ids of.
-REMEMBERED = 400_000
+#: Segments between boundaries, and pairs of pieces, that a worker remembers (twice so many at most).
+REMEMBERED = 200_000
 #: Positions between two tries to commit.
 STRIDE = 64
 
@@ -63,7 +63,7 @@ class Pieces:
         self.longest = max(map(len, self.score))
         #: A score below that of any piece, for a character without one.
         self.missing = min(self.score.values()) - 10
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs = Recent(REMEMBERED)
 
     def ids_of(self, piece: str) -> list[int]:
         own = self.id.get(piece)
@@ -87,9 +87,8 @@ class Pieces:
         key = (before, piece)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merged(before + piece) == ([before, piece] if before else [piece])
+            known = self.merged(before + piece) == ([before, piece] if before else [piece])
+            self.pairs.put(key, known)
         return known
 
 
@@ -165,7 +164,7 @@ class Encoder:
 
     def __init__(self, model: bytes, kind: str = "bpe"):
         self.pieces = Pieces(model, kind)
-        self.known: dict[str, bytes] = {}
+        self.known = Recent(REMEMBERED)
         inside = [p for p in self.pieces.score if SPACE in p.lstrip(SPACE)]
         #: Paths meet where a run of spaces begins, if no piece has a space after another character.
         self.split = None if inside else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -175,12 +174,10 @@ class Encoder:
     def segment(self, text: str) -> bytes:
         ids = self.known.get(text)
         if ids is None:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
             v = Viterbi(self.pieces)
             ids = np.array(v.feed(text) + v.close(), "<i4").tobytes()
             if len(text) <= 64:
-                self.known[text] = ids
+                self.known.put(text, ids)
         return ids
 
     def one(self, text: str) -> np.ndarray:
