@@ -78,9 +78,8 @@ def op9_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The piece ids of all ``documents``, and the texts they decode to (as digests)."""
     model = Path(tokenizer_file("piece_bpe_32k.model")).read_bytes()
-    encoded = spm.encode_texts(table(spark, sf_dir, "documents"), model, kind="bpe")
-    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"),
-                          F.sha2(spm.decode_column(F.col("ids"), model), 256).alias("decoded_sha256"))
+    encoded = spm.encode_texts(table(spark, sf_dir, "documents"), model, kind="bpe", decoded=True)
+    return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 LLM_QUERIES: dict[str, Query] = {

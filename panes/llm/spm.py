@@ -27,6 +27,7 @@ Columns other than ``doc_id`` and ``text`` are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -64,10 +65,56 @@ class Pieces:
         #: A score below that of any piece, for a character without one.
         self.missing = min(self.score.values()) - 10
         self.pairs = Recent(REMEMBERED)
-
-    def ids_of(self, piece: str) -> list[int]:
-        own = self.id.get(piece)
-        return [own] if own is not None else [self.byte[b] for b in piece.encode()]
+        self.suffixes()
+
+    def suffixes(self) -> None:
+        """An automaton over characters (Aho and Corasick, 1975): ``ending[state]`` has the
+        pieces that end where the state is reached, longest first, with their sizes."""
+        self.go: list[dict[str, int]] = [{}]
+        own: list[str | None] = [None]
+        for piece in self.score:
+            at = 0
+            for c in piece:
+                if c not in self.go[at]:
+                    self.go[at][c] = len(self.go)
+                    self.go.append({})
+                    own.append(None)
+                at = self.go[at][c]
+            own[at] = piece
+        self.ending: list[tuple] = [()] * len(self.go)
+        self.shorter = [0] * len(self.go)
+        children = [dict(x) for x in self.go]  # ``go`` grows by what ``step`` finds
+        level = list(children[0].values())
+        while level:
+            for at in level:
+                rest = self.ending[self.shorter[at]]
+                self.ending[at] = ((len(own[at]), own[at]), *rest) if own[at] is not None else rest
+                for c, child in children[at].items():
+                    low = self.shorter[at]
+                    while low and c not in children[low]:
+                        low = self.shorter[low]
+                    self.shorter[child] = children[low].get(c, 0)
+            level = [x for at in level for x in children[at].values()]
+
+    def step(self, state: int, c: str) -> int:
+        """The state after one more character."""
+        at = state
+        while c not in self.go[at] and at:
+            at = self.shorter[at]
+        found = self.go[at].get(c, 0)
+        if found:  # remembered: there are few states and characters that pieces have
+            self.go[state][c] = found
+        return found
+
+    def ids_of(self, pieces: list[str]) -> list[int]:
+        out = []
+        for piece in pieces:
+            own = self.id.get(piece)
+            if own is not None:
+                out.append(own)
+            else:
+                out += [self.byte[b] for b in piece.encode()]
+        return out
 
     def merged(self, text: str) -> list[str]:
         """Byte-pair merging of a short text: the best pair first, the leftmost of equals."""
@@ -101,30 +148,7 @@ class Viterbi:
         self.back: list[str] = [""]  # the last piece of the path to each position of it
         self.total = [0.0]
         self.before = ""  # the piece before the boundary
-        self.reached = 0
-
-    def _extend(self) -> None:
-        """Find the last piece of the best path to the next position."""
-        p, end = self.p, len(self.back)
-        best, total = None, 0.0
-        for size in range(min(p.longest, end), 0, -1):
-            piece = self.text[end - size:end]
-            score = p.score.get(piece)
-            if score is None:
-                if size > 1:
-                    continue
-                score = p.missing
-            start = end - size
-            if p.kind == "bpe":
-                if p.follows(self.back[start] if start else self.before, piece):
-                    best = piece
-                    break
-            elif best is None or self.total[start] + score > total:
-                best, total = piece, self.total[start] + score
-        if best is None:
-            raise ValueError(f"no piece ends at {self.text[:end][-p.longest:]!r}")
-        self.back.append(best)
-        self.total.append(total)
+        self.state = 0  # of the pieces' automaton
 
     def _commit(self, ends: list[int]) -> list[int]:
         """The ids before the last boundary that the paths back from all ``ends`` share."""
@@ -143,16 +167,39 @@ class Viterbi:
             self.text, self.back = self.text[at:], [""] + self.back[at + 1:]
             base = self.total[at]
             self.total = [t - base for t in self.total[at:]]
-        return [i for piece in reversed(pieces) for i in self.p.ids_of(piece)]
+        return self.p.ids_of(pieces[::-1])
 
     def feed(self, text: str) -> list[int]:
+        """Find the last piece of the best path to each position, committing on the way."""
+        p, out, bpe, state = self.p, [], self.p.kind == "bpe", self.state
+        go, ending, pairs = p.go, p.ending, p.pairs
         self.text += text
-        out = []
-        while len(self.back) <= len(self.text):
-            self._extend()
-            if len(self.back) > STRIDE + self.p.longest:
-                n = len(self.back)
-                out += self._commit(list(range(n - self.p.longest, n)))
+        back, total = self.back, self.total
+        for c in text:
+            state = go[state].get(c) or p.step(state, c)
+            end, best, most = len(back), None, 0.0
+            for size, piece in ending[state]:
+                if size > end:
+                    continue
+                start = end - size
+                if bpe:
+                    before = back[start] if start else self.before
+                    known = pairs.get((before, piece))
+                    if known or (known is None and p.follows(before, piece)):
+                        best = piece
+                        break
+                elif best is None or total[start] + p.score[piece] > most:
+                    best, most = piece, total[start] + p.score[piece]
+            if best is None:
+                if c in p.score:
+                    raise ValueError(f"no piece ends at {self.text[:end][-p.longest:]!r}")
+                best, most = c, total[end - 1] + p.missing
+            back.append(best)
+            total.append(most)
+            if end > STRIDE + p.longest:
+                out += self._commit(list(range(end + 1 - p.longest, end + 1)))
+                back, total = self.back, self.total
+        self.state = state
         return out
 
     def close(self) -> list[int]:
@@ -175,7 +222,7 @@ class Encoder:
         ids = self.known.get(text)
         if ids is None:
             v = Viterbi(self.pieces)
-            ids = np.array(v.feed(text) + v.close(), "<i4").tobytes()
+            ids = array("i", v.feed(text) + v.close()).tobytes()
             if len(text) <= 64:
                 self.known.put(text, ids)
         return ids
@@ -234,19 +281,26 @@ def encoder(model: bytes, kind: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def encode_texts(docs: DataFrame, model: bytes, kind: str = "bpe") -> DataFrame:
-    """doc_id and ids of every row of ``docs`` (doc_id, text); ``model``: a model file's contents."""
+def encode_texts(docs: DataFrame, model: bytes, kind: str = "bpe", decoded: bool = False) -> DataFrame:
+    """doc_id and ids of every row of ``docs`` (doc_id, text); ``model``: a model file's contents.
+
+    With ``decoded`` also the text that the ids decode to.
+    """
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
+                          + [T.StructField("decoded", T.StringType())] * decoded)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shared.value, kind)
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, bounds = encode(part.column(1))
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))], schema.fieldNames())
+                columns = [part.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))]
+                if decoded:
+                    raw = encode.pieces.raw
+                    columns.append(pa.array([decode(ids[a:b].tolist(), raw) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 

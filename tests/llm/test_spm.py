@@ -56,6 +56,7 @@ def test_unigram_paths_are_the_best():
             self.kind, self.score, self.byte, self.pairs = "unigram", score, {}, {}
             self.id = {p: i for i, p in enumerate(score)}
             self.longest, self.missing = max(map(len, score)), min(score.values()) - 10
+            self.suffixes()
 
     r = random.Random(3)
     score = {"".join(p): -r.random() * 10 for n in (1, 2, 3) for p in itertools.product("abc", repeat=n) if n == 1 or r.random() < 0.5}
@@ -90,3 +91,5 @@ def test_tables(spark, edge_docs, no_docs, library):
     assert sorted([(r["doc_id"], r["ids"], r["back"]) for r in out], key=key) == sorted(
         [(r["doc_id"], library.encode(r["text"] or ""), (r["text"] or "").replace("▁", " ")) for r in rows], key=key)
     assert spm.encode_texts(no_docs, MODEL).collect() == []
+    both = spm.encode_texts(edge_docs, MODEL, decoded=True).collect()
+    assert sorted([(r["doc_id"], r["ids"], r["decoded"]) for r in both], key=key) == sorted([(r["doc_id"], r["ids"], r["back"]) for r in out], key=key)
