@@ -79,6 +79,16 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def hash_sample(df: DataFrame, keys: list[str], most: int, rows: int) -> DataFrame:
+    """About ``most`` of ``rows`` rows, chosen by a hash of ``keys``; put a limit behind it.
+
+    Not an ordering: that would send ``most`` rows of every task to the driver.
+    """
+    if rows > most:
+        df = df.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < int(most / rows * (1 << 40)))
+    return df
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once, so that tasks can import it."""
     sc = spark.sparkContext

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_table, ship_package, small_side, write_table
+from .common import drop_table, hash_sample, ship_package, small_side, write_table
 from .components import components
 from .minhash import forest
 
@@ -219,7 +219,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     classes = write_table(rows.filter("digest is not null").groupBy("digest").agg(
         F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("place").alias("place"), F.first("unit").alias("unit")
     ).withColumn("node", F.monotonically_increasing_id()), "vector-classes")
-    sample = classes.select("unit").orderBy(F.xxhash64("digest")).limit(FIT_VECTORS).collect()
+    sample = hash_sample(classes, ["digest"], FIT_VECTORS, classes.count()).select("unit").limit(FIT_VECTORS).collect()
     axes = directions([np.frombuffer(r["unit"], np.float64) for r in sample]) if sample else {}
     blocks = write_table(_blocks(classes, axes, eps), "vector-blocks")
     found = write_table(_join(blocks, _block_pairs(blocks, eps), least, eps, axes), "vector-links")

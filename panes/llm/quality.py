@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh_name, ship_package
+from .common import fresh_name, hash_sample, ship_package
 from .words import Recent, coded, slices, split_words
 
 #: Documents the scorer is fitted on at most, and its number of weights.
@@ -270,7 +270,6 @@ def fit(docs: DataFrame) -> tuple[LabelModel, Scorer]:
     found = np.array([r["pattern"] for r in counted], np.int64)
     counts = np.array([r["count"] for r in counted], np.float64)
     labels = fit_labels(found, counts)
-    share = min(1.0, FIT_DOCUMENTS / max(counts.sum(), 1))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,8 +282,9 @@ def fit(docs: DataFrame) -> tuple[LabelModel, Scorer]:
                     pa.array(patterns(p)[pick]), pa.array([b[i].tobytes() for i in pick], pa.binary()),
                     pa.array([v[i].tobytes() for i in pick], pa.binary())], ["pattern", "buckets", "values"])
 
-    chosen = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = chosen.mapInArrow(describe, "pattern long, buckets binary, values binary").limit(FIT_DOCUMENTS).collect()
+    # By id and text: a text that many documents have gets its share, not all or nothing.
+    chosen = hash_sample(docs.select("doc_id", "text").filter(F.col("text").isNotNull()), ["doc_id", "text"], FIT_DOCUMENTS, int(counts.sum()))
+    sample = chosen.select("text").mapInArrow(describe, "pattern long, buckets binary, values binary").limit(FIT_DOCUMENTS).collect()
     rows = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["values"], np.float32)) for r in sample]
     good = 1 - labels.bad(np.array([r["pattern"] for r in sample], np.int64)) if sample else np.zeros(0)
     return labels, fit_scorer(rows, good)

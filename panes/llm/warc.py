@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship_package, small_side, write_table
+from .common import hash_sample, ship_package, small_side, write_table
 
 #: Records, and bytes of a record, that a dictionary is trained on at most.
 SAMPLE_RECORDS, SAMPLE_BYTES = 400, 32 << 10
@@ -118,8 +118,8 @@ def train(pages: DataFrame) -> bytes:
     import zstandard
 
     size = F.octet_length("html")
-    sample = pages.select("page_id", "url", "html").filter((size > 0) & (size <= SAMPLE_BYTES)).orderBy(
-        F.xxhash64("page_id"), "page_id", "url").limit(SAMPLE_RECORDS).collect()
+    few = pages.select("page_id", "url", "html").filter((size > 0) & (size <= SAMPLE_BYTES))
+    sample = hash_sample(few, ["page_id", "url"], SAMPLE_RECORDS, pages.count()).limit(SAMPLE_RECORDS).collect()
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [record(r[0], r[1], r[2].encode()) for r in sample]).as_bytes()
     except zstandard.ZstdError:
