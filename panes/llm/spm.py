@@ -81,6 +81,7 @@ class Pieces:
                     own.append(None)
                 at = self.go[at][c]
             own[at] = piece
+        self.found = 0  # steps remembered beside the pieces' own
         self.ending: list[tuple] = [()] * len(self.go)
         self.shorter = [0] * len(self.go)
         children = [dict(x) for x in self.go]  # ``go`` grows by what ``step`` finds
@@ -102,7 +103,8 @@ class Pieces:
         while c not in self.go[at] and at:
             at = self.shorter[at]
         found = self.go[at].get(c, 0)
-        if found:  # remembered: there are few states and characters that pieces have
+        if found and self.found < REMEMBERED:
+            self.found += 1
             self.go[state][c] = found
         return found
 
