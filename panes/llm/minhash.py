@@ -154,7 +154,9 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
 
 
 def _sketch_rows(docs: DataFrame, width: int) -> DataFrame:
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n_shingles", T.LongType()),
+    """The columns of ``docs`` with n_shingles, digest and registers in the place of ``text``."""
+    own = [f.name for f in docs.schema if f.name != "text"]
+    schema = T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in own], T.StructField("n_shingles", T.LongType()),
                            T.StructField("digest", T.BinaryType()), T.StructField("registers", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,14 +164,14 @@ def _sketch_rows(docs: DataFrame, width: int) -> DataFrame:
 
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                shingles, bounds = shingle_sets(part.column(1), width)
+                shingles, bounds = shingle_sets(part.column("text"), width)
                 digests = [xxhash.xxh3_128_digest(shingles[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 registers = sketches(shingles, bounds)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(np.diff(bounds), pa.int64()), pa.array(digests, pa.binary()),
+                    *[part.column(c) for c in own], pa.array(np.diff(bounds), pa.int64()), pa.array(digests, pa.binary()),
                     pa.array([r.tobytes() for r in registers], pa.binary())], schema.fieldNames())
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select(*own, "text").mapInArrow(run, schema)
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -319,12 +321,9 @@ def _block_links(blocks: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``.
-
-    Documents are linked if their sets of ``width``-word shingles have a Jaccard
-    similarity of at least ``percent`` / 100.
-    """
+def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The sketched rows, their classes (digest, first_id, node) and the
+    components (node, component) of the classes that are linked with others."""
     ship_package(docs.sparkSession)
     rows = write_table(_sketch_rows(docs, width), "sketches")
     classes = write_table(rows.filter("n_shingles > 0").groupBy("digest").agg(
@@ -364,8 +363,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         links = links.unionByName(write_table(_block_links(blocks, percent), "block-links"))
         drop_table(loose_sets)
         drop_table(blocks)
-    final = write_table(components(links), "components")
+    return rows, classes, write_table(components(links), "components")
+
 
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``.
+
+    Documents are linked if their sets of ``width``-word shingles have a Jaccard
+    similarity of at least ``percent`` / 100.
+    """
+    rows, classes, final = _linked(docs.select("doc_id", "text"), width, percent)
     # Classes to documents.
     first = final.join(classes.select("node", "first_id"), "node")
     ids = first.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -381,10 +388,29 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component left; all columns as they were.
+    """``docs`` with exactly one row of each component left; all columns as they were.
 
-    Rows with the same ``doc_id`` are the same document here.
+    It is the row with the smallest ``doc_id`` (null last), then the smallest set
+    digest and text hash; of rows that repeat both id and text, any one.  Rows
+    are told apart by id and text, so an id that is null or repeats with another
+    text takes no other row with it.
     """
-    away = near_duplicates(docs, width, percent).filter("not kept").select(F.col("doc_id").alias(fresh_name(docs, "away"))).distinct()
-    away = write_table(away, "near-duplicates")
-    return docs.join(small_side(away), docs["doc_id"].eqNullSafe(away[away.columns[0]]), "left_anti")
+    text_hash = F.unhex(F.md5("text"))
+    rows, classes, final = _linked(docs.select("doc_id", "text", text_hash.alias("print")), width, percent)
+    own = classes.select("node", "digest").join(small_side(final), "node", "left").select(
+        "digest", F.coalesce("component", "node").alias("component"))
+    members = write_table(rows.filter("n_shingles > 0").select("doc_id", "print", "digest").join(own, "digest"), "near-members")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "print"))
+    groups = write_table(members.groupBy("component").agg(first.alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        "component", F.col("f.doc_id").alias("keep_id"), F.col("f.print").alias("keep_print")), "near-groups")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("print") == F.col("keep_print"))
+    marks = members.join(small_side(groups), "component").groupBy("doc_id", "print", stays.alias("stays")).agg(
+        F.count(F.lit(1)).alias("same")).filter("not stays or same > 1").select("doc_id", "print", "stays")
+    i, p, w = (fresh_name(docs, x) for x in ("id", "print", "stays"))
+    marks = write_table(marks.toDF(i, p, w), "near-duplicates")
+    t = fresh_name(docs, "text_hash")
+    left = docs.withColumn(t, text_hash).join(small_side(marks), F.col("doc_id").eqNullSafe(F.col(i)) & F.col(t).eqNullSafe(F.col(p)), "left")
+    out = left.filter(F.col(w).isNull())
+    if not marks.filter(F.col(w)).isEmpty():  # rows that repeat the one that stays
+        out = out.unionByName(left.filter(F.col(w)).dropDuplicates(["doc_id", t]))
+    return out.select(docs.columns)

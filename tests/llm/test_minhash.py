@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 
-from edges import edge_docs, no_docs  # noqa: F401  (fixtures)
+from edges import edge_docs, no_docs, prose  # noqa: F401  (fixtures)
 from panes.llm import minhash
 from panes.llm.components import components
 
@@ -91,6 +91,27 @@ def test_dropping_keeps_columns_and_one_of_each(spark, edge_docs):
     assert 1 in ids and not {2, 3, 4, 5} & set(ids) and {6, 7, 8, 9, 11, 12}.issubset(ids)
 
 
+def test_dropping_decides_by_row_not_by_id(spark, edge_docs):
+    """Null and repeated ids: nothing else goes with a near copy, and one row of each group stays."""
+    texts = [r["text"] for r in minhash.drop_near_duplicates(edge_docs, 2).filter("doc_id is null").collect()]
+    assert len(texts) == 1 and texts[0].startswith("no id at all")
+
+    base, near = prose(1, 120), " ".join([*prose(1, 120).split()[:-1], "changed"])
+    free, twice = prose(2, 120), " ".join([*prose(2, 120).split()[:-1], "changed"])
+    rows = [(1, base), (None, near), (None, prose(3, 50)), (None, prose(4, 50)),  # a near copy without an id, two clean rows
+            (1, prose(5, 50)), (7, near + " more"), (7, prose(6, 50)),  # ids that repeat with another text
+            (None, free), (None, free.upper()), (None, twice), (None, free),  # a group without any id
+            (8, prose(7, 50)), (8, prose(7, 50)), (8, prose(7, 50).upper()),  # an id and its set, three times
+            (None, None), (None, ""), (9, None), (9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in minhash.drop_near_duplicates(docs, 2).collect()]
+    clean = [(1, base), (None, prose(3, 50)), (None, prose(4, 50)), (1, prose(5, 50)), (7, prose(6, 50)), (None, None), (None, ""), (9, None), (9, " ")]
+    assert [got.count(x) for x in clean] == [1] * len(clean)
+    assert len(got) == len(clean) + 2
+    assert sum(x in [(None, free), (None, free.upper()), (None, twice)] for x in got) == 1
+    assert sum(x[0] == 8 for x in got) == 1
+
+
 def test_estimate_follows_similarity():
     r = np.random.default_rng(1)
     for similarity in (0.3, 0.6, 0.9):
