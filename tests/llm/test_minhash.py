@@ -112,6 +112,26 @@ def test_dropping_decides_by_row_not_by_id(spark, edge_docs):
     assert sum(x[0] == 8 for x in got) == 1
 
 
+def test_short_texts_at_the_threshold_are_linked(spark):
+    """4 of 5 shingles shared, but the few full buckets make the estimate 0.61 and 0.59."""
+    rows = []
+    for i, text in enumerate(["gur mes mis bar kor dir", "for but bes kat les lat"]):
+        rows += [(2 * i, text), (2 * i + 1, text.rsplit(" ", 1)[0])]
+    got = found(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2))
+    assert got == brute(rows, 2) and [c for _, _, c, _ in got] == [0, 0, 2, 2]
+
+
+def test_the_cut_allows_for_repeated_registers():
+    r, u = np.random.default_rng(5), np.array([5, 10, 40, 200])
+    assert np.allclose(minhash.independent(np.array([1, 100_000])), [1, 128], rtol=1e-3)
+    assert (np.diff(minhash.least_estimate(u, u, 80)) > 0).all() and minhash.least_estimate(u[:1], u[:1], 80)[0] < 0
+    for size in u:  # similarity 0.8 exactly
+        sets = r.integers(0, 1 << 64, (20_000, size), dtype=np.uint64)
+        k = [minhash.sketches(np.sort(x, axis=1).ravel(), np.arange(len(x) + 1) * x.shape[1]) for x in (sets, sets[:, :size * 4 // 5])]
+        n, m = np.full(len(sets), size), np.full(len(sets), size * 4 // 5)
+        assert (minhash.estimate(*k, n, m) >= minhash.least_estimate(n, m, 80)).all()
+
+
 def test_estimate_follows_similarity():
     r = np.random.default_rng(1)
     for similarity in (0.3, 0.6, 0.9):
