@@ -2,7 +2,8 @@
 
 Over a table with an arrival column they answer "what did the first pane
 hold?": the rows that arrived before ``first arrival + delay`` (strictly
-before: a row arriving at the firing instant misses the pane).
+before: a row arriving at the firing instant misses the pane).  A NULL arrival
+fails the job.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timestamps import duration_us, interval_us
-from .windows import COUNT, count_fixed, count_global, fixed_window
+from .windows import COUNT, count_fixed, count_global, fixed_window, require_time
 
 
 def first_pane_global(df: DataFrame, arrival_col: str, delay: str = "10 seconds") -> DataFrame:
@@ -21,8 +22,9 @@ def first_pane_global(df: DataFrame, arrival_col: str, delay: str = "10 seconds"
     the scan, and the count runs with a partial count per task.
     """
     t = F.col(arrival_col)
-    # The end as a whole is the subquery's value, so the scan gets the filter.
-    end = df.select(F.min(t) + interval_us(duration_us(delay))).scalar()
+    # The end as a whole is the subquery's value, so the scan gets the filter;
+    # the subquery reads every arrival and so is where a NULL one is met.
+    end = require_time(df.select(arrival_col), arrival_col).select(F.min(t) + interval_us(duration_us(delay))).scalar()
     return count_global(df.where(t < end))
 
 
@@ -45,8 +47,8 @@ def first_pane_windows(df: DataFrame, arrival_col: str, size: str = "10 seconds"
     if delay_us >= size_us:
         return count_fixed(df, arrival_col, size)
     t = F.col(arrival_col)
-    keyed = df.where(t.isNotNull()).select(fixed_window(t, size).start.alias("window_start"), t.alias("_t"),
-                                           F.pmod(F.xxhash64(t), F.lit(salts)).alias("_salt"))
+    keyed = require_time(df.select(arrival_col), arrival_col).select(fixed_window(t, size).start.alias("window_start"), t.alias("_t"),
+                                                                     F.pmod(F.xxhash64(t), F.lit(salts)).alias("_salt"))
     firsts = keyed.groupBy("window_start").agg(F.min("_t").alias("_first"))
     firsts = firsts.select("window_start", "_first", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt"))
     inside = keyed.join(firsts, ["window_start", "_salt"]).where(F.col("_t") < F.col("_first") + interval_us(delay_us))

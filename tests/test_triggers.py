@@ -100,6 +100,15 @@ def test_first_pane_windows_long_delay_is_fixed_count(spark):
     assert got == brute_first_pane(times, 10, 30)
 
 
+@pytest.mark.parametrize("pane", [lambda df: first_pane_windows(df, "ts", "60 seconds", "7 seconds"),
+                                  lambda df: first_pane_windows(df, "ts", "10 seconds", "30 seconds"),
+                                  lambda df: first_pane_global(df, "ts", "10 seconds")])
+def test_null_arrival_fails_the_first_panes(spark, pane):
+    df = spark.createDataFrame([("2024-01-01 00:00:00",), (None,), ("2024-01-01 00:00:01",)], "t string").select(F.col("t").cast("timestamp").alias("ts"))
+    with pytest.raises(Exception, match="without event time"):
+        pane(df).collect()
+
+
 def test_f7_first_pane_global(spark):
     times = [BASE + dt.timedelta(seconds=s) for s in (0, 3, 9, 12, 25)]
     df = spark.createDataFrame([(t,) for t in times], "ts timestamp_ntz")
