@@ -3,8 +3,10 @@
 Archive layout (the public WARC/Zstandard convention): a leading skippable frame
 holds the dictionary, then each record is a frame of its own, compressed with
 it, so that a record can be read alone.  The dictionary is trained on a bounded
-sample of the records to archive (``SAMPLE_RECORDS`` of at most ``SAMPLE_BYTES``
-each) and embedded in every archive.
+sample of what is to be archived and embedded in every archive: pages of any
+size count as pieces of ``SAMPLE_BYTES``, of which ``SAMPLE_RECORDS`` are drawn by
+hash.  Where that is too little for a dictionary, the archives have an empty one
+and a warning is logged.
 
 A task writes the rows of its partition as one archive through Spark's text
 writer, with its commit protocol, so a lost or repeated task leaves no partial
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import logging
 import re
 import struct
 import uuid
@@ -33,9 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import hash_sample, ship_package, small_side, write_table
+from .common import ship_package, small_side, write_table
 
-#: Records, and bytes of a record, that a dictionary is trained on at most.
+#: Pieces of pages, and bytes of a piece, that a dictionary is trained on at most.
 SAMPLE_RECORDS, SAMPLE_BYTES = 400, 32 << 10
 DICTIONARY_BYTES = 64 << 10
 #: Frame numbers of the Zstandard format and of the WARC convention (fixed values).
@@ -114,15 +117,22 @@ def records(archive: bytes) -> Iterator[bytes]:
 
 
 def train(pages: DataFrame) -> bytes:
-    """A dictionary from a bounded sample of the pages' records; empty if there are too few."""
+    """A dictionary from a bounded sample of the pages, pieces of long ones; empty, with a warning, if there is too little."""
     import zstandard
 
-    size = F.octet_length("html")
-    few = pages.select("page_id", "url", "html").filter((size > 0) & (size <= SAMPLE_BYTES))
-    sample = hash_sample(few, ["page_id", "url"], SAMPLE_RECORDS, pages.count()).limit(SAMPLE_RECORDS).collect()
+    last = F.floor((F.octet_length("html") - 1) / SAMPLE_BYTES)  # number of a page's last piece
+    some = pages.select("page_id", "url", "html").filter(F.octet_length("html") > 0)
+    total = some.agg(F.sum(last + 1)).first()[0] or 0
+    share, payload = 1 << 40, F.col("html").cast("binary")
+    drawn = F.filter(F.sequence(F.lit(0).cast("long"), last),
+                     lambda k: F.pmod(F.xxhash64("page_id", "url", k), F.lit(share)) < int(min(1, SAMPLE_RECORDS / max(total, 1)) * share))
+    # Pieces are cut inside the row: a long page isn't repeated for each of its own.
+    pieces = F.transform(drawn, lambda k: F.substring(payload, (k * SAMPLE_BYTES + 1).cast("int"), F.lit(SAMPLE_BYTES)))
+    sample = some.select("page_id", "url", F.explode(pieces)).limit(SAMPLE_RECORDS).collect()
     try:
-        return zstandard.train_dictionary(DICTIONARY_BYTES, [record(r[0], r[1], r[2].encode()) for r in sample]).as_bytes()
-    except zstandard.ZstdError:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, [record(r[0], r[1], bytes(r[2])) for r in sample]).as_bytes()
+    except zstandard.ZstdError as e:
+        logging.getLogger(__name__).warning("no dictionary: %d pieces of pages are too little to train on (%s)", len(sample), e)
         return b""
 
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import struct
 
 import pytest
@@ -43,6 +44,27 @@ def test_round_trip(spark, archives):
     assert payloads == {(h or "").encode() for _, _, h in rows()}
 
 
+def long_pages(n, words):
+    r = random.Random(n)
+    return [(i, f"http://p/{i}", "<html>" + " ".join(f"<p class='body text'>{r.randrange(5000)} naïve</p>" for _ in range(words)) + "</html>") for i in range(n)]
+
+
+@pytest.mark.parametrize("pages", [long_pages(60, 1500) + [(100 + i, "u", "short") for i in range(3)], long_pages(2, 12_000)], ids=["mostly long", "few and long"])
+def test_a_dictionary_is_trained_on_long_pages(spark, pages):
+    assert sum(len(h.encode()) > warc.SAMPLE_BYTES for *_, h in pages) >= len(pages) - 3
+    docs = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    assert struct.unpack_from("<I", warc.train(docs))[0] == 0xEC30A437
+    path = scratch_path(spark, "archive-long")
+    warc.write_archives(docs, path)
+    back = {r["page_id"]: bytes(r["payload"]).decode() for r in warc.read_archives(spark, path).collect()}
+    assert back == {i: h for i, _, h in pages}
+
+
+def test_too_little_for_a_dictionary_is_told(spark, caplog):
+    docs = spark.createDataFrame([(1, "u", "one"), (2, "u", None), (3, "u", "")], "page_id long, url string, html string")
+    assert warc.train(docs) == b"" and "no dictionary" in caplog.text
+
+
 def test_whole_table_round_trip(spark):
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
     path = scratch_path(spark, "archive-pages")
