@@ -45,6 +45,8 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT doc_id, len(string_split(text, ' '))::BIGINT AS n_items FROM documents",
     "json_object_length":
         "SELECT event_id, len(json_keys(props))::BIGINT AS n_keys FROM events",
+    "json_object_repeated_keys":
+        "SELECT doc_id, (SELECT count(DISTINCT w) FROM (SELECT unnest(string_split(text, ' ')) AS w))::BIGINT AS n_keys FROM documents",
     "json_string_length":
         "SELECT doc_id, length(text)::BIGINT AS text_len FROM documents",
     "global_count": "SELECT count(*) AS n FROM documents HAVING count(*) > 0",

@@ -63,6 +63,15 @@ def json_object_length(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", codec.json_length("props").alias("n_keys"))
 
 
+def json_object_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of a JSON object whose keys are the words of a whole text, each
+    as often as the text has it (a repeated key counts once)."""
+    pairs = F.transform(F.split("text", " ", -1), lambda w: F.concat(codec.json_string_text(w), F.lit(":1")))
+    value = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    return table(spark, sf_dir, "documents").select("doc_id", value.alias("value")).select(
+        "doc_id", codec.json_length("value").alias("n_keys"))
+
+
 def json_string_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of a JSON string (code points), over whole texts."""
     return table(spark, sf_dir, "documents").select(
@@ -211,6 +220,7 @@ QUERIES: dict[str, Query] = {
     "sliding_window_count": sliding_window_count,
     "json_array_length": json_array_length,
     "json_object_length": json_object_length,
+    "json_object_repeated_keys": json_object_repeated_keys,
     "json_string_length": json_string_length,
     "global_count": global_count,
     "global_window_count": global_window_count,

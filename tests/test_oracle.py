@@ -81,3 +81,9 @@ def test_time_queries_do_not_depend_on_the_session_zone(spark, duck, name):
     res = duck.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     assert sorted_rows(df.columns, got) == sorted_rows(ocols, res.fetchall())
+
+
+def test_most_objects_of_words_repeat_keys(spark):
+    keys, items = (QUERIES[q](spark, SF_SMALL) for q in ("json_object_repeated_keys", "json_array_length"))
+    both = keys.join(items, "doc_id").collect()
+    assert sum(r.n_keys < r.n_items for r in both) > len(both) / 2
