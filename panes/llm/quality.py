@@ -29,14 +29,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fresh_name, hash_sample, ship_package
-from .words import Recent, coded, slices, split_words
+from .words import slices, split_words
 
 #: Documents the scorer is fitted on at most, and its number of weights.
 FIT_DOCUMENTS, WEIGHTS = 20_000, 1 << 16
 #: A document is kept if the scorer's probability of being good reaches this.
 KEEP = 0.5
-#: Distinct words a worker remembers the shape of (twice so many at most), and text bytes it looks at at once.
-REMEMBERED, LOOK_BYTES = 60_000, 2 << 20
+#: Text bytes that a worker looks at at once.
+LOOK_BYTES = 2 << 20
 
 # --- statistics of texts ----------------------------------------------------
 
@@ -44,43 +44,95 @@ REMEMBERED, LOOK_BYTES = 60_000, 2 << 20
 ODD, SHOUTED, SEPARATOR, PLAIN, ENDS = 1, 2, 4, 8, 16
 
 
-def shape(word: str) -> str:
-    """A for capitals, a for other letters, 0 for digits, the rest as it is; runs count once."""
-    out, last = [], ""
-    for c in word:
-        k = ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
-        if k != last:
-            out.append(k)
-        last = k
-    return "".join(out)
-
-
-def flags(word: str, kind: str) -> int:
-    core = word.rstrip(".,;:!?")
-    letters = [c for c in word if c.isalpha()]
-    odd = any(not c.isalnum() and c not in ".,;:!?'\"()-" for c in word)
-    plain = bool(core) and core.isalpha() and kind[:2] in ("Aa", "a", "A", "a.", "a,", "A.", "A,") and len(word) - len(core) <= 1
-    shouted = len(letters) > 1 and word.upper() == word
-    return (ODD * odd | SHOUTED * shouted | SEPARATOR * (not letters and not any(c.isdigit() for c in word))
-            | PLAIN * (plain and not shouted) | ENDS * (word[-1] in ".!?" and word[-2:-1].isalnum()))
-
-
-_SHAPES = Recent(REMEMBERED)
-
-
-def _known(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+class Marks:
+    """What a character is, looked up by code point; learned as characters appear."""
+
+    ALPHA, UPPER, DIGIT, ALNUM, CAPITAL, CLOSES, ENDS, USUAL = (1 << i for i in range(8))
+
+    def __init__(self):
+        self.table = np.zeros(0x110000, np.uint8)
+        self.seen = np.zeros(0x110000, bool)
+
+    def __call__(self, points: np.ndarray) -> np.ndarray:
+        for x in np.unique(points[~self.seen[points]]).tolist():
+            c = chr(x)
+            self.table[x] = (self.ALPHA * c.isalpha() | self.UPPER * c.isupper() | self.DIGIT * c.isdigit() | self.ALNUM * c.isalnum()
+                             | self.CAPITAL * (c.upper() == c) | self.CLOSES * (c in ".,;:!?") | self.ENDS * (c in ".!?")
+                             | self.USUAL * (c in ".,;:!?'\"()-"))
+            self.seen[x] = True
+        return self.table[points]
+
+
+_MARKS = Marks()
+
+
+def code_points(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of non-empty words one after another, and where each word begins."""
+    words = words.cast(pa.large_string())
+    _, offsets, data = words.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    text = bytes(memoryview(data)[bounds[0]:bounds[-1]]).decode() if len(words) else ""
+    lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32), np.cumsum(lengths) - lengths
+
+
+def distinct_counts(owner: np.ndarray, values: np.ndarray, kinds: int, n: int) -> np.ndarray:
+    """How many distinct values (below ``kinds``) each of the ``n`` owners has."""
+    keys = np.sort(owner * kinds + values)
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    return np.bincount(keys[first] // kinds, minlength=n)
+
+
+def shapes_and_flags(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The shape and the flags of each of the distinct, non-empty words.
+
+    A shape has A for capitals, a for other letters, 0 for digits and the rest as
+    it is; runs count once.
+    """
+    points, begins = code_points(words)
+    if not len(begins):
+        return pa.array([], pa.string()), np.zeros(0, np.int64)
+    m, word = _MARKS(points), np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(points))))
+    has = lambda bit: m & bit > 0
+    count = lambda mask: np.add.reduceat(mask, begins, dtype=np.int64)
+    lasts = np.append(begins[1:], len(points)) - 1
+    sizes = lasts - begins + 1
+
+    alpha, digit = has(Marks.ALPHA), has(Marks.DIGIT)
+    kind = np.where(alpha, np.where(has(Marks.UPPER), ord("A"), ord("a")), np.where(digit, ord("0"), points)).astype(np.uint32)
+    runs = np.ones(len(kind), bool)
+    runs[1:] = kind[1:] != kind[:-1]
+    runs[begins] = True
+    kinds, lengths = kind[runs], count(runs)
+    starts = np.cumsum(lengths) - lengths
+    flat = kinds.tobytes().decode("utf-32-le").encode()
+    widths = np.where(kinds < 0x80, 1, np.where(kinds < 0x800, 2, np.where(kinds < 0x10000, 3, 4)))
+    offsets = np.append(0, np.cumsum(np.add.reduceat(widths, starts))).astype(np.int32)
+    shapes = pa.StringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(flat))
+
+    # Characters up to the last one that is no closing mark.
+    inner = np.where(has(Marks.CLOSES), -1, np.arange(len(points)))
+    core = np.maximum(np.maximum.reduceat(inner, begins) + 1 - begins, 0)
+    letters = count(alpha)
+    second = np.where(lengths > 1, kinds[np.minimum(starts + 1, len(kinds) - 1)], 0)
+    begun = (second == 0) | (second == ord(".")) | (second == ord(",")) | (kinds[starts] == ord("A")) & (second == ord("a"))
+    plain = (core > 0) & (letters == core) & (sizes - core <= 1) & begun
+    shouted = (letters > 1) & (count(~has(Marks.CAPITAL)) == 0)
+    odd = count(~has(Marks.ALNUM) & ~has(Marks.USUAL)) > 0
+    ends = has(Marks.ENDS)[lasts] & (sizes > 1) & has(Marks.ALNUM)[np.maximum(lasts - 1, 0)]
+    return shapes, (ODD * odd | SHOUTED * shouted | SEPARATOR * ((letters == 0) & (count(digit) == 0))
+                    | PLAIN * (plain & ~shouted) | ENDS * ends)
+
+
+def _described(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hashed shape and the flags of each word."""
     import xxhash
 
-    out = np.empty(len(words), np.int64)
-    for i, w in enumerate(words):
-        known = _SHAPES.get(w)
-        if known is None:
-            kind = shape(w)
-            known = (xxhash.xxh3_64_intdigest(kind.encode()) % WEIGHTS) << 5 | flags(w, kind)
-            _SHAPES.put(w, known)
-        out[i] = known
-    return out >> 5, out & 31
+    shapes, marks = shapes_and_flags(words)
+    coded_shapes = shapes.dictionary_encode()
+    hashed = np.fromiter((xxhash.xxh3_64_intdigest(x) % WEIGHTS for x in coded_shapes.dictionary.to_pylist()), np.int64, len(coded_shapes.dictionary))
+    return hashed[coded_shapes.indices.to_numpy(zero_copy_only=False)], marks
 
 
 class Profiles:
@@ -90,8 +142,9 @@ class Profiles:
         self.texts = pc.fill_null(texts, "")
         n = self.n = len(texts)
         self.owner, words = split_words(texts)
-        codes, distinct = coded(words)
-        buckets, marks = _known(distinct)
+        encoded = words.dictionary_encode()
+        codes, distinct = encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
+        buckets, marks = _described(distinct)
         self.buckets, flag = buckets[codes], marks[codes]
         self.words = np.bincount(self.owner, minlength=n)
         share = lambda mask: np.bincount(self.owner[mask], minlength=n) / np.maximum(self.words, 1)
@@ -100,15 +153,11 @@ class Profiles:
         again = np.zeros(len(codes), bool)
         again[1:] = (codes[1:] == codes[:-1]) & (self.owner[1:] == self.owner[:-1])
         self.again = share(again)
-        kinds = np.unique(self.owner * (len(distinct) + 1) + codes)
-        self.distinct = np.bincount(kinds // (len(distinct) + 1), minlength=n) / np.maximum(self.words, 1)
+        kinds = len(distinct) + 1
+        self.distinct = distinct_counts(self.owner, codes, kinds, n) / np.maximum(self.words, 1)
         same = self.owner[1:] == self.owner[:-1]
-        pair = codes[:-1][same].astype(np.int64) * (len(distinct) + 1) + codes[1:][same]
-        order = np.lexsort((pair, self.owner[1:][same]))
-        pair, doc = pair[order], self.owner[1:][same][order]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])
-        self.pairs = np.bincount(doc[new], minlength=n) / np.maximum(self.words - 1, 1)
+        pairs = codes[:-1][same].astype(np.int64) * kinds + codes[1:][same]
+        self.pairs = distinct_counts(self.owner[1:][same], pairs, kinds * kinds, n) / np.maximum(self.words - 1, 1)
         lines = [x.split("\n") for x in self.texts.to_pylist()]
         self.lines = np.array([len(x) for x in lines])
         self.line_copies = np.array([1 - len(set(x)) / len(x) for x in lines])
