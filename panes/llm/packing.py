@@ -22,30 +22,47 @@ are not read.
 
 from __future__ import annotations
 
-import re
-import unicodedata
+import json
 from bisect import bisect_right, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .common import ship_package
-from .words import Recent, coded, gather, slices, split_words
+from .words import code_points, gather, slices, split_words
 
 #: Tokens in a task's pool before it starts to fill windows (8 MB of ids).
 POOL_TOKENS = 2_000_000
-#: Distinct words, and parts of words, that a worker remembers the ids of (twice so many at most).
-REMEMBERED = 250_000
+#: Bytes of parts of words, with their ids, that a worker remembers.
+REMEMBERED_BYTES = 32 << 20
 
 # --- tokenising -------------------------------------------------------------
 
-#: The split pattern of the vocabulary file, for Latin letters (fixed value).
+#: The split pattern of the vocabulary file, for Latin letters, and what else of its
+#: form the array code below stands for (fixed values).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": PRETOKEN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: Letters of the pattern's endings after an apostrophe, one or two of them (fixed values).
+ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
+
+
+def is_known_form(vocabulary: str) -> bool:
+    """Whether a tokenizer file normalises and splits as the array code does."""
+    file = json.loads(vocabulary)
+    return (file.get("normalizer") == NORMALIZER and file.get("pre_tokenizer") == PRE_TOKENIZER and not file.get("post_processor")
+            and not file.get("truncation") and file["model"]["type"] == "BPE" and not file["model"].get("dropout")
+            and all(t["content"].startswith("<|") for t in file.get("added_tokens", [])))
 
 
 def byte_letters() -> dict[int, str]:
@@ -56,52 +73,147 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Letters:
+    """By code point: its class, its lower case, and whether a word of such is split here."""
+
+    OTHER, LETTER, NUMBER = range(3)
+
+    def __init__(self):
+        import regex
+
+        top = 0x250  # Latin; beyond it the library does all of it
+        self.lower = np.arange(top + 1, dtype=np.uint32)
+        self.kind, self.plain = np.zeros(top + 1, np.uint8), np.zeros(top + 1, bool)
+        for x in [*range(0x21, 0x7F), *range(0xA1, top)]:
+            c = chr(x)
+            self.plain[x] = len(c.lower()) == 1 and ord(c.lower()) < top
+            if self.plain[x]:
+                self.lower[x] = ord(c.lower())
+                self.kind[x] = self.LETTER if regex.match(r"\p{L}", c.lower()) else self.NUMBER if regex.match(r"\p{N}", c.lower()) else self.OTHER
+        self.top = top
+
+
+def runs_of(values: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The code points between ``starts`` as strings."""
+    widths = np.where(values < 0x80, 1, np.where(values < 0x800, 2, np.where(values < 0x10000, 3, 4)))
+    offsets = np.append(0, np.cumsum(np.add.reduceat(widths, starts) if len(starts) else [])).astype(np.int64)
+    data = values.astype("<u4").tobytes().decode("utf-32-le").encode()
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data))
+
+
+class PartIds:
+    """Ids of parts of words, remembered as arrays; the parts used longest ago go first."""
+
+    def __init__(self, tokenize, most_bytes: int):
+        self.tokenize, self.most_bytes, self.turn = tokenize, most_bytes, 0
+        self.letters = byte_letters()
+        self.known = pa.array([], pa.large_string())
+        self.ids = np.zeros(0, "<u4")
+        self.starts, self.lengths, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def _forget(self) -> None:
+        size = 8 + 20 + pc.binary_length(self.known).to_numpy(zero_copy_only=False) + 4 * self.lengths
+        if size.sum() > self.most_bytes:
+            latest = np.argsort(-self.used, kind="stable")
+            keep = np.sort(latest[np.cumsum(size[latest]) <= self.most_bytes // 2])
+            self.known = self.known.take(pa.array(keep))
+            self.ids = gather(self.ids, self.starts[keep], self.lengths[keep])
+            self.lengths, self.used = self.lengths[keep], self.used[keep]
+            self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def __call__(self, parts: pa.Array) -> np.ndarray:
+        """The number of each of the distinct parts; ``ids``, ``starts`` and ``lengths`` hold until the next call."""
+        self._forget()
+        self.turn += 1
+        found = pc.index_in(parts, value_set=self.known)
+        missing = parts.filter(pc.is_null(found))
+        at = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[at < 0] = len(self.known) + np.arange(len(missing))
+        ids = []
+        for part in missing.to_pylist():
+            spelled = part if part.isascii() and part.isalnum() else "".join([self.letters[b] for b in part.encode()])
+            ids.append([t.id for t in self.tokenize(spelled)])
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.known = pa.concat_arrays([self.known, missing])
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, lengths.sum())]).astype("<u4")
+        self.used = np.concatenate([self.used, np.zeros(len(ids), np.int32)])
+        self.used[at] = self.turn
+        return at
+
+
 class WordIds:
-    """Ids of words, remembered.
+    """Ids of words.
 
     The vocabulary's pattern never matches white space, so the ids of a text are
-    those of its words in a row.  Each distinct word is tokenised once a worker.
+    those of its words in a row, and those of a word are those of the parts the
+    pattern finds in it.  All words of a slice are split at once, as arrays of code
+    points; a part is tokenised when a worker first meets it.
     """
 
     def __init__(self, vocabulary: str):
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.model = self.tokenizer.model
-        self.pattern = regex.compile(PRETOKEN)
-        self.odd = re.compile("[^!-~\u00a1-\u024f]|<[|]")
-        self.letters = byte_letters()
-        self.words, self.parts = Recent(REMEMBERED), Recent(REMEMBERED)
-
-    def part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            spelled = part if part.isascii() and part.isalnum() else "".join(self.letters[b] for b in part.encode())
-            ids = np.array([t.id for t in self.model.tokenize(spelled)], "<u4").tobytes()
-            self.parts.put(part, ids)
-        return ids
-
-    def word(self, word: str) -> bytes:
-        # Beyond Latin letters, and where a special token may stand, the library does all of it.
-        if self.odd.search(word):
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        plain = word.lower() if word.isascii() else "".join(c.lower() for c in unicodedata.normalize("NFC", word))
-        if plain.isalpha():
-            return self.part(plain)
-        return b"".join(map(self.part, self.pattern.findall(plain)))
-
-    def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        self.by_words = is_known_form(vocabulary)
+        self.letters = Letters()
+        model = self.tokenizer.model
+        self.parts = PartIds(model.tokenize, REMEMBERED_BYTES)
+
+    def of_texts(self, texts: pa.Array) -> list[np.ndarray]:
+        """The library's own ids, for a file of another form."""
+        found = self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def split(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The parts of the words in a row, how many each has, and which words are left to the library."""
+        points, begins = code_points(words)
+        if not len(begins):
+            return pa.array([], pa.large_string()), begins, np.zeros(0, bool)
+        low = np.minimum(points, self.letters.top)
+        strange = ~self.letters.plain[low]
+        special = np.zeros(len(points), bool)  # where a special token may stand
+        special[:-1] = (points[:-1] == ord("<")) & (points[1:] == ord("|"))
+        special[begins[1:] - 1] = False
+        rest = np.add.reduceat(strange | special, begins, dtype=np.int64) > 0
+        lengths = np.diff(np.append(begins, len(points)))
+        inside = np.repeat(~rest, lengths)
+        low, lengths = low[inside], np.where(rest, 0, lengths)
+        first = np.zeros(len(low) + 1, bool)
+        first[(np.cumsum(lengths) - lengths)[~rest]] = True
+        values, kind = self.letters.lower[low], self.letters.kind[low]
+        starts = first[:-1].copy()
+        starts[1:] |= (kind[1:] != kind[:-1]) | (kind[1:] == Letters.NUMBER)
+        ends = np.append(values, [0, 0, 0])
+        for ending in ENDINGS:
+            at = np.flatnonzero(starts & (values == ord("'")))
+            for i, c in enumerate(ending):
+                at = at[~first[np.minimum(at + i + 1, len(low))] & (ends[at + i + 1] == ord(c))]
+            for i in range(len(ending)):
+                starts[at + i + 1] = False
+            after = at + len(ending) + 1
+            starts[after[after < len(low)]] = True
+        places = np.flatnonzero(starts)
+        owner = np.repeat(np.arange(len(lengths)), lengths)[places]
+        return runs_of(values, places), np.bincount(owner, minlength=len(lengths)), rest
+
+    def __call__(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of distinct words in a row, where each begins, and how many it has."""
-        known, found = self.words, []
-        for w in words:
-            ids = known.get(w)
-            if ids is None:
-                ids = self.word(w)
-                known.put(w, ids)
-            found.append(ids)
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        return np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths) - lengths, lengths
+        parts, n_parts, rest = self.split(words)
+        coded_parts = parts.dictionary_encode()
+        numbers = self.parts(coded_parts.dictionary)[coded_parts.indices.to_numpy(zero_copy_only=False)]
+        sizes = self.parts.lengths[numbers]
+        values = gather(self.parts.ids, self.parts.starts[numbers], sizes)
+        owner = np.repeat(np.arange(len(n_parts)), n_parts)
+        lengths = np.bincount(owner, sizes, len(n_parts)).astype(np.int64)
+        starts = np.cumsum(lengths) - lengths
+        if rest.any():  # beyond Latin letters, and where a special token may stand
+            found = self.of_texts(words.filter(pa.array(rest)))
+            lengths[rest] = [len(x) for x in found]
+            starts[rest] = len(values) + np.cumsum(lengths[rest]) - lengths[rest]
+            values = np.concatenate([values, *found])
+        return values, starts, lengths
 
 
 _WORD_IDS: dict[int, WordIds] = {}
@@ -118,8 +230,11 @@ def word_ids(vocabulary: str) -> WordIds:
 
 def tokenise(texts: pa.Array, ids_of: WordIds, end_id: int) -> list[np.ndarray]:
     """For each text its ids (unsigned, 32 bits), then ``end_id``."""
+    if not ids_of.by_words:
+        return [np.append(x, np.uint32(end_id)).astype("<u4") for x in ids_of.of_texts(texts)]
     owner, words = split_words(texts)
-    codes, distinct = coded(words)
+    encoded = words.dictionary_encode()
+    codes, distinct = encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
     values, starts, lengths = ids_of(distinct)
     values = np.append(values, np.uint32(end_id)).astype("<u4")
     starts, lengths = np.append(starts, len(values) - 1), np.append(lengths, 1)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fresh_name, hash_sample, ship_package
-from .words import slices, split_words
+from .words import code_points, slices, split_words
 
 #: Documents the scorer is fitted on at most, and its number of weights.
 FIT_DOCUMENTS, WEIGHTS = 20_000, 1 << 16
@@ -66,16 +66,6 @@ class Marks:
 _MARKS = Marks()
 
 
-def code_points(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The code points of non-empty words one after another, and where each word begins."""
-    words = words.cast(pa.large_string())
-    _, offsets, data = words.buffers()
-    bounds = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
-    text = bytes(memoryview(data)[bounds[0]:bounds[-1]]).decode() if len(words) else ""
-    lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.frombuffer(text.encode("utf-32-le"), np.uint32), np.cumsum(lengths) - lengths
-
-
 def distinct_counts(owner: np.ndarray, values: np.ndarray, kinds: int, n: int) -> np.ndarray:
     """How many distinct values (below ``kinds``) each of the ``n`` owners has."""
     keys = np.sort(owner * kinds + values)

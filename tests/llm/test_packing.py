@@ -4,6 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from tokenizers import Tokenizer
@@ -84,10 +85,25 @@ def test_fill_is_the_best_of_all_choices():
         assert sum(n * k for n, k in taken.items()) == best
 
 
-def test_words_have_the_librarys_ids(tokenizer):
+def test_words_have_the_librarys_ids(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 20_000)  # forgets all the time
     ids_of = packing.WordIds(open(FILE).read())
     r = random.Random(2)
-    letters = "abcXYZéÉßñÑİıǅ'’.,!?-_0127²½ª中🙂́­​\x1c\x85 Σς<|>"
-    words = ["".join(r.choice(letters) for _ in range(r.randint(1, 9))) for _ in range(5000)] + ["it's", "we'LL", "<|endoftext|>", "x<|startoftext|>y"]
-    for w in words:
-        assert np.frombuffer(ids_of.word(w), "<u4").tolist() == tokenizer.encode(w, add_special_tokens=False).ids, repr(w)
+    letters = "abcXYZéÉßñÑİıǅ'’.,!?-_0127²½ª中🙂\u0301\u00ad\u200b\x1c\x85 Σς<|>"
+    words = ["".join(r.choice(letters) for _ in range(r.randint(1, 9))) for _ in range(5000)]
+    words += ["".join(r.choice("''stremvlLDx.1É'") for _ in range(r.randint(1, 9))) for _ in range(5000)]
+    words = sorted({*words, "it's", "we'LL", "'s's'rex", "'", "x''s", "<|endoftext|>", "x<|startoftext|>y", "<", "|", "a" * 3000, "é" * 3000})
+    for low in range(0, len(words), 1000):
+        own = words[low:low + 1000]
+        values, starts, lengths = ids_of(pa.array(own, pa.large_string()))
+        for w, s, n in zip(own, starts, lengths, strict=True):
+            assert values[s:s + n].tolist() == tokenizer.encode(w, add_special_tokens=False).ids, repr(w)
+        assert sum(map(len, ids_of.parts.known.to_pylist())) < 60_000
+    assert [len(x) for x in ids_of(pa.array([], pa.large_string()))] == [0, 0, 0]
+
+
+def test_a_file_of_another_form_is_left_to_the_library(spark, edge_docs):
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.is_known_form(open(FILE).read()) and not packing.is_known_form(open(other).read())
+    docs = [(r["doc_id"], r["text"]) for r in edge_docs.select("doc_id", "text").collect()]
+    check(docs, packing.pack(edge_docs, open(other).read(), 2, 256).collect(), Tokenizer.from_file(other), 256)
