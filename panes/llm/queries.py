@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panes.session import scratch_path
 from panes.sources.tables import table
 
-from . import chat, embed, exact, lines, minhash, packing, quality, sharding, spm, warc
+from . import chat, embed, exact, lines, minhash, packing, quality, sharding, spm, structure, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,16 @@ def op10_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation of ``conversations``, damaged, audited and repaired at least cost."""
+    turns = table(spark, sf_dir, "conversations")
+    found = structure.digests(structure.repair_structure(structure.damaged(turns))).withColumnRenamed("conv_id", "found_id")
+    every = turns.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_kd_shards": op1_kd_shards,
     "op2_hyperminhash": op2_hyperminhash,
@@ -93,4 +103,5 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_warc_dictionary": op8_warc_dictionary,
     "op9_role_repair": op9_role_repair,
     "op10_streaming_viterbi": op10_streaming_viterbi,
+    "op11_hirschberg_repair": op11_hirschberg_repair,
 }
