@@ -2,7 +2,41 @@
 
 from __future__ import annotations
 
+_ROUNDS = 5
+
+
+def _clustering() -> str:
+    """Rounds of clustering one after another, all distances computed anew in each."""
+    parts = ["""
+        kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+            FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = 64
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS k, x AS c FROM kept ORDER BY sha256('2:' || vec_id) LIMIT 40)"""]
+    for i in range(_ROUNDS + 1):
+        parts.append(f"""
+        a{i} AS MATERIALIZED (
+            SELECT r, any_value(vec_id) AS vec_id, any_value(x) AS x, min(struct_pack(
+                       d := CAST(list_sum(list_transform(list_zip(x, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), k := k)) AS best
+            FROM kept, c{i} GROUP BY r)""")
+        if i < _ROUNDS:
+            parts.append(f"""
+        s{i} AS MATERIALIZED (
+            SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY j) AS c
+            FROM (SELECT k, j, sum(v) AS s, count(*) AS n
+                  FROM (SELECT best.k AS k, unnest(x) AS v, unnest(range(64)) AS j FROM a{i}) GROUP BY k, j) GROUP BY k),
+        c{i + 1} AS MATERIALIZED (
+            SELECT c{i}.k AS k, list_transform(coalesce(s{i}.c, c{i}.c), lambda v: CAST(v AS BIGINT)) AS c FROM c{i} LEFT JOIN s{i} ON c{i}.k = s{i}.k)""")
+    return "WITH" + ",".join(parts) + f"""
+        SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, best.d AS distance,
+               CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM a{_ROUNDS} JOIN c{_ROUNDS} ON best.k = c{_ROUNDS}.k"""
+
+
 LLM_ORACLE_SQL: dict[str, str] = {
+    "op13_incremental_distances": _clustering(),
     "op3_digest_index": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
              k AS (SELECT *, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from panes.session import scratch_path
 from panes.sources.tables import table
 
-from . import chat, embed, exact, lines, minhash, packing, quality, sharding, spm, structure, warc
+from . import chat, embed, exact, kmeans, langid, lines, minhash, packing, quality, sharding, spm, structure, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +92,18 @@ def op11_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op12_hyperdimensional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op13_incremental_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector of ``embeddings`` with its cluster after five rounds and a last assignment."""
+    found = kmeans.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed="2", dimensions=64)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_kd_shards": op1_kd_shards,
     "op2_hyperminhash": op2_hyperminhash,
@@ -104,4 +116,6 @@ LLM_QUERIES: dict[str, Query] = {
     "op9_role_repair": op9_role_repair,
     "op10_streaming_viterbi": op10_streaming_viterbi,
     "op11_hirschberg_repair": op11_hirschberg_repair,
+    "op12_hyperdimensional": op12_hyperdimensional,
+    "op13_incremental_distances": op13_incremental_distances,
 }
