@@ -2,6 +2,69 @@
 
 from __future__ import annotations
 
+#: Every row of a damaged conversation gets one edit: an insertion is in no cheapest repair, as leaving out its
+#: neighbour instead costs less.  So the least (cost, audit) of each state follows row by row.
+_REPAIR = r"""
+    WITH RECURSIVE keyed AS (
+             SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                    xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(
+                            coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                        lambda crc, b: list_reduce([xor(crc, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))),
+                        4294967295) % 20 AS kind
+             FROM conversations),
+         damaged AS (
+             SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+             FROM keyed, range(2) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+         ordered AS (
+             SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                    trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, left(role, 1) AS initial FROM damaged),
+         audited AS MATERIALIZED (
+             SELECT conv_id, turn, role, text, i, initial, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+                    CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                         WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM ordered),
+         facts AS (
+             SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+             FROM audited GROUP BY conv_id),
+         steps AS (
+             SELECT conv_id, CAST(0 AS BIGINT) AS i, struct_pack(c := CAST(0 AS BIGINT), a := '') AS none,
+                    struct_pack(c := CAST(1000000000 AS BIGINT), a := '') AS s, struct_pack(c := CAST(1000000000 AS BIGINT), a := '') AS u,
+                    struct_pack(c := CAST(1000000000 AS BIGINT), a := '') AS a FROM facts
+             UNION ALL
+             SELECT p.conv_id, r.i, DELETE(none),
+                    CASE WHEN KEPT AND initial = 's' THEN least(DELETE(s), KEEP(none)) ELSE DELETE(s) END,
+                    CASE WHEN KEPT AND initial = 'u' THEN least(DELETE(u), KEEP(none), KEEP(s), KEEP(a), GIVE(none), GIVE(s), GIVE(a))
+                         WHEN KEPT THEN least(DELETE(u), GIVE(none), GIVE(s), GIVE(a)) ELSE DELETE(u) END,
+                    CASE WHEN KEPT AND initial = 'a' THEN least(DELETE(a), KEEP(u), GIVE(u)) WHEN KEPT THEN least(DELETE(a), GIVE(u)) ELSE DELETE(a) END
+             FROM steps p JOIN audited r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i + 1),
+         best AS (
+             SELECT f.*, least(p.none, p.a).c AS cost, least(p.none, p.a).a AS audit
+             FROM facts f JOIN steps p ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.n = p.i),
+         left_rows AS (
+             SELECT r.conv_id, r.i, r.role, r.text, r.initial, substr(b.audit, CAST(r.i AS INTEGER), 1) AS edit,
+                    row_number() OVER (PARTITION BY r.conv_id ORDER BY r.i) AS place,
+                    first_value(initial = 's' AND substr(b.audit, CAST(r.i AS INTEGER), 1) = 'K') OVER (PARTITION BY r.conv_id ORDER BY r.i) AS headed
+             FROM audited r JOIN best b ON r.conv_id IS NOT DISTINCT FROM b.conv_id WHERE substr(b.audit, CAST(r.i AS INTEGER), 1) <> 'D'),
+         repaired AS (
+             SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place + CAST(headed AS INTEGER)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                        || ':' || text, chr(10) ORDER BY i) AS lines FROM left_rows GROUP BY conv_id)
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN best b ON c.conv_id IS NOT DISTINCT FROM b.conv_id
+         LEFT JOIN repaired r ON c.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
+
+def _repair() -> str:
+    sql = _REPAIR.replace("KEPT", "fault NOT IN ('blank', 'duplicate')")
+    for name, cost, letter in (("DELETE", "2", "D"), ("KEEP", "if(fault = 'truncated', 5, 0)", "K"), ("GIVE", "if(fault = 'truncated', 6, 1)", "R")):
+        for state in ("none", "s", "u", "a"):
+            sql = sql.replace(f"{name}({state})", f"struct_pack(c := p.{state}.c + {cost}, a := p.{state}.a || '{letter}')")
+    return sql
+
+
 _ROUNDS = 5
 
 
@@ -36,6 +99,7 @@ def _clustering() -> str:
 
 
 LLM_ORACLE_SQL: dict[str, str] = {
+    "op11_hirschberg_repair": _repair(),
     "op13_incremental_distances": _clustering(),
     "op3_digest_index": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),

@@ -9,11 +9,12 @@ from panes.llm.oracles import LLM_ORACLE_SQL
 from panes.llm.queries import LLM_QUERIES
 
 #: Queries that SQL cannot express, and the tests that hold them to brute force.
-BY_TEST = {"op1_kd_shards", "op2_hyperminhash", "op4_weak_labels", "op5_min_bin_slack", "op9_role_repair", "op10_streaming_viterbi"}
+BY_TEST = {"op1_kd_shards", "op2_hyperminhash", "op4_weak_labels", "op5_min_bin_slack", "op9_role_repair", "op10_streaming_viterbi",
+           "op12_hyperdimensional"}
 
 
 def test_every_operator_is_registered_and_checked():
-    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in LLM_QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(LLM_ORACLE_SQL) | BY_TEST == set(LLM_QUERIES)
 
 
