@@ -23,6 +23,10 @@ running).  A stream job needs ``--checkpoint``: each branch keeps its place in
 ``<checkpoint>/<job>/<branch>``, and the job started again goes on from there.
 ``--delay`` is the allowed lateness of the event-time jobs.  ``--mode
 permissive`` leaves bad messages out; ``--rejects`` keeps them in a folder.
+The publishing jobs print each count before they send it, and ``publish-stamped``
+each item, unless ``--quiet``.  ``fixed-window --one-read`` reads and parses the
+topic once for counts, records, ``--rejects`` and ``--late`` (a folder for late
+rows); its watermark follows ``--watermark`` (``event`` or ``publish`` time).
 ``--network`` and unknown options are accepted and ignored, as the
 reference's runner options are.
 """
@@ -42,6 +46,7 @@ from .plans import pipelines, streams
 from .session import build_session
 from .sources.lines import constant_messages, read_documents
 from .sources.messages import normalize_messages, read_messages, tap_messages
+from .streaming.branches import fan_out_once, folder, printed, sent_to
 from .streaming.sinks import Sink, fan_out, publish, run_available
 
 # Subcommands and the reference job each one replaces (fixed values).
@@ -81,6 +86,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoint", help="shared folder in which a stream job keeps its place (required for them)")
     p.add_argument("--delay", default="0 seconds", help="event-time jobs: allowed lateness")
     p.add_argument("--rejects", help="folder for messages that permissive mode leaves out")
+    p.add_argument("--quiet", action="store_true", help="publishing jobs: do not print what is published")
+    p.add_argument("--one-read", action="store_true", help="fixed-window: all branches from one read of the topic")
+    p.add_argument("--late", help="fixed-window --one-read: folder for late rows")
+    p.add_argument("--watermark", default="event", choices=("event", "publish"), help="fixed-window --one-read: what the watermark follows")
     p.add_argument("--network", help="accepted and ignored (a runner option)")
     return p
 
@@ -135,7 +144,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
         docs = read_documents(spark, args.input, mode=args.mode)
         # The reference draws the jitter at random; a key makes it repeatable.
         start = args.start or str(dt.datetime.now())
-        publish(pipelines.stamped_elements(docs, start, args.key), **_publish_to(args, opts))
+        publish(pipelines.stamped_elements(docs, start, args.key, tap=None if args.quiet else "item: "), **_publish_to(args, opts))
         return None
 
     if not args.checkpoint:
@@ -150,6 +159,13 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
             tapped = tapped.withColumn("data", decode_utf8("data", "permissive"))
         run_available(fan_out({"tap": (tapped, Sink("noop", trigger=trigger, tap="received: "))}, chk), None)
         return None
+    tap = None if args.quiet else "count: "
+    if args.job == "fixed-window" and args.one_read:
+        out = sent_to("kafka", {"topic": args.out_topic, **opts}) if args.format == "kafka" else folder(args.out_topic, args.format)
+        writers = {"counts": folder(args.counts) if args.counts else printed("count: "), "records": out,
+                   **({"rejects": folder(args.rejects)} if args.rejects else {}), **({"late": folder(args.late)} if args.late else {})}
+        run_available(fan_out_once(msgs, writers, chk, delay=args.delay, basis=args.watermark, mode=args.mode, trigger=trigger))
+        return None
     how = {"mode": args.mode, "checkpoint": chk, "rejects": Sink("parquet", {"path": args.rejects}, trigger=trigger) if args.rejects else None}
     out = bus_sink(args.format, args.out_topic, opts, trigger)
     if args.job == "fixed-window":
@@ -159,11 +175,11 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
     elif args.job == "global-delay":
         qs = streams.global_delay_job(msgs, count_sink(args.counts, timer), out, **how)
     elif args.job == "after-watermark":
-        qs = streams.watermark_count_job(msgs, out, "after_watermark", delay=args.delay, **how)
+        qs = streams.watermark_count_job(msgs, out, "after_watermark", delay=args.delay, tap=tap, **how)
     elif args.job == "default-trigger":
-        qs = streams.watermark_count_job(msgs, out, "default", delay=args.delay, **how)
+        qs = streams.watermark_count_job(msgs, out, "default", delay=args.delay, tap=tap, **how)
     else:  # processing-time
-        qs = streams.processing_time_count_job(msgs, bus_sink(args.format, args.out_topic, opts, timer), **how)
+        qs = streams.processing_time_count_job(msgs, bus_sink(args.format, args.out_topic, opts, timer), tap=tap, **how)
     run_available(qs, None)
     return None
 

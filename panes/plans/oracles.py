@@ -148,3 +148,38 @@ SELECT k.window_start, k.window_start + INTERVAL 10 SECOND AS window_end, count(
 FROM k JOIN f ON k.window_start = f.window_start AND k.half = f.first_half GROUP BY 1, 2""",
     "stream_global_pane_closed": "SELECT count(*) AS n FROM events WHERE event_id % 2 = 0 HAVING count(*) > 0",
 })
+
+# Publish time is ``ts``, a fifth of its range a micro-batch; the payload's time lies 0 to 19 hundredths of the range
+# before it.  A row is late if its window ends by the last publish time of the fifths before.
+_DELAYED = f"""
+WITH span AS (SELECT max(epoch_us(ts)) - min(epoch_us(ts)) AS us FROM events),
+     sent AS (SELECT *, make_timestamp(epoch_us(ts) - (event_id * 7919) % 20 * ((SELECT us FROM span) // 100)) AS named FROM {_FIFTH}),
+     marks AS (SELECT a.fifth, max(b.ts) AS mark FROM (SELECT DISTINCT fifth FROM sent) a JOIN sent b ON b.fifth < a.fifth GROUP BY 1),
+     held AS (SELECT sent.*, time_bucket(INTERVAL 10 SECOND, named) AS window_start,
+                     coalesce(time_bucket(INTERVAL 10 SECOND, named) + INTERVAL 10 SECOND <= mark, false) AS late
+              FROM sent LEFT JOIN marks ON sent.fifth = marks.fifth)"""
+_NAMED_TEXT = _PY_TS.replace("(ts)", "(named)").replace("(ts,", "(named,")
+
+ORACLE_SQL["stream_publish_watermark"] = f"""
+{_DELAYED}
+SELECT 'count' AS kind, window_start, count(*) AS n, NULL::VARCHAR AS payload, NULL::TIMESTAMP AS publish_time
+FROM held WHERE NOT late GROUP BY window_start
+UNION ALL
+SELECT 'late', window_start, 1, to_json({{'event_id': event_id, 'timestamp': {_NAMED_TEXT}}})::VARCHAR, ts FROM held WHERE late
+"""
+
+ORACLE_SQL["stream_one_read"] = f"""
+WITH sent AS (SELECT ts, fifth, event_id % 10 = 3 AS broken, {_RECORD_TEXT} AS payload FROM {_FIFTH})
+SELECT 'counts' AS branch, {_BUCKET} AS window_start, count(*) AS n, NULL::VARCHAR AS payload
+FROM sent WHERE NOT broken AND fifth >= 2 GROUP BY 2
+UNION ALL
+SELECT 'records', NULL, NULL, payload FROM sent WHERE NOT broken
+UNION ALL
+SELECT 'rejects', NULL, NULL, left(payload, length(payload) - 1) FROM sent WHERE broken
+UNION ALL
+SELECT 'late', {_BUCKET}, NULL, payload FROM sent WHERE NOT broken AND fifth < 2
+"""
+
+ORACLE_SQL["document_elements_ranges"] = r"""
+SELECT conv_id, turn, role, '[{"' || text || '\\"}],\' AS text FROM conversations
+"""

@@ -74,14 +74,17 @@ def stamped_messages(records: DataFrame, base: str, key, spread: int = 20,
 
 
 def stamped_elements(elements: DataFrame, base: str, key=None, spread: int = 20,
-                     field: str = "timestamp") -> DataFrame:
+                     field: str = "timestamp", tap: str | None = None) -> DataFrame:
     """The same for objects of a JSON document (column ``element``, VARIANT): each
     keeps its own fields, and gets or overwrites ``timestamp``.
 
     ``key`` names the field the jitter is drawn from; without it, it is random.
+    ``tap``: each stamped item is printed, after this label, before it is encoded (K3).
     """
     drawn = F.try_variant_get("element", f"$.{key}", "long") if key else F.floor(F.rand() * spread)
     t = format_iso(stamp(base, drawn, spread))
     own = F.from_json(F.to_json("element"), "map<string,variant>")
     rec = F.map_concat(F.map_filter(own, lambda k, v: k != field), F.create_map(F.lit(field), t.cast("variant")))
-    return elements.select(encode_utf8(F.to_json(rec)).alias("value"))
+    items = elements.select(F.to_json(rec).alias("item"))
+    items = items if tap is None else print_tap(items, tap)
+    return items.select(encode_utf8("item").alias("value"))

@@ -187,6 +187,17 @@ def document_elements_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, schema=conv.schema, layout="lines")
 
 
+def document_elements_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3, any layout: pretty-printed documents, whose strings hold brackets, commas,
+    quotes and backslashes, each cut into at least eight ranges."""
+    conv = table(spark, sf_dir, "conversations").withColumn("text", F.concat(F.lit('[{"'), "text", F.lit('\\\\"}],\\')))
+    path = scratch_path(spark, "pretty-documents")
+    write_documents(conv, path, pretty=True)
+    # Ranges of an eighth of the shortest document.
+    shortest = spark.read.format("binaryFile").load(path).select("length").agg(F.min("length")).first()[0] or 8
+    return read_documents(spark, path, schema=conv.schema, layout="ranges", range_bytes=max(1, shortest // 8))
+
+
 def quote_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quote normaliser over whole conversation texts."""
     return table(spark, sf_dir, "conversations").select(
@@ -236,6 +247,7 @@ QUERIES: dict[str, Query] = {
     "text_file_count": text_file_count,
     "document_elements": document_elements,
     "document_elements_lines": document_elements_lines,
+    "document_elements_ranges": document_elements_ranges,
     "global_pane_once": global_pane_once,
     "window_pane_once": window_pane_once,
     "window_pane_part": window_pane_part,

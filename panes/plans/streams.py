@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import decode_utf8, encode_utf8, json_valid
-from ..functions.timestamps import to_instant
+from ..functions.timestamps import format_iso, micros_to_ntz, to_instant
 from ..operators.windows import fixed_window
 from ..session import scratch_path
 from ..sources.messages import messages_from_records, table_stream, tap_messages
 from ..sources.tables import table
+from ..streaming.branches import BRANCHES, drain, fan_out_once, folder, read_folder
 from ..streaming.event_time import rejected, with_arrival_time, with_event_time
-from ..streaming.sinks import Sink, fan_out, materialize, materialize_firings, materialize_to_end, run_available, with_end
+from ..streaming.late import COUNTED, LATE, count_with_late_rows, late_rows, pane_counts
+from ..streaming.sinks import (Sink, fan_out, materialize, materialize_firings, materialize_to_end, print_tap,
+                               run_available, with_end)
 from ..streaming.triggers import ROCKSDB, STATE_PROVIDER, count_after_processing_time
 from ..streaming.windows import count_on_watermark, counts_as_messages
 from .queries import (FIXED_SIZE, GLOBAL_PANE_DELAY, SLIDING_PERIOD, SLIDING_SIZE,
@@ -79,9 +82,11 @@ def sliding_window_job(messages: DataFrame, count_sink: Sink, out_sink: Sink,
 
 def watermark_count_job(messages: DataFrame, out_sink: Sink, trigger: str = "after_watermark",
                         size: str = FIXED_SIZE, delay: str = "0 seconds", mode: str = "strict",
-                        checkpoint: str | None = None, rejects: Sink | None = None):
-    """Fixed-window counts published as messages (D2 with T2 / T3)."""
+                        checkpoint: str | None = None, rejects: Sink | None = None, tap: str | None = None):
+    """Fixed-window counts published as messages (D2 with T2 / T3).  ``tap``: each
+    count is printed, after this label, before it is published (K3)."""
     counts = event_time_counts(messages, size, None, delay, trigger, mode)
+    counts = counts if tap is None else print_tap(counts, tap)
     return fan_out(_with_rejects({"published-counts": (counts_as_messages(counts).select("value"), out_sink)},
                                  messages, rejects, "timestamp"), checkpoint)
 
@@ -99,10 +104,11 @@ def global_delay_job(messages: DataFrame, count_sink: Sink, out_sink: Sink,
 
 def processing_time_count_job(messages: DataFrame, out_sink: Sink, size: str = FIXED_SIZE,
                               delay: str = "30 seconds", repeat: bool = False, mode: str = "strict",
-                              checkpoint: str | None = None, rejects: Sink | None = None):
+                              checkpoint: str | None = None, rejects: Sink | None = None, tap: str | None = None):
     """Fixed windows of arrival time, each fired once ``delay`` after its first
-    arrival (T5), counts published as messages (D2)."""
+    arrival (T5), counts published as messages (D2), and printed if ``tap`` (K3)."""
     counts = count_after_processing_time(messages, delay, size, repeat, mode=mode)
+    counts = counts if tap is None else print_tap(counts, tap)
     return fan_out(_with_rejects({"published-counts": (counts_as_messages(counts).select("value"), out_sink)},
                                  messages, rejects, None), checkpoint)
 
@@ -184,18 +190,83 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     and fifth 1, sent last, behind fifth 3: neither is counted.
     """
     ev = table(spark, sf_dir, "events")
+    replay = _in_fifths(spark, ev, LATE_ORDER, "stream_late_rows")
+    return materialize_to_end(messages_from_records(replay, event_record(replay), "ts"),
+                              lambda m: event_time_counts(m, FIXED_SIZE), "stream_late_rows")
+
+
+def _time_range(ev: DataFrame) -> tuple[int, int]:
+    """The first and the last time of ``events`` in microseconds."""
     at = F.unix_micros(to_instant("ts", ev.schema["ts"].dataType))
-    low, high = ev.select(F.min(at), F.max(at)).first()
+    return tuple(ev.select(F.coalesce(F.min(at), F.lit(0)), F.coalesce(F.max(at), F.lit(0))).first())
+
+
+def _in_fifths(spark: SparkSession, ev: DataFrame, order: tuple[int, ...], name: str) -> DataFrame:
+    """``ev`` replayed a fifth of its time range a micro-batch, the fifths in ``order``."""
+    at = F.unix_micros(to_instant("ts", ev.schema["ts"].dataType))
+    low, high = _time_range(ev)
     part = F.floor((at - F.lit(low)) * 5 / F.lit(high - low + 1))
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bus = scratch_path(spark, "stream_late_rows-bus")
-    for fifth in LATE_ORDER:
+    bus = scratch_path(spark, f"{name}-bus")
+    for fifth in order:
         # Numbered by row, so that each of the files gets rows: a batch is so many files.
         ev.where(part == fifth).repartition(files).write.option("maxRecordsPerFile", 0).mode("append").parquet(bus)
     written = len([n for n in _names(spark, bus) if n.endswith(".parquet")])
-    replay = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", written // len(LATE_ORDER)).parquet(bus)
-    return materialize_to_end(messages_from_records(replay, event_record(replay), "ts"),
-                              lambda m: event_time_counts(m, FIXED_SIZE), "stream_late_rows")
+    return spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", written // len(order)).parquet(bus)
+
+
+def delayed_messages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``events`` sent in the order of ``ts``, their publish time, a fifth of the time
+    range a micro-batch; each payload names a time before that, by 0 to 19 hundredths
+    of the range."""
+    ev = table(spark, sf_dir, "events")
+    low, high = _time_range(ev)
+    replay = _in_fifths(spark, ev, (0, 1, 2, 3, 4), name)
+    at = F.unix_micros(to_instant("ts", ev.schema["ts"].dataType))
+    back = F.pmod(F.col("event_id") * 7919, F.lit(20)) * F.lit((high - low) // 100)
+    record = F.struct("event_id", format_iso(micros_to_ntz(at - back)).alias("timestamp"))
+    return messages_from_records(replay, record, "ts")
+
+
+def stream_publish_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """10 s windows of the payload's time under a watermark on the
+    publish time.  A row whose window the watermark has passed comes out as a late
+    row; counts and late rows add up to the table."""
+    spark = pane_session(spark)
+    fired = materialize_to_end(delayed_messages(spark, sf_dir, "stream_publish_watermark"),
+                               lambda m: count_with_late_rows(m, FIXED_SIZE, salts=2), "stream_publish_watermark")
+    counts = pane_counts(fired).select(F.lit(COUNTED).alias("kind"), "window_start", "n", F.lit(None).cast("string").alias("payload"),
+                                       F.lit(None).cast("timestamp_ntz").alias("publish_time"))
+    late = late_rows(fired).select(F.lit(LATE).alias("kind"), "window_start", F.lit(1).cast("long").alias("n"),
+                                   decode_utf8("data").alias("payload"), "publish_time")
+    return counts.unionByName(late)
+
+
+def stream_one_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, records, rejects and late rows of one read.  ``events`` sent
+    as for ``stream_late_rows``; every tenth payload is cut short and can't be read."""
+    ev = table(spark, sf_dir, "events")
+    replay = _in_fifths(spark, ev, LATE_ORDER, "stream_one_read")
+    sent = messages_from_records(replay, event_record(replay), "ts")
+    text = decode_utf8("data")
+    cut = F.expr("substring(data, 1, length(data) - 1)")
+    broken = text.rlike(r'"event_id":\d*3,')
+    messages = sent.select(F.when(broken, cut).otherwise(F.col("data")).alias("data"), "publish_time")
+    paths = {b: scratch_path(spark, f"stream_one_read-{b}") for b in BRANCHES}
+    writers = {b: folder(path) for b, path in paths.items()}
+    checkpoint = scratch_path(spark, "stream_one_read-checkpoint")
+    run_available(fan_out_once(messages, writers, checkpoint, FIXED_SIZE, name="stream_one_read"))
+    drain(spark, checkpoint, writers["counts"], FIXED_SIZE)
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    counts = read_folder(spark, paths["counts"], "window_start timestamp_ntz, window_end timestamp_ntz, n long").select(
+        F.lit("counts").alias("branch"), "window_start", "n", none("string", "payload"))
+    records = read_folder(spark, paths["records"], "value binary").select(
+        F.lit("records").alias("branch"), none("timestamp_ntz", "window_start"), none("long", "n"), decode_utf8("value").alias("payload"))
+    rejects = read_folder(spark, paths["rejects"], "data binary, publish_time timestamp").select(
+        F.lit("rejects").alias("branch"), none("timestamp_ntz", "window_start"), none("long", "n"), decode_utf8("data").alias("payload"))
+    late = read_folder(spark, paths["late"], "window_start timestamp_ntz, data binary, publish_time timestamp").select(
+        F.lit("late").alias("branch"), "window_start", none("long", "n"), decode_utf8("data").alias("payload"))
+    return counts.unionByName(records).unionByName(rejects).unionByName(late)
 
 
 def _names(spark: SparkSession, path: str) -> list[str]:
@@ -313,6 +384,8 @@ STREAM_QUERIES = {
     "stream_window_panes": stream_window_panes,
     "stream_fan_out": stream_fan_out,
     "stream_late_rows": stream_late_rows,
+    "stream_publish_watermark": stream_publish_watermark,
+    "stream_one_read": stream_one_read,
     "stream_window_panes_closed": stream_window_panes_closed,
     "stream_global_pane_closed": stream_global_pane_closed,
 }

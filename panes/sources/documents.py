@@ -41,8 +41,9 @@ def array_lines(batches):
         yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
 
 
-def write_documents(df: DataFrame, path: str) -> None:
+def write_documents(df: DataFrame, path: str, pretty: bool = False) -> None:
     """Write ``df`` as JSON-array documents under ``path``: one file per task,
-    each a JSON array of that task's rows as objects (NULL fields omitted)."""
-    recs = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    each a JSON array of that task's rows as objects (NULL fields omitted), each on
+    a line of its own or, if ``pretty``, over several."""
+    recs = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"pretty": str(pretty).lower()}).alias("value"))
     recs.mapInArrow(array_lines, "value string").write.text(path)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codec import json_array_text
+from .ranges import array_elements
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False,
@@ -29,7 +30,7 @@ _ELEMENT_TRAIL = r"[\s\],]+$"
 
 
 def read_documents(spark: SparkSession, path: str, schema=None, stream: bool = False,
-                   layout: str = "whole", mode: str = "strict", **options) -> DataFrame:
+                   layout: str = "whole", mode: str = "strict", range_bytes: int | None = None, **options) -> DataFrame:
     """JSON documents holding one array of objects (S3): one row per element.
 
     With ``schema`` the rows have its columns; without, one column ``element``
@@ -41,6 +42,9 @@ def read_documents(spark: SparkSession, path: str, schema=None, stream: bool = F
     (``[{...}`` / ``,{...}`` / ``]``, as ``sources.documents.write_documents``
     writes them): the text reader splits even one huge file into
     ``maxPartitionBytes`` tasks, and each line is parsed on its own.
+    ``layout="ranges"`` reads any formatting and still cuts one huge file into
+    ranges of ``range_bytes`` (default: the split size), at the price of reading
+    it twice (``sources.ranges``); batch only.
     Strict mode fails on a malformed document or element.
     """
     opts = {"mode": "FAILFAST" if mode == "strict" else "PERMISSIVE"}
@@ -51,11 +55,19 @@ def read_documents(spark: SparkSession, path: str, schema=None, stream: bool = F
             return reader.schema(schema).json(path)
         whole = reader.option("singleVariantColumn", "document").json(path)
         return whole.lateralJoin(spark.tvf.variant_explode(F.col("document").outer())).select(F.col("value").alias("element"))
+    if layout == "ranges":
+        if stream:
+            raise ValueError("layout 'ranges' reads its input twice: not for a stream")
+        return _parsed(array_elements(spark, path, range_bytes, mode, **options), schema, mode, opts)
     if layout != "lines":
-        raise ValueError("layout must be 'whole' or 'lines'")
+        raise ValueError("layout must be 'whole', 'lines' or 'ranges'")
     element = F.regexp_replace(F.regexp_replace("value", _ELEMENT_LEAD, ""), _ELEMENT_TRAIL, "")
     elements = read_lines(spark, path, stream, **options).select(element.alias("element")) \
         .where(F.length("element") > 0)
+    return _parsed(elements, schema, mode, opts)
+
+
+def _parsed(elements: DataFrame, schema, mode: str, opts: dict) -> DataFrame:
     if schema is None:
         parsed = F.parse_json("element") if mode == "strict" else F.try_parse_json("element")
         return elements.select(parsed.alias("element"))

@@ -20,13 +20,14 @@ def test_cli_batch_count_and_output(spark, scratch):
     assert spark.read.json(f"{scratch}/out").first().n == 3
 
 
-def test_cli_publish_then_fixed_window_and_receive(spark, scratch):
+def test_cli_publish_then_fixed_window_and_receive(spark, scratch, capfd):
     docs = [{"id": i, "name": f"item{i}"} for i in range(12)]
     with open(f"{scratch}/market.json", "w") as f:
         json.dump(docs, f)
     bus = ["--format", "parquet"]
     cli.run(["publish-stamped", "--input", f"{scratch}/market.json", "--output_topic",
              f"{scratch}/topic1", "--start", "2024-01-01 00:00:00", "--key", "id", *bus], spark)
+    assert sum(x.startswith("item: ") for x in capfd.readouterr().out.splitlines()) == len(docs)
     cli.run(["publish-constant", "--output_topic", f"{scratch}/topic1", *bus], spark)
     sent = [bytes(r.value).decode() for r in spark.read.parquet(f"{scratch}/topic1").collect()]
     assert sent.count("Hello world") == 3
@@ -51,7 +52,7 @@ def test_cli_publish_then_fixed_window_and_receive(spark, scratch):
              "--available-now", "--checkpoint", f"{scratch}/chk", *bus], spark)
 
 
-def test_cli_published_counts_are_digits(spark, scratch):
+def test_cli_published_counts_are_digits(spark, scratch, capfd):
     rows = [(json.dumps({"timestamp": f"2024-01-01 00:00:{s:02d}", "i": s}).encode(),)
             for s in (1, 2, 5, 11, 13, 25)]
     spark.createDataFrame(rows, "value binary").coalesce(1).write.parquet(f"{scratch}/sub")
@@ -61,6 +62,12 @@ def test_cli_published_counts_are_digits(spark, scratch):
         got = sorted(bytes(r.value).decode() for r in spark.read.parquet(f"{scratch}/{job}").collect())
         # Windows :00 and :10 close by the last event time (:25); :20 does not.
         assert got == ["2", "3"]
+        # Each count is printed once before it is published.
+        printed = [x for x in capfd.readouterr().out.splitlines() if x.startswith("count: ")]
+        assert sorted(x.rstrip(")").split(", ")[-1] for x in printed) == ["2", "3"]
+    cli.run(["after-watermark", "--input_topic", f"{scratch}/sub", "--output_topic", f"{scratch}/quiet", "--quiet",
+             "--format", "parquet", "--available-now", "--checkpoint", f"{scratch}/chk-quiet"], spark)
+    assert "count: " not in capfd.readouterr().out and spark.read.parquet(f"{scratch}/quiet").count() == 2
 
 
 def send(spark, folder, seconds):
@@ -96,3 +103,18 @@ def test_delay_and_rejects_reach_stream_jobs(spark, scratch):
     assert spark.read.parquet(f"{scratch}/later").count() == 1    # only :00 closes by 0:10
     assert [bytes(r.data) for r in spark.read.parquet(f"{scratch}/bad").collect()] == [b"{bad"]
     assert spark.read.parquet(f"{scratch}/now-out").count() == 3
+
+
+def test_one_read_of_the_topic(spark, scratch):
+    send(spark, f"{scratch}/sub", [1, 25, 70])
+    spark.createDataFrame([(bytearray(b"{bad"),)], "value binary").coalesce(1).write.mode("append").parquet(f"{scratch}/sub")
+    args = ["fixed-window", "--one-read", "--input_topic", f"{scratch}/sub", "--format", "parquet", "--available-now", "--mode", "permissive",
+            "--output_topic", f"{scratch}/out", "--counts", f"{scratch}/counts", "--rejects", f"{scratch}/bad", "--late", f"{scratch}/late",
+            "--checkpoint", f"{scratch}/chk"]
+    cli.run(args, spark)
+    send(spark, f"{scratch}/sub", [26, 71, 95])
+    cli.run(args, spark)
+    rows = lambda n: spark.read.parquet(f"{scratch}/{n}").collect()
+    assert sorted((r.window_start.minute * 60 + r.window_start.second, r.n) for r in rows("counts")) == [(0, 1), (20, 1), (70, 2)]
+    assert len(rows("out")) == 6 and [bytes(r.data) for r in rows("bad")] == [b"{bad"]
+    assert [json.loads(bytes(r.data))["timestamp"] for r in rows("late")] == ["2024-01-01 00:00:26"]
