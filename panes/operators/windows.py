@@ -87,11 +87,18 @@ def count_sliding(df: DataFrame, time_col: str = "ts", size: str | int = "20 sec
     right plan when many rows share a slice (dense event time, large data).
     ``method="expand"`` assigns raw rows to windows in one exchange: cheaper
     when slices hold about one row each (sparse event time, small data).
+    ``method="prefix"`` takes two changes a slice instead of ``size / period``
+    copies and sums them up along the windows (``operators.prefix``): the right
+    plan when windows overlap many times (1 day every 10 s).
     """
+    if method == "prefix":
+        from .prefix import count_sliding_prefix
+
+        return count_sliding_prefix(df, time_col, size, period, offset, on_null, count_col)
     if method == "expand":
         return count_sliding_expand(df, time_col, size, period, offset, on_null, count_col)
     if method != "slices":
-        raise ValueError("method must be 'slices' or 'expand'")
+        raise ValueError("method must be 'slices', 'expand' or 'prefix'")
     size_us, period_us = duration_us(size), duration_us(period)
     if size_us <= 0 or period_us <= 0:
         raise ValueError("size and period must be positive")

@@ -183,3 +183,10 @@ SELECT 'late', {_BUCKET}, NULL, payload FROM sent WHERE NOT broken AND fifth < 2
 ORACLE_SQL["document_elements_ranges"] = r"""
 SELECT conv_id, turn, role, '[{"' || text || '\\"}],\' AS text FROM conversations
 """
+
+ORACLE_SQL["sliding_day_count"] = f"""
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, CAST(sum(c) AS BIGINT) AS n
+FROM (SELECT slot - to_seconds(10 * unnest(range(8640))) AS window_start, c
+      FROM (SELECT {_BUCKET} AS slot, count(*) AS c FROM events GROUP BY 1) AS slices(slot, c))
+GROUP BY 1
+"""

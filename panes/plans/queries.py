@@ -46,6 +46,12 @@ def sliding_window_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  SLIDING_SIZE, SLIDING_PERIOD)
 
 
+def sliding_day_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per sliding window of a day, one every 10 s: each event is in
+    8640 windows, and is copied into none (prefix sums)."""
+    return windows.count_sliding(table(spark, sf_dir, "events"), "ts", "1 day", SLIDING_PERIOD, method="prefix")
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines derived from ``documents``: the word array of each whole text."""
     return word_array_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -229,6 +235,7 @@ def window_pane_part(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "fixed_window_count": fixed_window_count,
     "sliding_window_count": sliding_window_count,
+    "sliding_day_count": sliding_day_count,
     "json_array_length": json_array_length,
     "json_object_length": json_object_length,
     "json_object_repeated_keys": json_object_repeated_keys,

@@ -127,7 +127,7 @@ def fan_out_once(messages: DataFrame, writers: dict[str, Writer], checkpoint: st
                 writers["rejects"](held.where(F.col("at_us").isNull()).select("data", "publish_time"), batch_id)
             if "late" in writers:
                 writers["late"](good.where(late).select(micros_to_ntz(pane).alias("window_start"), "data", "publish_time"), batch_id)
-            own = good.where(~late).groupBy(pane.alias("pane_us")).agg(F.count(F.lit(1)).alias("n"))
+            own = good.where(~late).select(pane.alias("pane_us"), F.lit(1).cast("long").alias("n"))
             now = held.where(F.col("at_us").isNotNull()).agg(F.max("mark_us")).first()[0]
             latest = max((x for x in (seen, now) if x is not None), default=None)
             table = before.unionByName(own).groupBy("pane_us").agg(F.sum("n").alias("n"))
