@@ -12,8 +12,10 @@ conversation and turn, so a long conversation spreads over partitions; each
 partition holds a part of it.  A part's effect on the dynamic programme is a
 matrix (least weight from each state to each state).  The driver joins the
 matrices of the parts at partition edges, at most two for each partition, and so
-learns the states in which every part begins and ends; each part is then
-repaired by itself.  The result is the one the whole sequence would have.
+learns the states in which every part begins and ends, and its first turn's number;
+each part is then repaired by itself.  The result is the one the whole sequence would
+have.  A conversation comes out cut at fixed turn numbers (every ``WHOLE_TURNS``),
+wherever partitions cut it.
 
 Defined results.  Turns are ordered by ``turn`` (null first), then role, then
 a hash of the row.  Rows that repeat are turns that repeat (and are merged).  Null text is
@@ -48,7 +50,7 @@ MERGE, RELABEL, UNKNOWN, INSERT = 2, 3, 1, 4
 COST, RANK, TIE_BITS = 1 << 104, 1 << 80, 40
 RANKS = {"keep": 0, "merge": 1, "insert": 2}
 NEVER = 1 << 140
-#: Text bytes of a partition, and turns of a conversation whose parts are put together again.
+#: Text bytes of a partition, and turns of a row of the result.
 PART_BYTES, WHOLE_TURNS = 32 << 20, 10_000
 
 
@@ -213,10 +215,11 @@ def format_chats(turns: DataFrame, part_bytes: int = PART_BYTES, whole_turns: in
     """conv_id, part, n_turns, n_out, cost, edits and text for every conversation.
 
     ``turns``: conv_id, turn, role, text.  A conversation is one row (part 0); one
-    of more than ``whole_turns`` turns may be several, whose texts in order of
-    ``part`` make up the whole.  ``edits`` has a letter for each turn: kept,
-    merged, inserted before; relabelled alike: r, M, I; e for an empty turn at
-    the end.  ``cost`` is the conversation's, at its last part.
+    of more than ``whole_turns`` turns is several, of so many turns each, whose
+    texts in order of ``part`` make up the whole.  ``edits`` has a letter for each
+    turn: kept, merged, inserted before; relabelled alike: r, M, I; e for an empty
+    turn at the end.  ``cost`` is the whole conversation's at its last part, 0 at
+    the others.
     """
     spark = turns.sparkSession
     ship_package(spark)
@@ -229,43 +232,50 @@ def format_chats(turns: DataFrame, part_bytes: int = PART_BYTES, whole_turns: in
     by: dict = {}
     for e in edges:
         by.setdefault(e["conv_id"], []).append(e)
-    bounds, small = {}, []
-    for conv, own in by.items():
+    bounds = {}
+    for own in by.values():
         if len(own) > 1:
-            states = through([[[int(w) for w in e["weights"][4 * s:4 * s + 4]] for s in range(4)] for e in own])
-            whole = sum(e["n"] for e in own) <= whole_turns
+            matrices = [[[int(w) for w in e["weights"][4 * s:4 * s + 4]] for s in range(4)] for e in own]
+            states, first = through(matrices), 0
+            cost = sum(m[s][t] // COST for m, s, t in zip(matrices, states, states[1:], strict=False)) + closing(states[-1]) // COST
             for i, e in enumerate(own):
-                bounds[e["block"], e["no"]] = (i, states[i], states[i + 1], i == len(own) - 1, whole)
-            small.append(conv) if whole else None
+                bounds[e["block"], e["no"]] = (first, states[i], states[i + 1], i == len(own) - 1, cost)
+                first += e["n"]
     shared = spark.sparkContext.broadcast(bounds)
     conv = rows.schema["conv_id"]
     schema = T.StructType([conv, *[T.StructField(n, t) for n, t in (
         ("part", T.IntegerType()), ("n_turns", T.LongType()), ("n_out", T.LongType()), ("cost", T.LongType()), ("edits", T.StringType()),
-        ("text", T.StringType()), ("join", T.BooleanType()))]])
+        ("text", T.StringType()), ("place", T.LongType()))]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
         for batch in batches:
             out = []
-            for block, no, names, texts, ties in zip(*(batch.column(c).to_pylist() for c in ("block", "no", "roles", "texts", "ties")), strict=True):
+            for conv_id, block, no, names, texts, ties in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "block", "no", "roles", "texts", "ties")), strict=True):
                 roles = [role_of(r) for r in names]
-                part, entry, leave, last, join = shared.value.get((block, no), (0, START, None, True, False))
+                first, entry, leave, last, total = shared.value.get((block, no), (0, START, None, True, None))
                 cost, path = repair(roles, ties, entry, leave)
-                if last and leave is not None:
-                    cost += INSERT * len(ending(leave))
-                text, edits, opened = render(roles, texts, path, entry, last)
-                out.append((part, len(roles), opened, cost, edits, text, join))
+                begin = 0
+                while begin < len(roles):  # up to the next fixed turn number
+                    end = min(len(roles), begin + whole_turns - (first + begin) % whole_turns)
+                    done = last and end == len(roles)
+                    text, edits, opened = render(roles[begin:end], texts[begin:end], path[begin:end], path[begin - 1][1] if begin else entry, done)
+                    whole = (first + begin) % whole_turns == 0 and (done or (first + end) % whole_turns == 0)
+                    out.append((conv_id, (first + begin) // whole_turns, end - begin, opened, (cost if total is None else total) if done else 0, edits, text,
+                                None if whole else block))
+                    begin = end
             if out:
-                columns = zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()), strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *[pa.array(c, k) for c, k in columns]], schema.fieldNames())
+                columns = zip(zip(*out, strict=True), (batch.column("conv_id").type, *kinds), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], schema.fieldNames())
 
     done = parts.select("block", "no", "conv_id", "roles", "texts", "ties").mapInArrow(run, schema)
-    if not small:
-        return done.drop("join")
+    if not bounds:
+        return done.drop("place")
     done = write_table(done, "chat-rendered")
-    # Conversations that a partition's edge has cut, at most one for each: together again.
-    joined = done.filter("join").groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("part", "edits", "text"))).alias("p"), F.sum("n_turns").alias("n_turns"),
+    # Rows that a partition's edge has cut, of at most ``whole_turns`` turns: together again.
+    joined = done.filter("place is not null").groupBy("conv_id", "part").agg(
+        F.sort_array(F.collect_list(F.struct("place", "edits", "text"))).alias("p"), F.sum("n_turns").alias("n_turns"),
         F.sum("n_out").alias("n_out"), F.sum("cost").alias("cost")).select(
-        "conv_id", F.lit(0).alias("part"), "n_turns", "n_out", "cost",
+        "conv_id", "part", "n_turns", "n_out", "cost",
         F.concat_ws("", F.col("p.edits")).alias("edits"), F.concat_ws("", F.col("p.text")).alias("text"))
-    return done.filter(~F.col("join")).drop("join").unionByName(joined)
+    return done.filter("place is null").drop("place").unionByName(joined)

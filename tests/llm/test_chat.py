@@ -97,3 +97,23 @@ def test_no_conversations_and_whole_table(spark):
     turns = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
     out = {r["conv_id"]: (r["n_turns"], r["cost"], r["text"], r["n_out"]) for r in chat.format_chats(turns).collect()}
     assert out == whole(turns)
+
+
+def test_rows_do_not_depend_on_partitions(spark):
+    """A conversation of 12,000 turns, and short ones, at 1, 4 and 8 shuffle partitions."""
+    r = random.Random(2)
+    rows = [(1, t, r.choice(["user", "assistant", "system", None]), f"t{t}") for t in range(12_000)] + [(c, t, "user", "x") for c in range(2, 30) for t in range(3)]
+    df = spark.createDataFrame([(*x, "a", "b", "c", "d") for x in rows], SCHEMA)
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in (1, 4, 8):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted((tuple(x) for x in chat.format_chats(df.repartition(n)).collect()), key=repr))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] == found[2]
+    long = sorted(x for x in found[0] if x[0] == 1)
+    assert [x[1:3] for x in long] == [(0, 10_000), (1, 2_000)]
+    # The whole cost at the last part.
+    want = whole(df.filter("conv_id = 1"))[1]
+    assert [x[4] for x in long] == [0, want[1]] and "".join(x[6] for x in long) == want[2]
