@@ -2,8 +2,9 @@
 
 Alternating large-star and small-star steps (Kiveris et al., "Connected
 Components in MapReduce and Beyond", SoCC 2014).  Every step is a minimum per
-node, combined before the shuffle, and a join with it; a hub of any degree is
-one key of a join whose other side has one row for it, which Spark splits.
+node, combined before the shuffle and written, and a join with it: broadcast if it
+is counted to be small, else a join of two plain shuffles, in which Spark splits a
+hub of any degree (it does not where the same stage holds the aggregate).
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, write_table
+from .common import drop_table, small_side, write_table
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -19,8 +20,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
     near = edges.unionByName(back) if larger else edges.select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    joined = near.join(least, "u")
+    least = write_table(near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least-neighbours")
+    joined = near.join(small_side(least), "u")
     if larger:
         return joined.filter("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))

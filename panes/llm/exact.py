@@ -6,6 +6,10 @@ text copied a billion times moves as one row per task), sort-merge anti-joined
 with the index, and what is new is appended.  The index side of the join is
 read in its buckets: it is never shuffled again.
 
+A table is taken in by several batches of ascending ``doc_id`` ranges, so that the
+first batch that has a text also has its smallest id: which row stays is read from
+the index.
+
 Defined results.  Null text counts as empty text, and an empty text is a text
 like any other.  Of equal texts the row with the smallest ``doc_id`` stays; a
 null ``doc_id`` ranks after all others, so a row without id stays only where no
@@ -23,6 +27,7 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panes.session import scratch_path
 
@@ -67,45 +72,75 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
 
 
-def _groups(prints: DataFrame) -> DataFrame:
-    return prints.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+#: Batches a table is taken in by.
+BATCHES = 4
+
+
+def _batch_column(rows: DataFrame, batches: int) -> Column:
+    """The batch of a row by ranges of ``doc_id`` that hold about as many rows each; rows without id come last."""
+    kind = rows.schema["doc_id"].dataType
+    if batches < 2 or not isinstance(kind, T.NumericType):
+        return F.lit(0)
+    bounds = rows.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
+    batch = F.lit(0)
+    for bound in sorted(set(bounds)):
+        batch = batch + F.when(F.col("doc_id") <= F.lit(bound).cast(kind), 0).otherwise(1)
+    return batch
+
+
+def _grouped(prints: DataFrame, batches: int) -> DataFrame:
+    """batch, digest, keep_id (the smallest id, null last), same (rows with that id) and n (rows) of each batch's texts, written."""
+    by_id = prints.withColumn("batch", _batch_column(prints, batches)).groupBy("batch", "digest", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "n"))
+    groups = by_id.groupBy("batch", "digest").agg(first.alias("f"), F.sum("n").alias("n"))
+    return write_table(groups.select("batch", "digest", F.col("f.doc_id").alias("keep_id"), F.col("f.n").alias("same"), "n"),
+                       "digest-groups", partition_by=["batch"])
+
+
+def _take_in(groups: DataFrame, index: DigestIndex) -> None:
+    for (batch,) in sorted(groups.select("batch").distinct().collect()):
+        index.add(groups.filter(F.col("batch") == batch))
 
 
-def duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def _new_index(docs: DataFrame) -> DigestIndex:
+    spark = docs.sparkSession
+    return DigestIndex(spark, scratch_path(spark, "digest-index"), id_type=dict(docs.dtypes)["doc_id"])
+
+
+def duplicates(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
     """Every row of ``docs`` with the row that stays for its text.
 
-    Returns doc_id, digest (binary), keep_id, group_size (rows of this batch with
-    the text) and kept.  With ``index``, digests of earlier batches count, and
-    the batch is added to it; without, a new index serves this batch.
+    Returns doc_id, digest (binary), keep_id, group_size (rows of this table with
+    the text) and kept.  With ``index``, digests of earlier tables count, and this
+    one is added to it; without, a new index serves this table.
     """
-    spark = docs.sparkSession
-    if index is None:
-        index = DigestIndex(spark, scratch_path(spark, "digest-index"), id_type=dict(docs.dtypes)["doc_id"])
+    index = index or _new_index(docs)
     prints = write_table(docs.select("doc_id", text_digest(F.col("text")).alias("digest")), "fingerprints")
-    groups = write_table(_groups(prints), "digest-groups")
-    index.add(groups)
-    stays = groups.select("digest", "group_size").join(index.table(), "digest")
-    # The rows of one text may be a third of all: a join that Spark can split.
+    groups = _grouped(prints, batches)
+    _take_in(groups, index)
+    sizes = groups.groupBy("digest").agg(F.sum("n").alias("group_size"))
+    # Written first: then both sides of the next join are plain shuffles, and Spark
+    # splits a text that a third of all rows may have.
+    stays = write_table(sizes.join(index.table().hint("merge"), "digest"), "digest-keepers")
     rows = prints.join(stays, "digest")
     kept = F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull())
     return rows.select("doc_id", "digest", "keep_id", "group_size", kept.alias("kept"))
 
 
-def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; all columns as they were."""
-    spark = docs.sparkSession
-    if index is None:
-        index = DigestIndex(spark, scratch_path(spark, "digest-index"), id_type=dict(docs.dtypes)["doc_id"])
-    by_id = docs.select("doc_id", text_digest(F.col("text")).alias("digest")).groupBy("digest", "doc_id").agg(
-        F.count(F.lit(1)).alias("n"))
-    # The row of the smallest id (null last) and how many rows repeat it.
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "n"))
-    groups = write_table(by_id.groupBy("digest").agg(first.alias("f"), F.sum("n").alias("group_size")).select(
-        "digest", F.col("f.doc_id").alias("keep_id"), F.col("f.n").alias("same"), "group_size"), "digest-groups")
-    old = write_table(groups.join(index.table().hint("merge"), "digest", "left_semi").select("digest"), "digests-known")
-    index.add(groups)
-    known = groups.join(old.withColumn("known", F.lit(True)), "digest", "left").filter(
-        "group_size > 1 or known").select("digest", "keep_id", "same", F.coalesce("known", F.lit(False)).alias("known"))
+    index = index or _new_index(docs)
+    prints = write_table(docs.select("doc_id", text_digest(F.col("text")).alias("digest")), "fingerprints")
+    groups = _grouped(prints, batches)
+    old = write_table(groups.join(index.table().hint("merge"), "digest", "left_semi").select("digest").distinct(), "digests-known")
+    _take_in(groups, index)
+    sizes = groups.groupBy("digest").agg(F.sum("n").alias("group_size"))
+    every = sizes.join(old.withColumn("known", F.lit(True)), "digest", "left").filter("group_size > 1 or known")
+    # The row that stays is the one that the index has taken; its batch tells how many rows repeat it.
+    taken = every.join(index.table().hint("merge"), "digest").select("digest", "keep_id", F.coalesce("known", F.lit(False)).alias("known"))
+    own = groups.select(F.col("digest").alias("d"), F.col("keep_id").alias("k"), "same")
+    known = taken.join(own, (F.col("digest") == F.col("d")) & F.col("keep_id").eqNullSafe(F.col("k")), "left").select(
+        "digest", "keep_id", F.coalesce("same", F.lit(0)).alias("same"), "known")
     d, k, s, w = (fresh_name(docs, x) for x in ("digest", "keep_id", "same", "known"))
     marks = write_table(known.toDF(d, k, s, w), "digest-marks")
     rows = docs.withColumn(d, text_digest(F.col("text"))).join(small_side(marks), d, "left")

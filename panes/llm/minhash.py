@@ -355,7 +355,10 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     keys = [F.xxhash64(F.lit(b), F.substring("registers", 1 + b * width_bytes, width_bytes)) for b in range(BANDS)]
     banded = classes.select("node", F.explode(F.array(*keys)).alias("key"))
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("hub")).filter("size > 1")
-    members = write_table(banded.join(sizes, "key").filter("node != hub"), "band-members")
+    # Written first, here and below: a bucket that many classes are in is one key of a
+    # join that Spark can only split if no aggregate or other join is in its stage.
+    sizes = write_table(sizes, "band-sizes")
+    members = write_table(banded.join(small_side(sizes), "key").filter("node != hub"), "band-members")
     pairs = members.select(F.col("hub").alias("u"), F.col("node").alias("v")).repartition("v").distinct()
     likely = write_table(_likely(pairs, classes, percent), "likely-pairs")
     sides = [likely.select(F.col(c).alias("node"), F.col(f"digest_{c}").alias("digest"), F.col(f"first_{c}").alias("first_id")) for c in "uv"]
@@ -367,10 +370,12 @@ def _linked(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataF
     # Classes linked with the same hub are in one component: the least such hub is
     # their label.  Buckets whose members have several labels need comparing.
     labels = links.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("label"))
-    labelled = members.filter("size > 2").select("key", "node").join(labels, "node", "left").select(
+    labelled = members.filter("size > 2").select("key", "node").join(small_side(write_table(labels, "hub-labels")), "node", "left").select(
         "key", "node", F.coalesce("label", "node").alias("label"))
+    labelled = write_table(labelled, "labelled-members")
     several = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least != most")
-    loose = write_table(labelled.join(several.select("key", "least"), "key").select("node", "label", "least").distinct(), "loose-members")
+    several = write_table(several.select("key", "least"), "mixed-bands")
+    loose = write_table(labelled.join(small_side(several), "key").select("node", "label", "least").distinct(), "loose-members")
     if not loose.isEmpty():
         # Labels that hang together by such buckets are one cluster.
         clusters = components(loose.select(F.col("least").alias("u"), F.col("label").alias("v")))
