@@ -9,6 +9,12 @@ one run of the next level.  Runs share their buckets, so that a batch is held
 against any number of runs, and two runs are merged, by sort-merge joins that
 shuffle no run.
 
+Stops.  A run counts once what it is about has been written behind it: the runs it
+replaces and the batches it holds.  Opening the store passes over (and removes) runs
+without that and runs that a complete one replaces, so a stop at any point, between
+writing a merged run and deleting the old ones too, leaves every count right.  A
+batch with a name that the store holds already is not counted again.
+
 A line's hash is 128 bits of its key.  In a task, a document's lines are hashed
 once and repeated lines of a document count once, so that what is shuffled is at
 most a row per distinct line and task.
@@ -24,6 +30,7 @@ table gives no rows.  Only ``doc_id`` and ``text`` are read.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -49,14 +56,36 @@ def line_keys(text: str | None) -> tuple[list[str], list[bytes]]:
 
 
 class LineRuns:
-    """The store, in folder ``path``; opened again by its path."""
+    """The store, in folder ``path``; opened again by its path.  One writer at a time."""
 
     def __init__(self, spark: SparkSession, path: str, fanout: int = 2, buckets: int = 64):
         self.spark, self.path, self.fanout = spark, path, fanout
         names = list_paths(spark, path)
         self.buckets = next((int(n.split("-")[3]) for n in names if n.startswith("run-")), buckets)
-        self.runs = sorted(tuple(map(int, n.split("-")[1:3])) for n in names if re.fullmatch(r"run-\d+-\d+-\d+", n))
-        self.next = 1 + max((n for _, n in self.runs), default=-1)
+        found = sorted(tuple(map(int, n.split("-")[1:3])) for n in names if re.fullmatch(r"run-\d+-\d+-\d+", n))
+        self.next = 1 + max((n for _, n in found), default=-1)
+        about = {r: self._read_about(r) for r in found}
+        replaced = {tuple(x) for a in about.values() if a for x in a["replaces"]}
+        self.runs = [r for r in found if about[r] and r not in replaced]
+        self.batches = {r: about[r]["batches"] for r in self.runs}
+        for run in found:
+            if run not in self.runs:
+                self._remove(run)
+
+    def _read_about(self, run: tuple[int, int]) -> dict | None:
+        folder = os.path.join(self._folder(run), "_about")
+        if "_SUCCESS" not in list_paths(self.spark, folder):
+            return None
+        # The reader passes over names that begin with an underscore, but not over the folder it is given.
+        return json.loads(self.spark.read.text(folder).first()[0])
+
+    def _write_about(self, run: tuple[int, int], about: dict) -> None:
+        rows = self.spark.createDataFrame([(json.dumps(about),)], "value string")
+        rows.coalesce(1).write.text(os.path.join(self._folder(run), "_about"))
+
+    def _remove(self, run: tuple[int, int]) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS panes_run_{hashlib.md5(self._folder(run).encode()).hexdigest()}")
+        delete_path(self.spark, self._folder(run))
 
     def _folder(self, run: tuple[int, int]) -> str:
         return os.path.join(self.path, f"run-{run[0]}-{run[1]}-{self.buckets}")
@@ -68,7 +97,7 @@ class LineRuns:
                        f"CLUSTERED BY (hash) SORTED BY (hash) INTO {self.buckets} BUCKETS LOCATION '{folder}'")
         return self.spark.table(name)
 
-    def _write(self, rows: DataFrame, level: int, shuffled: bool) -> None:
+    def _write(self, rows: DataFrame, level: int, shuffled: bool, batches: list[str], replaces: list[tuple[int, int]]) -> None:
         run = (level, self.next)
         self.next += 1
         name = "panes_run_" + hashlib.md5(self._folder(run).encode()).hexdigest()
@@ -76,7 +105,9 @@ class LineRuns:
             rows = rows.repartition(self.buckets, "hash")
         (rows.write.format("parquet").bucketBy(self.buckets, "hash").sortBy("hash")
             .option("path", self._folder(run)).saveAsTable(name))
-        self.runs = sorted([*self.runs, run])
+        self._write_about(run, {"replaces": replaces, "batches": batches})
+        self.runs = sorted({*self.runs, run} - set(replaces))
+        self.batches[run] = batches
 
     def _merged(self, runs: list[tuple[int, int]]) -> DataFrame:
         # Not a union: in Spark 4.1 the union of two bucketed tables, grouped by the
@@ -101,16 +132,19 @@ class LineRuns:
             seen = seen + F.coalesce(f"n{i}", F.lit(0))
         return rows.filter(seen < enough).select("hash", "n")
 
-    def add(self, batch: DataFrame, enough: int) -> None:
-        """Take in a batch (hash, n: a row for each line); lines found ``enough`` times before are done."""
-        self._write(self._unfinished(batch, enough), 0, shuffled=True)
+    def add(self, batch: DataFrame, enough: int, name: str | None = None) -> None:
+        """Take in a batch (hash, n: a row for each line); lines found ``enough`` times before are done.
+
+        ``name``: a batch of that name is taken in once, however often it is added.
+        """
+        if name is None or not any(name in own for own in self.batches.values()):
+            self._write(self._unfinished(batch, enough), 0, True, [] if name is None else [name], [])
         level = 0
         while len(full := [r for r in self.runs if r[0] == level]) >= self.fanout:
-            self._write(self._merged(full), level + 1, shuffled=False)
+            self._write(self._merged(full), level + 1, False, sorted(x for r in full for x in self.batches[r]), full)
             for run in full:
-                self.spark.sql(f"DROP TABLE IF EXISTS panes_run_{hashlib.md5(self._folder(run).encode()).hexdigest()}")
-                delete_path(self.spark, self._folder(run))
-            self.runs = [r for r in self.runs if r not in full]
+                self._remove(run)
+                del self.batches[run]
             level += 1
 
 
@@ -176,9 +210,12 @@ def _without(texts: DataFrame, others: list[str], frequent, per_row: bool) -> Da
 
 
 def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, runs: LineRuns | None = None,
-                        batches: int = 3, most_broadcast: int = BROADCAST_ROWS) -> DataFrame:
+                        batches: int = 3, most_broadcast: int = BROADCAST_ROWS, name: str | None = None) -> DataFrame:
     """doc_id, text (without frequent lines), n_lines and n_dropped for every row of ``docs``.
 
+    ``name`` names the documents in a store that outlives the call: called again
+    after a stop, with the same name, no batch is counted twice.
+
     The documents are taken in by ``batches`` hash-chosen batches, each counted
     into ``runs`` (a new store if none is given; a given one also counts what it
     has seen before).  Up to ``most_broadcast`` frequent hashes (16 bytes each)
@@ -193,7 +230,7 @@ def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1,
     counted = write_table(_hash_rows(cut, ["batch"], min_chars).groupBy("batch", "hash").agg(F.count(F.lit(1)).alias("n")),
                           "line-counts", partition_by=["batch"])
     for b in range(batches):
-        runs.add(counted.filter(F.col("batch") == b), min_docs)
+        runs.add(counted.filter(F.col("batch") == b), min_docs, None if name is None else f"{name}:{b}")
     frequent = write_table(runs.counts().filter(F.col("n") >= min_docs).select("hash"), "frequent-lines")
     if frequent.limit(most_broadcast + 1).count() <= most_broadcast:
         shared = spark.sparkContext.broadcast(b"".join(bytes(r["hash"]) for r in frequent.collect()))

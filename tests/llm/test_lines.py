@@ -56,3 +56,56 @@ def test_no_run_is_shuffled(spark):
     assert against.count("Exchange") == 1  # the batch's own
     merge = plan(runs._merged(runs.runs[:2]))
     assert "SortMergeJoin" in merge and "Exchange" not in merge
+
+
+def numbers(runs):
+    return {bytes(r["hash"])[0]: r["n"] for r in runs.counts().collect()}
+
+
+def test_a_stop_between_writing_a_merged_run_and_deleting_the_old_ones(spark, monkeypatch):
+    path = scratch_path(spark, "runs-stop")
+    batch = lambda *pairs: spark.createDataFrame([(bytes([k]), n) for k, n in pairs], "hash binary, n long")
+    runs = lines.LineRuns(spark, path, fanout=2, buckets=2)
+    runs.add(batch((1, 3)), 100, "a")
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(lines.LineRuns, "_remove", stop)
+    try:
+        runs.add(batch((1, 4), (2, 1)), 100, "b")
+    except KeyboardInterrupt:
+        pass
+    monkeypatch.undo()
+    again = lines.LineRuns(spark, path, fanout=2)
+    assert numbers(again) == {1: 7, 2: 1} and [level for level, _ in again.runs] == [1]
+    assert sorted(x for x in again.batches[again.runs[0]]) == ["a", "b"]
+    # The driver didn't learn that the batch was in: it adds it again.
+    again.add(batch((1, 4), (2, 1)), 100, "b")
+    assert numbers(again) == {1: 7, 2: 1}
+    again.add(batch((2, 5)), 100, "c")
+    assert numbers(lines.LineRuns(spark, path)) == {1: 7, 2: 6}
+
+
+def test_a_stop_while_a_run_is_written(spark, monkeypatch):
+    path = scratch_path(spark, "runs-half")
+    batch = lambda n: spark.createDataFrame([(b"k", n)], "hash binary, n long")
+    runs = lines.LineRuns(spark, path, fanout=3, buckets=2)
+    runs.add(batch(2), 100, "a")
+    monkeypatch.setattr(lines.LineRuns, "_write_about", lambda *_: 1 / 0)  # behind the run
+    try:
+        runs.add(batch(5), 100, "b")
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    again = lines.LineRuns(spark, path, fanout=3)
+    assert len(again.runs) == 1
+    again.add(batch(5), 100, "b")
+    assert {r["n"] for r in again.counts().collect()} == {7}
+
+
+def test_documents_added_again_by_name(spark, edge_docs):
+    path = scratch_path(spark, "runs-named")
+    want = got(lines.drop_frequent_lines(edge_docs, 20, runs=lines.LineRuns(spark, path, buckets=4), name="d"))
+    assert got(lines.drop_frequent_lines(edge_docs, 20, runs=lines.LineRuns(spark, path), name="d")) == want
+    assert got(lines.drop_frequent_lines(edge_docs, 20, runs=lines.LineRuns(spark, path), name="e")) != want
