@@ -40,8 +40,8 @@ from .words import code_points, gather, slices, split_words
 
 #: Tokens in a task's pool before it starts to fill windows (8 MB of ids).
 POOL_TOKENS = 2_000_000
-#: Bytes of parts of words, with their ids, that a worker remembers.
-REMEMBERED_BYTES = 32 << 20
+#: Bytes of parts of words, with their ids, that a worker remembers; text bytes it looks at at once.
+REMEMBERED_BYTES, LOOK_BYTES = 24 << 20, 2 << 20
 
 # --- tokenising -------------------------------------------------------------
 
@@ -373,7 +373,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int = 4096) ->
 
         for batch in batches:
             doc_type = batch.column(0).type
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", LOOK_BYTES):
                 for doc, ids in zip(part.column(0).to_pylist(), tokenise(part.column(1), ids_of, end_id), strict=True):
                     whole = len(ids) - len(ids) % capacity
                     for at in range(0, whole, capacity):

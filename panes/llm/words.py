@@ -13,16 +13,21 @@ SLICE_BYTES = 4 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices of ``batch`` of about ``limit`` bytes of ``column``."""
+    """Consecutive slices of ``batch`` of about ``limit`` bytes of ``column``.
+
+    After each, Arrow gives back what it holds unused: workers live on from stage to stage.
+    """
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, size = 0, 0
     for i, n in enumerate(sizes):
         if size and size + n > limit:
             yield batch.slice(start, i - start)
+            pa.default_memory_pool().release_unused()
             start, size = i, 0
         size += int(n)
     if start < len(sizes):
         yield batch.slice(start)
+        pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
