@@ -190,3 +190,24 @@ FROM (SELECT slot - to_seconds(10 * unnest(range(8640))) AS window_start, c
       FROM (SELECT {_BUCKET} AS slot, count(*) AS c FROM events GROUP BY 1) AS slices(slot, c))
 GROUP BY 1
 """
+
+_TOP = "array_to_string(list_slice(list(event_id ORDER BY event_id DESC), 1, 3), ',')"
+
+ORACLE_SQL.update({
+    "user_combiner": f"""
+SELECT event_type, count(*) AS n, count(*) FILTER (value > 100) AS over, {_TOP} AS top FROM events GROUP BY event_type
+UNION ALL
+SELECT 'all', count(*), count(*) FILTER (value > 100), {_TOP} FROM events HAVING count(*) > 0""",
+    "generated_elements": """
+SELECT doc_id, CAST(unnest(range(len(string_split(text, ' ')))) AS INTEGER) AS pos, unnest(string_split(text, ' ')) AS element FROM documents""",
+    "stream_pane_state": f"""
+SELECT 'open, first batch' AS state, window_start, n FROM ({FIXED})
+UNION ALL
+SELECT 'fired, at the end', window_start, NULL FROM ({FIXED})""",
+    "stream_run_metrics": """
+SELECT 'rows read' AS metric, count(*) AS total FROM events
+UNION ALL SELECT 'rows dropped', 0
+UNION ALL SELECT 'events.n', count(*) FROM events
+UNION ALL SELECT 'events.errors', count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'events.last', CAST(coalesce(sum(event_id), 0) AS BIGINT) FROM events""",
+})

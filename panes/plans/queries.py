@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import codec
 from ..functions.timestamps import format_iso, parse_iso, stamp
 from ..operators import windows
+from ..operators.combine import CountAndTop, combine
+from ..operators.generate import flat_map, json_elements
 from ..operators.panes import first_pane_global, first_pane_windows
 from ..session import scratch_path
 from ..sources.documents import write_documents
@@ -204,6 +206,22 @@ def document_elements_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path, schema=conv.schema, layout="ranges", range_bytes=max(1, shortest // 8))
 
 
+def user_combiner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's accumulator over ``events``, for each type and, as one key that
+    all rows have, for the whole table."""
+    ev = table(spark, sf_dir, "events").select("event_type", "event_id", "value")
+    kind = "struct<n: long, over: long, top: array<long>>"
+    each = combine(ev, CountAndTop(100.0, 3), kind, ["event_type"])
+    whole = combine(ev.select("event_id", "value"), CountAndTop(100.0, 3), kind)
+    return each.unionByName(whole.withColumn("event_type", F.lit("all"))).select(
+        "event_type", "result.n", "result.over", F.array_join("result.top", ",").alias("top"))
+
+
+def generated_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The elements of each JSON array line as rows, by a table function."""
+    return flat_map(document_lines(spark, sf_dir), json_elements, "value").select("doc_id", "pos", "element")
+
+
 def quote_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quote normaliser over whole conversation texts."""
     return table(spark, sf_dir, "conversations").select(
@@ -255,6 +273,8 @@ QUERIES: dict[str, Query] = {
     "document_elements": document_elements,
     "document_elements_lines": document_elements_lines,
     "document_elements_ranges": document_elements_ranges,
+    "user_combiner": user_combiner,
+    "generated_elements": generated_elements,
     "global_pane_once": global_pane_once,
     "window_pane_once": window_pane_once,
     "window_pane_part": window_pane_part,

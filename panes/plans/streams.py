@@ -19,8 +19,10 @@ from ..sources.tables import table
 from ..streaming.branches import BRANCHES, drain, fan_out_once, folder, read_folder
 from ..streaming.event_time import rejected, with_arrival_time, with_event_time
 from ..streaming.late import COUNTED, LATE, count_with_late_rows, late_rows, pane_counts
+from ..streaming.metrics import RunMetrics, observed
+from ..streaming.state import fired_panes, open_panes
 from ..streaming.sinks import (Sink, fan_out, materialize, materialize_firings, materialize_to_end, print_tap,
-                               run_available, with_end)
+                               run_available, with_end, write_stream)
 from ..streaming.triggers import ROCKSDB, STATE_PROVIDER, count_after_processing_time
 from ..streaming.windows import count_on_watermark, counts_as_messages
 from .queries import (FIXED_SIZE, GLOBAL_PANE_DELAY, SLIDING_PERIOD, SLIDING_SIZE,
@@ -370,6 +372,40 @@ def stream_global_pane_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_two_halves(spark, sf_dir, "stream_global_pane_closed", None, "5 seconds")
 
 
+def stream_pane_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 A1: what the pane query holds, from its checkpoint: the panes open after the
+    first batch, which has all messages, and the marks of fired panes at the end."""
+    spark = pane_session(spark)
+    checkpoint = scratch_path(spark, "stream_pane_state-checkpoint")
+    counts = count_after_processing_time(event_messages(spark, sf_dir), "5 seconds", FIXED_SIZE)
+    materialize_firings(counts, "stream_pane_state", _windows(table(spark, sf_dir, "events")), checkpoint=checkpoint)
+    tagged = lambda df, when, n: df.select(F.lit(when).alias("state"), F.col("pane_start").alias("window_start"), n.alias("n"))
+    none = F.lit(None).cast("long")
+    return tagged(open_panes(spark, checkpoint, 0), "open, first batch", F.col("n")).unionByName(
+        tagged(fired_panes(spark, checkpoint, 0), "fired, first batch", none)).unionByName(
+        tagged(open_panes(spark, checkpoint), "open, at the end", F.col("n"))).unionByName(
+        tagged(fired_panes(spark, checkpoint), "fired, at the end", none))
+
+
+#: Files, a micro-batch each, that the metrics' replay is dealt over.
+METRIC_BATCHES = 12
+
+
+def stream_run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 L1: metrics observed in every micro-batch of a run, added up by a listener."""
+    ev = table(spark, sf_dir, "events")
+    bus = scratch_path(spark, "stream_run_metrics-bus")
+    ev.repartition(METRIC_BATCHES).write.option("maxRecordsPerFile", 0).parquet(bus)
+    replay = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(bus)
+    seen = observed(replay, "events", n=F.count(F.lit(1)), errors=F.count_if(F.col("event_type") == "error"), last=F.sum("event_id"))
+    with RunMetrics(spark) as metrics:
+        query = write_stream(seen, Sink("noop"), "stream_run_metrics")
+        run_available(query)
+        found = metrics.of(query)
+    rows = [(k, int(found.get(k, 0))) for k in ("rows read", "rows dropped", "events.n", "events.errors", "events.last")]
+    return spark.createDataFrame(rows, "metric string, total long")
+
+
 STREAM_QUERIES = {
     "stream_fixed_window": stream_fixed_window,
     "stream_sliding_window": stream_sliding_window,
@@ -386,6 +422,8 @@ STREAM_QUERIES = {
     "stream_late_rows": stream_late_rows,
     "stream_publish_watermark": stream_publish_watermark,
     "stream_one_read": stream_one_read,
+    "stream_pane_state": stream_pane_state,
+    "stream_run_metrics": stream_run_metrics,
     "stream_window_panes_closed": stream_window_panes_closed,
     "stream_global_pane_closed": stream_global_pane_closed,
 }

@@ -184,7 +184,8 @@ def materialize_to_end(messages: DataFrame, build: Callable[[DataFrame], DataFra
 
 
 def materialize_firings(df: DataFrame, name: str, panes: int, every: str = "1 second",
-                        then: tuple[int, Callable[[], None]] | None = None, settle: float = 0) -> DataFrame:
+                        then: tuple[int, Callable[[], None]] | None = None, settle: float = 0,
+                        checkpoint: str | None = None) -> DataFrame:
     """Run a processing-time-fired stream until ``panes`` panes have fired, then
     stop it; return what was committed as a batch DataFrame.
 
@@ -196,7 +197,7 @@ def materialize_firings(df: DataFrame, name: str, panes: int, every: str = "1 se
     """
     spark = df.sparkSession
     out = scratch_path(spark, f"{name}-out")
-    q = write_stream(df, Sink("parquet", {"path": out}, "append", {"processingTime": every}), os.path.basename(out))
+    q = write_stream(df, Sink("parquet", {"path": out}, "append", {"processingTime": every}, checkpoint), os.path.basename(out))
     try:
         fired, sent, read_by = 0, False, None
         while fired < panes or (sent and (read_by is None or time.monotonic() < read_by + settle)):
