@@ -76,35 +76,37 @@ class DigestIndex:
 BATCHES = 4
 
 
-def _batch_column(rows: DataFrame, batches: int) -> Column:
-    """The batch of a row by ranges of ``doc_id`` that hold about as many rows each; rows without id come last."""
-    kind = rows.schema["doc_id"].dataType
-    if batches < 2 or not isinstance(kind, T.NumericType):
-        return F.lit(0)
-    bounds = rows.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
-    batch = F.lit(0)
-    for bound in sorted(set(bounds)):
-        batch = batch + F.when(F.col("doc_id") <= F.lit(bound).cast(kind), 0).otherwise(1)
-    return batch
+def _bounds(rows: DataFrame, batches: int) -> list:
+    """The last ids of all batches but the last: ranges of ``doc_id`` that hold about as many rows each."""
+    if batches < 2 or not isinstance(rows.schema["doc_id"].dataType, T.NumericType):
+        return []
+    found = rows.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0]
+    return sorted(set(found or []))
 
 
-def _grouped(prints: DataFrame, batches: int) -> DataFrame:
-    """batch, digest, keep_id (the smallest id, null last), same (rows with that id) and n (rows) of each batch's texts, written."""
-    by_id = prints.withColumn("batch", _batch_column(prints, batches)).groupBy("batch", "digest", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+def _grouped(prints: DataFrame, bounds: list) -> DataFrame:
+    """batch, digest, keep_id (the smallest id, null last), same (rows with that id) and n (rows) of each batch's
+    texts, written.  Rows without id are in the last batch."""
+    batch = F.lit(0)
+    for bound in bounds:
+        batch = batch + F.when(F.col("doc_id") <= F.lit(bound).cast(prints.schema["doc_id"].dataType), 0).otherwise(1)
+    by_id = prints.withColumn("batch", batch).groupBy("batch", "digest", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "n"))
     groups = by_id.groupBy("batch", "digest").agg(first.alias("f"), F.sum("n").alias("n"))
     return write_table(groups.select("batch", "digest", F.col("f.doc_id").alias("keep_id"), F.col("f.n").alias("same"), "n"),
                        "digest-groups", partition_by=["batch"])
 
 
-def _take_in(groups: DataFrame, index: DigestIndex) -> None:
-    for (batch,) in sorted(groups.select("batch").distinct().collect()):
+def _take_in(groups: DataFrame, bounds: list, index: DigestIndex) -> None:
+    for batch in range(len(bounds) + 1):
         index.add(groups.filter(F.col("batch") == batch))
 
 
 def _new_index(docs: DataFrame) -> DigestIndex:
+    """An index for one table, with as many buckets as a shuffle has partitions: one task writes one bucket."""
     spark = docs.sparkSession
-    return DigestIndex(spark, scratch_path(spark, "digest-index"), id_type=dict(docs.dtypes)["doc_id"])
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return DigestIndex(spark, scratch_path(spark, "digest-index"), buckets, id_type=dict(docs.dtypes)["doc_id"])
 
 
 def duplicates(docs: DataFrame, index: DigestIndex | None = None, batches: int = BATCHES) -> DataFrame:
@@ -116,8 +118,9 @@ def duplicates(docs: DataFrame, index: DigestIndex | None = None, batches: int =
     """
     index = index or _new_index(docs)
     prints = write_table(docs.select("doc_id", text_digest(F.col("text")).alias("digest")), "fingerprints")
-    groups = _grouped(prints, batches)
-    _take_in(groups, index)
+    bounds = _bounds(prints, batches)
+    groups = _grouped(prints, bounds)
+    _take_in(groups, bounds, index)
     sizes = groups.groupBy("digest").agg(F.sum("n").alias("group_size"))
     # Written first: then both sides of the next join are plain shuffles, and Spark
     # splits a text that a third of all rows may have.
@@ -131,9 +134,10 @@ def drop_duplicates(docs: DataFrame, index: DigestIndex | None = None, batches:
     """``docs`` without the rows whose text another row keeps; all columns as they were."""
     index = index or _new_index(docs)
     prints = write_table(docs.select("doc_id", text_digest(F.col("text")).alias("digest")), "fingerprints")
-    groups = _grouped(prints, batches)
+    bounds = _bounds(prints, batches)
+    groups = _grouped(prints, bounds)
     old = write_table(groups.join(index.table().hint("merge"), "digest", "left_semi").select("digest").distinct(), "digests-known")
-    _take_in(groups, index)
+    _take_in(groups, bounds, index)
     sizes = groups.groupBy("digest").agg(F.sum("n").alias("group_size"))
     every = sizes.join(old.withColumn("known", F.lit(True)), "digest", "left").filter("group_size > 1 or known")
     # The row that stays is the one that the index has taken; its batch tells how many rows repeat it.
