@@ -211,3 +211,5 @@ UNION ALL SELECT 'events.n', count(*) FROM events
 UNION ALL SELECT 'events.errors', count(*) FROM events WHERE event_type = 'error'
 UNION ALL SELECT 'events.last', CAST(coalesce(sum(event_id), 0) AS BIGINT) FROM events""",
 })
+
+ORACLE_SQL["stream_messages_once"] = ORACLE_SQL["stream_passthrough"]

@@ -16,7 +16,7 @@ from ..operators.windows import fixed_window
 from ..session import scratch_path
 from ..sources.messages import messages_from_records, table_stream, tap_messages
 from ..sources.tables import table
-from ..streaming.branches import BRANCHES, drain, fan_out_once, folder, read_folder
+from ..streaming.branches import BRANCHES, drain, fan_out_once, folder, read_folder, write_messages_once
 from ..streaming.event_time import rejected, with_arrival_time, with_event_time
 from ..streaming.late import COUNTED, LATE, count_with_late_rows, late_rows, pane_counts
 from ..streaming.metrics import RunMetrics, observed
@@ -283,6 +283,15 @@ def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(decode_utf8("value").alias("payload"))
 
 
+def stream_messages_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: the records republished through the sink that holds every message once, a
+    fifth of the time range a micro-batch."""
+    path, checkpoint = (scratch_path(spark, f"stream_messages_once-{x}") for x in ("out", "checkpoint"))
+    replay = _in_fifths(spark, table(spark, sf_dir, "events"), (0, 1, 2, 3, 4), "stream_messages_once")
+    run_available(write_messages_once(passthrough(messages_from_records(replay, event_record(replay), "ts")), path, checkpoint))
+    return read_folder(spark, path, "value binary").select(decode_utf8("value").alias("payload"))
+
+
 def _tap_out(tapped: DataFrame) -> DataFrame:
     from ..functions.timestamps import instant_to_ntz
     cols = [instant_to_ntz("publish_time").alias("publish_time")]
@@ -422,6 +431,7 @@ STREAM_QUERIES = {
     "stream_late_rows": stream_late_rows,
     "stream_publish_watermark": stream_publish_watermark,
     "stream_one_read": stream_one_read,
+    "stream_messages_once": stream_messages_once,
     "stream_pane_state": stream_pane_state,
     "stream_run_metrics": stream_run_metrics,
     "stream_window_panes_closed": stream_window_panes_closed,

@@ -18,9 +18,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every pipeline relies on.  Applied by ``build_session``.  Library
-# functions leave a session they are handed as it is, with one exception: the
-# processing-time triggers select the RocksDB state store when the session has
-# not chosen a provider (``transformWithState`` requires it).
+# functions leave a session they are handed as it is; those that need the RocksDB
+# state store (``transformWithState``) refuse a session without it.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

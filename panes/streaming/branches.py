@@ -149,6 +149,20 @@ def fan_out_once(messages: DataFrame, writers: dict[str, Writer], checkpoint: st
     return (w.trigger(**trigger) if trigger else w).start()
 
 
+def write_messages_once(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, write: Writer | None = None) -> StreamingQuery:
+    """Message sink (K1) that holds every message once: a batch's messages (``value``,
+    and ``key`` if there is one) go to ``<path>/batch_id=<id>``.
+
+    A failure after the write and before Spark's commit runs the batch again, with
+    the same messages, and the folder is replaced.  ``write``: another writer that
+    a repeated batch does not change.
+    """
+    columns = [c for c in ("key", "value") if c in messages.columns]
+    w = messages.select(*columns).writeStream.foreachBatch(write or folder(path)).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if trigger is None else trigger
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
 def drain(spark: SparkSession, checkpoint: str, write: Writer, size: str = "10 seconds") -> None:
     """Fire the windows that are still open when a bounded input has ended, as batch -1.
 

@@ -5,7 +5,7 @@ import json
 import pytest
 
 from panes.sources.messages import normalize_messages
-from panes.streaming.branches import BRANCHES, drain, fan_out_once, folder, read_folder
+from panes.streaming.branches import BRANCHES, drain, fan_out_once, folder, read_folder, write_messages_once
 from panes.streaming.sinks import run_available
 from test_late import T0, message, send
 
@@ -103,3 +103,21 @@ def test_options_are_checked_and_strict_mode_fails(spark, scratch):
     job = Job(spark, scratch, mode="strict")
     with pytest.raises(RuntimeError):
         job.run([(b"{bad", T0)])
+
+
+def test_a_message_sink_that_fails_after_the_write_and_before_the_commit(spark, scratch):
+    send(spark, f"{scratch}/bus", GOOD)
+    read = lambda: spark.readStream.schema("data binary, publish_time timestamp").parquet(f"{scratch}/bus").selectExpr("data as value", "publish_time")
+    run_available(write_messages_once(read(), f"{scratch}/out", f"{scratch}/chk"))
+    send(spark, f"{scratch}/bus", [message(40, 40), message(41, 41)])
+
+    def written_then_lost(rows, batch_id):
+        folder(f"{scratch}/out")(rows, batch_id)
+        raise OSError("lost before the commit")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        run_available(write_messages_once(read(), f"{scratch}/out", f"{scratch}/chk", write=written_then_lost))
+    sent = lambda: sorted(json.loads(bytes(r.value))["timestamp"][-5:] for r in read_folder(spark, f"{scratch}/out", "value binary").collect())
+    assert sent() == ["00:01", "00:02", "00:12", "00:31", "00:40", "00:41"]
+    run_available(write_messages_once(read(), f"{scratch}/out", f"{scratch}/chk"))
+    assert sent() == ["00:01", "00:02", "00:12", "00:31", "00:40", "00:41"]
