@@ -101,6 +101,22 @@ def _clustering() -> str:
 LLM_ORACLE_SQL: dict[str, str] = {
     "op11_hirschberg_repair": _repair(),
     "op13_incremental_distances": _clustering(),
+    # Every pair of documents that share a shingle, counted.
+    "op2_hyperminhash": r"""
+        WITH RECURSIVE w AS (
+                 SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+             sets AS MATERIALIZED (
+                 SELECT r, doc_id, CASE WHEN len(words) < 2 THEN words
+                        ELSE list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) END AS shingles FROM w),
+             s AS (SELECT r, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+             shared AS (SELECT a.r AS a, b.r AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+                        FROM s a JOIN s b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY a.r, b.r),
+             links AS MATERIALIZED (SELECT a, b FROM shared WHERE 100 * c >= 80 * (na + nb - c)),
+             reach AS (SELECT r AS a, r AS b FROM sets UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+             first AS (SELECT reach.a AS r, min(sets.doc_id) AS component_id FROM reach JOIN sets ON reach.b = sets.r GROUP BY reach.a)
+        SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN first ON sets.r = first.r
+    """,
     "op3_digest_index": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
              k AS (SELECT *, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size FROM t)

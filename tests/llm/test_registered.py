@@ -9,7 +9,7 @@ from panes.llm.oracles import LLM_ORACLE_SQL
 from panes.llm.queries import LLM_QUERIES
 
 #: Queries that SQL cannot express, and the tests that hold them to brute force.
-BY_TEST = {"op1_kd_shards", "op2_hyperminhash", "op4_weak_labels", "op5_min_bin_slack", "op9_role_repair", "op10_streaming_viterbi",
+BY_TEST = {"op1_kd_shards", "op4_weak_labels", "op5_min_bin_slack", "op9_role_repair", "op10_streaming_viterbi",
            "op12_hyperdimensional"}
 
 
