@@ -8,11 +8,15 @@ size count as pieces of ``SAMPLE_BYTES``, of which ``SAMPLE_RECORDS`` are drawn
 hash.  Where that is too little for a dictionary, the archives have an empty one
 and a warning is logged.
 
-A task writes the rows of its partition as one archive through Spark's text
-writer, with its commit protocol, so a lost or repeated task leaves no partial
-archive, and on any file system Spark writes to.  The writer sets a line
-separator after each row; here it is an empty skippable frame, which every
-Zstandard reader passes over.
+A task writes the rows of its partition through Spark's text writer, with its
+commit protocol, so a lost or repeated task leaves no partial archive, and on any
+file system Spark writes to.  The writer sets a line separator after each row; here
+it is an empty skippable frame, which every Zstandard reader passes over.
+
+An archive has a bounded size, as it is read back as one row: ``ARCHIVE_ROWS`` frames,
+after which the writer begins the next file, and ``ARCHIVE_BYTES`` of them (a longer
+record is alone in its archive).  One that is full by its bytes is filled up with
+empty frames, so that the next one's dictionary comes first in its file.
 
 Defined results.  Null html is an empty payload.  Of records with equal payloads
 of at least ``least`` bytes the one with the largest page id is a response, the
@@ -41,6 +45,8 @@ from .common import ship_package, small_side, write_table
 #: Pieces of pages, and bytes of a piece, that a dictionary is trained on at most.
 SAMPLE_RECORDS, SAMPLE_BYTES = 400, 32 << 10
 DICTIONARY_BYTES = 64 << 10
+#: Frames (with the dictionary's) and bytes of records of an archive.
+ARCHIVE_ROWS, ARCHIVE_BYTES = 4096, 32 << 20
 #: Frame numbers of the Zstandard format and of the WARC convention (fixed values).
 FRAME, DICTIONARY, SKIP_FIRST, SKIP_LAST = 0xFD2FB528, 0x184D2A5D, 0x184D2A50, 0x184D2A5F
 #: An empty skippable frame, as text: it stands between records.
@@ -136,7 +142,8 @@ def train(pages: DataFrame) -> bytes:
         return b""
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 1000) -> None:
+def write_archives(pages: DataFrame, path: str, least: int = 1000, archive_rows: int = ARCHIVE_ROWS,
+                   archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write every row of ``pages`` (page_id, url, html) as a record of an archive under ``path``."""
     spark = pages.sparkSession
     ship_package(spark)
@@ -156,20 +163,25 @@ def write_archives(pages: DataFrame, path: str, least: int = 1000) -> None:
 
         trained = dictionary.value
         compressor = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(trained) if trained else None)
-        frames, size = [struct.pack("<II", DICTIONARY, len(trained)) + trained], 0
-        written = False
+        first = struct.pack("<II", DICTIONARY, len(trained)) + trained
+        empty = SEPARATOR.encode()
+        frames, waiting, rows, size = [], 0, archive_rows, 0  # rows and bytes of the archive being written
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                frames.append(compressor.compress(record(*row)))
-                size += len(frames[-1])
-                if size > 4 << 20:
+                frame = compressor.compress(record(*row))
+                if rows == archive_rows or rows > 1 and size + len(frame) > archive_bytes:
+                    frames += [empty] * (archive_rows - rows) + [first]
+                    rows, size = 1, 0
+                frames.append(frame)
+                rows, size, waiting = rows + 1, size + len(frame), waiting + len(frame)
+                if waiting > 4 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
-                    frames, size, written = [], 0, True
-        if len(frames) > (0 if written else 1):
+                    frames, waiting = [], 0
+        if frames:
             yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["value"])
 
     archives = roles.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-    archives.write.option("lineSep", SEPARATOR).text(path)
+    archives.write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", archive_rows).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

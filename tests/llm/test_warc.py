@@ -107,3 +107,21 @@ def test_frames_are_walked_exactly():
         for c in (zstandard.ZstdCompressor(), zstandard.ZstdCompressor(write_checksum=True), zstandard.ZstdCompressor(write_content_size=False)):
             frame = c.compress(data)
             assert warc.frame_end(memoryview(frame + b"tail"), 0) == len(frame)
+
+
+@pytest.mark.parametrize(("archive_rows", "archive_bytes"), [(4, 1 << 20), (50, 4000), (2, 1)])
+def test_archives_are_bounded_and_begin_with_their_dictionary(spark, archive_rows, archive_bytes):
+    path = scratch_path(spark, "archive-bounds")
+    pages = spark.createDataFrame(long_pages(40, 60) + [(100, "big", "".join(random.Random(1).choices("abcdef<>", k=60_000)))], "page_id long, url string, html string")
+    warc.write_archives(pages.repartition(2), path, archive_rows=archive_rows, archive_bytes=archive_bytes)
+    files = [bytes(r["content"]) for r in spark.read.format("binaryFile").load(path).select("content").collect()]
+    assert len(files) > 2
+    for content in files:
+        number, size = struct.unpack_from("<II", content)
+        assert number == warc.DICTIONARY and size > 0
+        own = list(warc.records(content))
+        assert 1 <= len(own) < archive_rows
+        body = len(content) - 8 - size - 16 * archive_rows
+        assert body <= archive_bytes or len(own) == 1
+    back = warc.read_archives(spark, path).select("page_id", "payload_digest").collect()
+    assert sorted(r["page_id"] for r in back) == [*range(40), 100]
