@@ -306,7 +306,10 @@ def _blocks(members: DataFrame, percent: int) -> DataFrame:
     held = grown.groupBy("cluster", "size").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
     # As many blocks as keep either their rows or their shingles in bounds.
     held = held.select("cluster", "size", F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("total") / BLOCK_SHINGLES)).alias("blocks"))
+    held = small_side(write_table(held, "block-numbers"))
     dealt = grown.join(held, ["cluster", "size"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    # By block: else the join's partitions would do, and all blocks of a cluster lie in one task.
+    dealt = dealt.repartition("cluster", "size", "block")
     return dealt.groupBy("cluster", "size", "block").agg(
         F.min("label").alias("l_min"), F.max("label").alias("l_max"), F.collect_list(F.struct("label", "shingles")).alias("rows")).select(
         "cluster", "size", "l_min", "l_max", F.col("rows.label").alias("labels"), F.col("rows.shingles").alias("sets")).withColumn(
