@@ -44,7 +44,9 @@ def got(df):
 
 
 def test_edges_and_clusters_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(embed, "BLOCK", 24)
+    monkeypatch.setattr(embed, "BLOCK", 12)
+    monkeypatch.setattr(embed, "INTERVAL", 3)
+    monkeypatch.setattr(embed, "GROUP", 2)
     monkeypatch.setattr(embed, "LEAF", 8)
     r = random.Random(5)
     rows = []
