@@ -311,7 +311,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     parts = write_table(components(found.filter("v is not null").select("u", "v")), "components")
     counts = found.filter("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("n"))
     ids = parts.join(classes.select("node", "first_id"), "node").groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = parts.join(ids, "component").select("node", "component_id", F.lit(True).alias("linked"))
+    # Written first: a component of any size is one key of the join.
+    ids = write_table(ids, "component-ids")
+    linked = parts.join(small_side(ids), "component").select("node", "component_id", F.lit(True).alias("linked"))
     by_class = classes.select("node", "digest", "first_id", "copies").join(counts, "node", "left").join(linked, "node", "left").select(
         "digest", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"))

@@ -403,8 +403,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     rows, classes, final = _linked(docs.select("doc_id", "text"), width, percent)
     # Classes to documents.
     first = final.join(classes.select("node", "first_id"), "node")
-    ids = first.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    joined = write_table(final.join(ids, "component").select("node", "component_id"), "component-ids")
+    ids = write_table(first.groupBy("component").agg(F.min("first_id").alias("component_id")), "first-ids")
+    joined = write_table(final.join(small_side(ids), "component").select("node", "component_id"), "component-ids")
     linked = joined.withColumn("linked", F.lit(True))
     by_class = classes.select("node", "digest", "first_id").join(small_side(linked), "node", "left").select(
         "digest", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("first_id")).alias("component_id"),
