@@ -15,7 +15,8 @@ the piece before.  The ids equal those of the SentencePiece library.
 
 No piece has a space after another character, so paths always meet at the end
 of a word; what a task has encoded between two such boundaries it remembers by
-its text.
+its text.  What it has not, it encodes in sorted order: the best paths to the
+positions of a shared beginning are those found for the text before.
 
 Defined results.  Null and empty texts have no ids and decode to an empty text.
 Characters without a piece become byte pieces, so decoding returns the text
@@ -38,12 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import ship_package
-from .words import Recent, coded, gather, slices
+from .words import Recent, coded, gather, shared_beginnings, slices
 
 SPACE = "▁"
 #: Segments between boundaries, and pairs of pieces, that a worker remembers (twice so many at most).
 REMEMBERED = 200_000
-#: Positions between two tries to commit.
+#: Positions between two tries to commit; no longer segments are remembered.
 STRIDE = 64
 
 
@@ -109,7 +110,10 @@ class Pieces:
         return found
 
     def ids_of(self, pieces: list[str]) -> list[int]:
-        out = []
+        try:
+            return [self.id[piece] for piece in pieces]
+        except KeyError:
+            out = []
         for piece in pieces:
             own = self.id.get(piece)
             if own is not None:
@@ -146,11 +150,17 @@ class Viterbi:
 
     def __init__(self, pieces: Pieces):
         self.p = pieces
-        self.text = ""  # from the last committed boundary on
-        self.back: list[str] = [""]  # the last piece of the path to each position of it
-        self.total = [0.0]
-        self.before = ""  # the piece before the boundary
-        self.state = 0  # of the pieces' automaton
+        self.back: list[str] = [""]  # the last piece of the path to each position from the last committed boundary on
+        self.total = [0.0]  # of a unigram model
+        self.states = [0]  # of the pieces' automaton, at each position
+
+    def _path(self, end: int) -> list[str]:
+        """The pieces of the path from the boundary to ``end``."""
+        pieces = []
+        while end:
+            pieces.append(self.back[end])
+            end -= len(self.back[end])
+        return pieces[::-1]
 
     def _commit(self, ends: list[int]) -> list[int]:
         """The ids before the last boundary that the paths back from all ``ends`` share."""
@@ -160,49 +170,72 @@ class Viterbi:
             fronts.remove(last)
             fronts.add(last - len(self.back[last]))
         at = fronts.pop()
-        pieces, end = [], at
-        while end:
-            pieces.append(self.back[end])
-            end -= len(self.back[end])
+        pieces = self._path(at)
         if pieces:
-            self.before = pieces[0]
-            self.text, self.back = self.text[at:], [""] + self.back[at + 1:]
-            base = self.total[at]
-            self.total = [t - base for t in self.total[at:]]
-        return self.p.ids_of(pieces[::-1])
+            self.back, self.states = self.back[at:], self.states[at:]
+            self.total = [t - self.total[at] for t in self.total[at:]]
+        return self.p.ids_of(pieces)
 
     def feed(self, text: str) -> list[int]:
         """Find the last piece of the best path to each position, committing on the way."""
-        p, out, bpe, state = self.p, [], self.p.kind == "bpe", self.state
-        go, ending, pairs = p.go, p.ending, p.pairs
-        self.text += text
-        back, total = self.back, self.total
+        out, longest = [], self.p.longest
+        walk = self._merge if self.p.kind == "bpe" else self._score
+        for i in range(0, len(text), STRIDE):
+            walk(text[i:i + STRIDE])
+            if len(self.back) > STRIDE + longest + 1:
+                out += self._commit(list(range(len(self.back) - longest, len(self.back))))
+        return out
+
+    def _merge(self, text: str) -> None:
+        """``feed`` for byte-pair merging: the one piece that may follow the piece before it."""
+        p, back, states = self.p, self.back, self.states
+        go, ending, known = p.go, p.ending, p.pairs.new
+        state, end = states[-1], len(back)
         for c in text:
             state = go[state].get(c) or p.step(state, c)
-            end, best, most = len(back), None, 0.0
             for size, piece in ending[state]:
-                if size > end:
-                    continue
-                start = end - size
-                if bpe:
-                    before = back[start] if start else self.before
-                    known = pairs.get((before, piece))
-                    if known or (known is None and p.follows(before, piece)):
-                        best = piece
+                if size <= end:
+                    fits = known.get((back[end - size], piece))
+                    if fits is None:
+                        fits = p.follows(back[end - size], piece)
+                        known = p.pairs.new
+                    if fits:
                         break
-                elif best is None or total[start] + p.score[piece] > most:
-                    best, most = piece, total[start] + p.score[piece]
+            else:
+                piece = self._without_piece(c, end)
+            back.append(piece)
+            states.append(state)
+            end += 1
+
+    def _score(self, text: str) -> None:
+        """``feed`` for sums of scores."""
+        p, back, total, states = self.p, self.back, self.total, self.states
+        state = states[-1]
+        for c in text:
+            state = p.go[state].get(c) or p.step(state, c)
+            end, best, most = len(back), None, 0.0
+            for size, piece in p.ending[state]:
+                if size <= end and (best is None or total[end - size] + p.score[piece] > most):
+                    best, most = piece, total[end - size] + p.score[piece]
             if best is None:
-                if c in p.score:
-                    raise ValueError(f"no piece ends at {self.text[:end][-p.longest:]!r}")
-                best, most = c, total[end - 1] + p.missing
+                best, most = self._without_piece(c, end), total[end - 1] + p.missing
             back.append(best)
             total.append(most)
-            if end > STRIDE + p.longest:
-                out += self._commit(list(range(end + 1 - p.longest, end + 1)))
-                back, total = self.back, self.total
-        self.state = state
-        return out
+            states.append(state)
+
+    def _without_piece(self, c: str, end: int) -> str:
+        """The character itself, where no piece ends."""
+        if c in self.p.score:
+            raise ValueError(f"no piece ends at {(''.join(self._path(end - 1)) + c)[-self.p.longest:]!r}")
+        return c
+
+    def rewind(self, size: int) -> None:
+        """Forget all but ``size`` characters since the last committed boundary."""
+        del self.back[size + 1:], self.states[size + 1:], self.total[size + 1:]
+
+    def pending(self) -> list[int]:
+        """The ids that ``close`` would return, committing none."""
+        return self.p.ids_of(self._path(len(self.back) - 1))
 
     def close(self) -> list[int]:
         return self._commit([len(self.back) - 1])
@@ -225,10 +258,22 @@ class Encoder:
         if ids is None:
             v = Viterbi(self.pieces)
             ids = array("i", v.feed(text) + v.close()).tobytes()
-            if len(text) <= 64:
+            if len(text) <= STRIDE:
                 self.known.put(text, ids)
         return ids
 
+    def segments(self, texts: list[str]) -> list[bytes]:
+        """``segment`` of distinct texts; a beginning that sorted neighbours share is walked once."""
+        found = dict(zip(texts, map(self.known.get, texts), strict=True))
+        short = sorted(t for t, ids in found.items() if ids is None and len(t) <= STRIDE)
+        v = Viterbi(self.pieces)
+        for text, same in zip(short, shared_beginnings(short), strict=True):
+            v.rewind(same)
+            v.feed(text[same:])
+            found[text] = ids = array("i", v.pending()).tobytes()
+            self.known.put(text, ids)
+        return [self.segment(t) if ids is None else ids for t, ids in found.items()]
+
     def one(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, "<i4")
@@ -252,7 +297,7 @@ class Encoder:
         full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
         codes, distinct = coded(flat.filter(pa.array(full)))
         owner = owner[full]
-        found = [self.segment(w) for w in distinct]
+        found = self.segments(distinct)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         values = np.frombuffer(b"".join(found), "<i4")
         ids = gather(values, (np.cumsum(sizes) - sizes)[codes], sizes[codes])

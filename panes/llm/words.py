@@ -47,7 +47,7 @@ def coded(words: pa.Array) -> tuple[np.ndarray, list[str]]:
     d = words.dictionary_encode()
     if isinstance(d, pa.ChunkedArray):
         d = d.combine_chunks()
-    return d.indices.to_numpy(zero_copy_only=False), d.dictionary.to_pylist()
+    return d.indices.to_numpy(zero_copy_only=False), d.dictionary.to_numpy(zero_copy_only=False).tolist()
 
 
 def code_points(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -60,6 +60,21 @@ def code_points(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32), np.cumsum(lengths) - lengths
 
 
+def shared_beginnings(texts: list[str], block: int = 1 << 14) -> list[int]:
+    """How many characters each of ``texts`` shares at its beginning with the one before it.
+
+    Distinct texts that are short; ``block`` of them at once.
+    """
+    out = [0] * bool(texts)
+    for i in range(0, len(texts) - 1, block):
+        part = texts[i:i + block + 1]
+        sizes = np.fromiter(map(len, part), np.int64, len(part))
+        chars = np.array(part, f"U{max(1, sizes.max())}").view(np.uint32).reshape(len(part), -1)
+        first = (chars[1:] != chars[:-1]).argmax(axis=1)
+        out += np.minimum(first, np.minimum(sizes[1:], sizes[:-1])).tolist()
+    return out
+
+
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The runs ``values[starts[i] : starts[i] + lengths[i]]`` one after another."""
     ends = np.cumsum(lengths)

@@ -50,6 +50,18 @@ def test_the_window_stays_bounded(own, library):
     assert widest <= 2 * (spm.STRIDE + own.pieces.longest)
 
 
+def test_shared_beginnings_are_walked_once(library, monkeypatch):
+    walked, feed = [], spm.Viterbi.feed
+    monkeypatch.setattr(spm.Viterbi, "feed", lambda v, text: walked.append(len(text)) or feed(v, text))
+    r = random.Random(4)
+    stems = ["understand", "interest", "中文字🙂", "a\0", "x" * 60, "ſ\u0301"]
+    words = [x + "".join(r.choice("esting\0é文") for _ in range(n)) for x in stems for n in range(9)] + ["a", "a\0b", "y" * 70]
+    texts = [" ".join(words), *words, " ".join(reversed(words))]
+    ids, bounds = spm.Encoder(MODEL)(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [library.encode(t) for t in texts]
+    assert sum(walked) < 0.6 * sum(len(spm.SPACE + w) for w in set(words))
+
+
 def test_unigram_paths_are_the_best():
     class Model(spm.Pieces):
         def __init__(self, score):
