@@ -8,6 +8,7 @@ committed offsets and state.
 from __future__ import annotations
 
 import os
+import sys
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
@@ -39,7 +40,9 @@ def print_tap(df: DataFrame, label: str = "") -> DataFrame:
     def lines(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                print(label + str(tuple(row.values())), flush=True)
+                # One write a line: print writes the line end apart, and workers share an output.
+                sys.stdout.write(label + str(tuple(row.values())) + "\n")
+                sys.stdout.flush()
             yield batch
 
     return df.mapInArrow(lines, df.schema)

@@ -81,6 +81,18 @@ def test_print_tap_prints_every_row_and_passes_it_on(scratch):
     assert "sum 1225" in done.stdout
 
 
+def test_print_tap_lines_of_several_workers_stay_whole():
+    import subprocess
+    import sys
+    from conftest import ROOT
+    code = (f"import sys; sys.path.insert(0, {ROOT!r})\n"
+            "from panes.session import build_session\nfrom panes.streaming.sinks import print_tap\n"
+            "spark = build_session('local[8]', extra={'spark.ui.showConsoleProgress': 'false'})\n"
+            "print_tap(spark.range(8000).repartition(16), 'row: ').write.format('noop').mode('overwrite').save()\n")
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=ROOT)
+    assert sorted(x for x in done.stderr.splitlines() + done.stdout.splitlines() if "row: " in x) == sorted(f"row: ({i},)" for i in range(8000))
+
+
 def test_table_stream_reads_folders_and_files(spark, scratch):
     """A table of four part files replays as its single file does."""
     from conftest import SF_SMALL
