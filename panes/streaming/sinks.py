@@ -120,10 +120,10 @@ def run_available(queries: StreamingQuery | dict[str, StreamingQuery],
     end = None if timeout is None else time.monotonic() + timeout
     try:
         while True:
+            running = [q for q in qs if q.isActive]  # first: a query may fail between the two looks
             for q in qs:
                 if q.exception() is not None:
                     raise RuntimeError(f"streaming query {q.name} failed: {q.exception()}")
-            running = [q for q in qs if q.isActive]
             if not running:
                 return
             if end is not None and time.monotonic() > end:

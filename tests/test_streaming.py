@@ -251,3 +251,25 @@ def test_folder_tables_give_the_same(spark, scratch, name):
     spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(4).write.parquet(f"{scratch}/sf/events.parquet")
     a, b = (STREAM_QUERIES[name](spark, d) for d in (SF_SMALL, f"{scratch}/sf"))
     assert a.count() > 900 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_a_query_that_fails_while_it_is_looked_at_is_no_success():
+    """Its failure may come after one look at it and before the next."""
+    from panes.streaming.sinks import run_available
+
+    class Query:
+        name, failure = "q", None
+
+        @property
+        def isActive(self):
+            self.failure = OSError("the store is away")
+            return False
+
+        def exception(self):
+            return self.failure
+
+        def stop(self):
+            pass
+
+    with pytest.raises(RuntimeError, match="away"):
+        run_available({"q": Query()})
